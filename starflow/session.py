@@ -22,6 +22,12 @@ CORE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    # Constraint inference turns "row is not quarantined" into isnotnull()
+    # filters on every parsed column and pushes them to the scan, copying the
+    # whole parsing expression there: each row is parsed twice and the
+    # generated code outgrows the JVM's 64 KB method limit.
+    "spark.sql.optimizer.excludedRules":
+        "org.apache.spark.sql.catalyst.optimizer.InferFiltersFromConstraints",
 }
 
 
@@ -64,6 +70,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     for k, v in CORE_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel(os.environ.get("STARFLOW_LOG", "ERROR"))
     checkpoint_dir(spark)
     return spark
