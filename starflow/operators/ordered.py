@@ -25,6 +25,16 @@ def _asc(c: str) -> Column:
     return F.col(c).asc_nulls_last()
 
 
+# Day buckets must be non-NULL to join back on them; NULL dates sort last
+# everywhere here, so they share the last possible day.  Rows inside a bucket
+# are still ordered by the original column, NULLs last.
+_LAST_DAY = "9999-12-31"
+
+
+def _day_bucket(c: str) -> Column:
+    return F.coalesce(F.col(c).cast("date"), F.lit(_LAST_DAY).cast("date"))
+
+
 def forward_fill(df: DataFrame, value_col: str, keys: Sequence[str], order_col: str,
                  tiebreak: str, out_col: str | None = None, bucket_col: str | None = None) -> DataFrame:
     """Last non-NULL ``value_col`` per ``keys`` ordered by (order_col, tiebreak),
@@ -37,7 +47,7 @@ def forward_fill(df: DataFrame, value_col: str, keys: Sequence[str], order_col:
     out_col = out_col or value_col
     bucket_col = bucket_col or order_col
     df, kcols = null_safe_keys(df, list(keys), "_ffk")
-    df = df.withColumn("_ffb", F.col(bucket_col))
+    df = df.withColumn("_ffb", _day_bucket(bucket_col))
     part = kcols + ["_ffb"]
 
     w_in = (Window.partitionBy(*part).orderBy(_asc(order_col), F.col(tiebreak).asc())
@@ -74,7 +84,7 @@ def with_previous(df: DataFrame, keys: Sequence[str], order_col: str, tiebreak:
     """WIN4: add ``prefix + c`` = value of ``c`` on the previous row of the
     same key, ordered by (order_col, tiebreak); NULL on the first row."""
     df, kcols = null_safe_keys(df, list(keys), "_pvk")
-    df = df.withColumn("_pvb", F.col(order_col))
+    df = df.withColumn("_pvb", _day_bucket(order_col))
     part = kcols + ["_pvb"]
     w = Window.partitionBy(*part).orderBy(_asc(order_col), F.col(tiebreak).asc())
     vals = F.struct(*[F.col(c) for c in cols])
@@ -99,12 +109,14 @@ def with_next_start(df: DataFrame, keys: Sequence[str], start_col: str, tiebreak
     Rows that share a start day get that same day (a zero-length interval,
     as the source does); the last row of a day gets the next day present."""
     df, kcols = null_safe_keys(df, list(keys), "_nxk")
-    df = df.withColumn("_nxb", F.col(start_col))
+    df = df.withColumn("_nxb", _day_bucket(start_col))
     part = kcols + ["_nxb"]
     w = Window.partitionBy(*part).orderBy(_asc(start_col), F.col(tiebreak).asc())
     inner = df.withColumn("_nx_in", F.lead(start_col).over(w))
     days = inner.select(*part).distinct()
     w_b = Window.partitionBy(*kcols).orderBy(F.col("_nxb").asc_nulls_last())
     nxt = days.withColumn("_nx_day", F.lead("_nxb").over(w_b))
+    if dict(df.dtypes)[start_col] == "date":
+        nxt = nxt.withColumn("_nx_day", F.when(F.col("_nx_day") != F.lit(_LAST_DAY).cast("date"), F.col("_nx_day")))
     out = inner.join(nxt, part, "left").withColumn(out_col, F.coalesce("_nx_in", "_nx_day"))
     return out.drop(*part, "_nx_in", "_nx_day")
