@@ -18,7 +18,13 @@ _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
-from starflow.functions.constants import ACCEPTED_SEGMENTS  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from starflow.functions import clean as C  # noqa: E402
+from starflow.functions.constants import ACCEPTED_SEGMENTS, FRESHNESS_SALES  # noqa: E402
+from starflow.operators import profile as PR  # noqa: E402
+from starflow.operators.scd import latest_per_key, scd2_snapshot  # noqa: E402
+from starflow.sources.readers import upsert  # noqa: E402
 from starflow.operators import quality as Q  # noqa: E402
 from starflow.operators import rollups as R  # noqa: E402
 from starflow.operators.facts import build_fact, calendar_dim  # noqa: E402
@@ -35,21 +41,31 @@ def _t(spark: SparkSession, sf_dir: str):
     return T.load_tables(spark, sf_dir)
 
 
-def _staged(spark, sf_dir):
+# Tables read by several consumers are cut from their lineage with a reliable
+# checkpoint in the session's checkpoint folder (``spark.checkpoint.dir``),
+# as a production run materialises them: the windows under them run once,
+# and a lost executor re-reads the checkpoint instead of recomputing.
+PERSIST = os.environ.get("STARFLOW_PERSIST", "checkpoint")
+
+
+def _staged(spark, sf_dir, persist=False):
     t = _t(spark, sf_dir)
-    return t, P.stage_sales(T.raw_sales(t))
+    st = P.stage_sales(T.raw_sales(t))
+    return t, (P.persist(st, PERSIST) if persist else st)
 
 
-def _conformed(spark, sf_dir):
-    t, st = _staged(spark, sf_dir)
+def _conformed(spark, sf_dir, persist=False):
+    t, st = _staged(spark, sf_dir, persist)
     dd = P.dedupe_sales(st, T.loads(t))
     countries, fx = P.staged_countries(t), P.staged_fx(t)
-    return t, st, countries, fx, P.conform_sales(dd, countries, fx)
+    conf = P.conform_sales(dd, countries, fx)
+    return t, st, countries, fx, (P.persist(conf, PERSIST) if persist else conf)
 
 
 def _star(spark, sf_dir):
-    t, st, countries, fx, conf = _conformed(spark, sf_dir)
-    dc, dp = P.dim_customer(conf), P.dim_product(conf)
+    t, st, countries, fx, conf = _conformed(spark, sf_dir, persist=True)
+    dc = P.persist(P.dim_customer(conf), PERSIST)
+    dp = P.persist(P.dim_product(conf), PERSIST)
     return countries, conf, dc, dp, build_fact(conf, dc, dp)
 
 
@@ -103,7 +119,7 @@ def q_point_in_time_fact(spark, sf_dir):
 
 
 def q_calendar(spark, sf_dir):
-    t, st, countries, fx, conf = _conformed(spark, sf_dir)
+    t, st, countries, fx, conf = _conformed(spark, sf_dir, persist=True)
     return calendar_dim(conf, st)
 
 
@@ -141,6 +157,70 @@ def q_chk_unique_common_name(spark, sf_dir):
     return Q.unique(P.staged_countries(_t(spark, sf_dir)), "common_name")
 
 
+def q_chk_freshness(spark, sf_dir):
+    ld = T.loads(_t(spark, sf_dir))
+    as_of = ld.agg(F.max("inserted_at") + F.expr("INTERVAL 8 HOURS")).scalar()
+    return Q.freshness(ld, "inserted_at", *FRESHNESS_SALES, as_of=as_of)
+
+
+def q_parse_money(spark, sf_dir):
+    raw = T.raw_sales(_t(spark, sf_dir))
+    return raw.select("_row_id", "unit_price", "amount",
+                      C.parse_money("unit_price").alias("unit_price_money"),
+                      C.parse_money("amount").alias("amount_money"))
+
+
+def q_table_profile(spark, sf_dir):
+    return PR.table_profile(T.raw_sales(_t(spark, sf_dir)), "order_id")
+
+
+def q_column_profile(spark, sf_dir):
+    return PR.column_profile(T.raw_sales(_t(spark, sf_dir)))
+
+
+def q_numeric_describe(spark, sf_dir):
+    return PR.numeric_describe(_staged(spark, sf_dir)[1], ["quantity", "unit_price", "amount", "discount", "tax"])
+
+
+def q_distinct_values(spark, sf_dir):
+    return PR.distinct_values(_staged(spark, sf_dir)[1], "country")
+
+
+def q_first_last(spark, sf_dir):
+    return PR.first_last(_staged(spark, sf_dir)[1], ["order_date", "_row_id"], 10)
+
+
+def _cutoff(loads):
+    """Loads inserted before this time form the first run; the last year of
+    loads arrives incrementally."""
+    return loads.agg(F.max("inserted_at") - F.expr("INTERVAL 365 DAYS")).scalar()
+
+
+def q_incremental_upsert(spark, sf_dir):
+    t, st = _staged(spark, sf_dir, persist=True)
+    loads = T.loads(t)
+    countries, fx = P.staged_countries(t), P.staged_fx(t)
+    early = loads.filter(F.col("inserted_at") < _cutoff(loads))
+    first = P.conform_sales(P.dedupe_sales(st, early), countries, fx)
+    first = P.persist(first, PERSIST)
+    batch = P.conform_sales(P.dedupe_sales(st, loads), countries, fx, target=first)
+    return upsert(first, batch, ["order_line_id"])
+
+
+def q_scd2_snapshot(spark, sf_dir):
+    t, st = _staged(spark, sf_dir, persist=True)
+    loads = T.loads(t)
+    clean = (st.filter(~F.col("is_quarantined"))
+             .join(loads.select(F.col("load_id").alias("_load_id"), "inserted_at"), "_load_id"))
+    cut = _cutoff(loads)
+    checks = ["customer_name", "segment", "country"]
+    cur1 = latest_per_key(clean.filter(F.col("inserted_at") < cut), "customer_id", "order_date", "_row_id")
+    cur2 = latest_per_key(clean, "customer_id", "order_date", "_row_id")
+    run2 = loads.agg(F.max("inserted_at")).scalar()
+    state = P.persist(scd2_snapshot(None, cur1, "customer_id", checks, cut), PERSIST)
+    return scd2_snapshot(state, cur2, "customer_id", checks, run2)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_sales": q_raw_sales,
     "conform_schema": q_conform_schema,
@@ -163,6 +243,15 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chk_converted_null": q_chk_converted_null,
     "chk_not_null_rate": q_chk_not_null_rate,
     "chk_unique_common_name": q_chk_unique_common_name,
+    "chk_freshness": q_chk_freshness,
+    "parse_money": q_parse_money,
+    "table_profile": q_table_profile,
+    "column_profile": q_column_profile,
+    "numeric_describe": q_numeric_describe,
+    "distinct_values": q_distinct_values,
+    "first_last": q_first_last,
+    "incremental_upsert": q_incremental_upsert,
+    "scd2_snapshot": q_scd2_snapshot,
 }
 
 

@@ -19,7 +19,6 @@ from ..functions import clean as C
 from ..functions.constants import INCREMENTAL_LOOKBACK_DAYS, WATERMARK_FLOOR
 from ..operators.facts import build_fact, calendar_dim
 from ..operators.fx import convert_to_base, fill_calendar, stage_countries, stage_fx
-from ..operators.joins import bounded_broadcast
 from ..operators.ordered import dedupe_latest, forward_fill
 from ..operators.quality import flag, sales_rules
 from ..operators.scd import scd2_from_events, with_unknown_member
@@ -85,8 +84,9 @@ def dedupe_sales(staged: DataFrame, loads: DataFrame) -> DataFrame:
     latest load per (order, product, sign of quantity) wins; ties go to the
     greater row id."""
     ld = loads.select(F.col("load_id").alias("_load_id"), F.col("inserted_at").alias("loaded_date"))
-    # The load log has one row per load (a few per day at most): bounded.
-    joined = staged.filter(~F.col("is_quarantined")).join(bounded_broadcast(ld, 1_000_000), "_load_id", "inner")
+    # The load log has one row per load; AQE broadcasts it from its measured
+    # size (no extra scan to count it).
+    joined = staged.filter(~F.col("is_quarantined")).join(ld, "_load_id", "inner")
     return dedupe_latest(joined, ["order_id", "product_id", C.sign_int("quantity")],
                          ["loaded_date"], ["_row_id"])
 

@@ -55,10 +55,21 @@ V2_HEADERS = {**{k: v for k, v in V1_HEADERS.items() if k not in ("segment", "am
               "amount": "Total Amount ", "order_channel": "Order Channel", "tax": "Tax"}
 
 
+class Tables(dict):
+    """Table name -> DataFrame, opened on first use (opening reads footers)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        self[name] = df
+        return df
+
+
 def load_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    names = ["lineitem", "orders", "customer", "part", "supplier", "nation", "region", "events",
-             "documents", "pages"]
-    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
+    return Tables(spark, sf_dir)
 
 
 def _case(col: Column, mapping: dict) -> Column:
