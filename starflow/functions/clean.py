@@ -51,9 +51,22 @@ def clean_id_text(col) -> Column:
     return F.regexp_replace(_c(col), r"[^A-Za-z0-9]", "")
 
 
+# Shape guards.  try_* casts report failure through exceptions inside the
+# JVM, which costs microseconds per row; a regex test first keeps the common
+# "does not apply" case on the fast path.  Each guard accepts a superset of
+# the strings the cast can parse, so results are unchanged.
+_DECIMAL_SHAPE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def guarded_cast(col, to: str) -> Column:
+    c = _c(col)
+    return F.when(c.rlike(_DECIMAL_SHAPE), c.try_cast(to))
+
+
 def clean_id(col) -> Column:
     """Identifier text -> int; letters left in the text make it NULL."""
-    return clean_id_text(col).try_cast("int")
+    t = clean_id_text(col)
+    return F.when(t.rlike(r"^[0-9]{1,10}$"), t.try_cast("int"))
 
 
 def map_country_code(col) -> Column:
@@ -100,7 +113,7 @@ def normalize_decimal(col) -> Column:
 
 
 def to_decimal(col, precision: int = 10, scale: int = 2) -> Column:
-    return _c(col).try_cast(f"decimal({precision},{scale})")
+    return guarded_cast(col, f"decimal({precision},{scale})")
 
 
 def parse_money(col) -> Column:
@@ -135,17 +148,17 @@ def parse_money(col) -> Column:
 def parse_percent(col) -> Column:
     """NULL -> 0.00; '15%' -> 0.15; otherwise the number as decimal(10,2)."""
     c = _c(col)
-    pct = F.try_divide(F.replace(c, F.lit("%"), F.lit("")).try_cast("double"), F.lit(100.0))
+    pct = F.try_divide(guarded_cast(F.replace(c, F.lit("%"), F.lit("")), "double"), F.lit(100.0))
     return (
         F.when(c.isNull(), F.lit(0).cast("decimal(10,2)"))
         .when(F.contains(c, F.lit("%")), pct.try_cast("decimal(10,2)"))
-        .otherwise(c.try_cast("decimal(10,2)"))
+        .otherwise(guarded_cast(c, "decimal(10,2)"))
     )
 
 
 def parse_int(col) -> Column:
     """Integer text, rounding '12.6' -> 13 and '45322.0' -> 45322; junk -> NULL."""
-    d = F.round(_c(col).try_cast("decimal(20,6)"), 0)
+    d = F.round(guarded_cast(col, "decimal(20,6)"), 0)
     return F.when(d.between(-2147483648, 2147483647), d).try_cast("int")
 
 
@@ -159,6 +172,8 @@ def sign_int(col) -> Column:
 _ISO_PREFIX = r"^\d{4}-\d{1,2}-\d{1,2}"
 _SLASH_ISO = r"^\d{4}/\d{1,2}/\d{1,2}$"
 _SERIAL = r"^-?\d+(\.\d+)?$"
+_US_DATE = r"^\d{1,2}/\d{1,2}/\d{4}$"
+_DAY_MON_YEAR = r"^\d{1,2} [A-Za-z]{3,9} \d{4}$"
 
 
 def parse_date(col) -> Column:
@@ -168,12 +183,12 @@ def parse_date(col) -> Column:
     dd Mon yyyy, and spreadsheet serial days counted from 1899-12-30.
     Each branch is guarded so a serial number is never read as a year."""
     s = F.trim(_c(col))
-    serial_days = F.round(s.try_cast("decimal(20,6)"), 0)
+    serial_days = F.round(F.when(s.rlike(_SERIAL), s.try_cast("decimal(20,6)")), 0)
     return F.coalesce(
         F.when(s.rlike(_ISO_PREFIX), s.try_cast("date")),
         F.when(s.rlike(_SLASH_ISO), F.try_to_date(s, "yyyy/M/d")),
-        F.try_to_date(s, "M/d/yyyy"),
-        F.try_to_date(s, "d MMM yyyy"),
+        F.when(s.rlike(_US_DATE), F.try_to_date(s, "M/d/yyyy")),
+        F.when(s.rlike(_DAY_MON_YEAR), F.try_to_date(s, "d MMM yyyy")),
         F.when(s.rlike(_SERIAL) & serial_days.between(-693593, 2958465),
                F.date_add(F.lit(EXCEL_EPOCH).cast("date"), serial_days.try_cast("int"))),
     )
