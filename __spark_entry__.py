@@ -50,7 +50,7 @@ PERSIST = os.environ.get("STARFLOW_PERSIST", "checkpoint")
 
 def _staged(spark, sf_dir, persist=False):
     t = _t(spark, sf_dir)
-    st = P.stage_sales(T.raw_sales(t))
+    st = P.stage_sales(T.raw_sales(t), persist_mode=PERSIST)
     return t, (P.persist(st, PERSIST) if persist else st)
 
 

@@ -33,8 +33,19 @@ STAGED_COLUMNS = [
 ]
 
 
+def persist(df: DataFrame, mode: str) -> DataFrame:
+    """'none' (lazy), 'cache' (executor memory/disk) or 'checkpoint'
+    (reliable, in the session's shared checkpoint folder)."""
+    if mode == "cache":
+        return df.cache()
+    if mode == "checkpoint":
+        checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    return df
+
+
 def stage_sales(raw: DataFrame, money: str = "reference", allow_returns: bool = False,
-                product_name: str = "reference") -> DataFrame:
+                product_name: str = "reference", persist_mode: str = "none") -> DataFrame:
     """stg_sales: clean, type, forward-fill unit price per product, flag.
 
     ``money``: 'reference' (normalize_decimal then cast; thousands
@@ -65,6 +76,10 @@ def stage_sales(raw: DataFrame, money: str = "reference", allow_returns: bool =
         "_load_id", "_row_id",
     )
     # WIN1: carry the last known price text forward per product by date.
+    # The fill reads its input in two branches (rows and per-day tails) that
+    # Spark prunes differently, so the exchange is not reused; materialising
+    # the parsed rows first makes the raw scan and the parsing run once.
+    parsed = persist(parsed, persist_mode)
     priced = forward_fill(parsed, "unit_price_n", ["product_id_t"], "order_date", "_row_id",
                           out_col="unit_price_f")
     typed = priced.select(
@@ -145,21 +160,10 @@ class Star:
     extra: dict = field(default_factory=dict)
 
 
-def persist(df: DataFrame, mode: str) -> DataFrame:
-    """'none' (lazy), 'cache' (executor memory/disk) or 'checkpoint'
-    (reliable, in the session's shared checkpoint folder)."""
-    if mode == "cache":
-        return df.cache()
-    if mode == "checkpoint":
-        checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    return df
-
-
 def build(spark: SparkSession, sf_dir: str, persist_mode: str = "none", **stage_opts) -> Star:
     t = testbed.load_tables(spark, sf_dir)
     raw = testbed.raw_sales(t)
-    staged = persist(stage_sales(raw, **stage_opts), persist_mode)
+    staged = persist(stage_sales(raw, persist_mode=persist_mode, **stage_opts), persist_mode)
     deduped = dedupe_sales(staged, testbed.loads(t))
     countries = staged_countries(t)
     fx = staged_fx(t)

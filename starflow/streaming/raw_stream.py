@@ -14,6 +14,7 @@ pointer file, so a failed batch leaves the previous version readable.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
 
@@ -66,7 +67,9 @@ def start(spark: SparkSession, landing: str, target_root: str, query_name: str =
           trigger_once: bool = False):
     """Start the stream; returns the StreamingQuery."""
     os.makedirs(target_root, exist_ok=True)
-    ckpt = os.path.join(checkpoint_dir(spark), f"stream-{query_name}")
+    # A checkpoint belongs to one (source, target) pair: key it by both.
+    pair = hashlib.md5(f"{landing}\n{target_root}".encode()).hexdigest()[:16]
+    ckpt = os.path.join(checkpoint_dir(spark), f"stream-{query_name}-{pair}")
     stream = spark.readStream.schema(RAW_SCHEMA).parquet(landing)
     writer = (stream.writeStream.queryName(query_name).option("checkpointLocation", ckpt)
               .foreachBatch(lambda df, epoch: merge_batch(spark, df, target_root)))
