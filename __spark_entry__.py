@@ -255,6 +255,21 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _llm() -> tuple[dict, dict]:
+    """Queries and oracle SQL of the training-data subpackage, if it is there."""
+    try:
+        from starflow.llm import queries as L
+        import corpus_pipeline as CP
+    except ImportError as e:
+        if (e.name or "").split(".")[0] not in ("starflow", "corpus_pipeline"):
+            raise
+        return {}, {}
+    sql = dict(L.ORACLE_SQL)
+    if CP.ORACLE_SQL is not None:
+        sql["pipeline"] = CP.ORACLE_SQL
+    return {**L.QUERIES, "pipeline": CP.run}, sql
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the whole star on sf0.001, reported as USD revenue by
     month, region and category with rollup subtotals."""
@@ -262,11 +277,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_llm()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
     import oracle_sql as O
     sql = O.queries()
     sql["conform_schema"] = sql["raw_sales"]
-    return {k: v for k, v in sql.items() if k in _QUERIES}
+    return {**{k: v for k, v in sql.items() if k in _QUERIES}, **_llm()[1]}

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job in this library relies on.  UTC keeps dates stable across
 # executors in different zones; ANSI makes bad casts fail loudly, which is why
@@ -41,13 +42,14 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster); only when it is
-    unset (tests, local runs) do we make a private folder under /tmp.
+    Read from ``spark.checkpoint.dir`` (set by the cluster).  Only a local
+    session, where driver and executors are one machine, may leave it unset
+    and gets a private folder; on a cluster an unset folder is an error.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="starflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
@@ -55,6 +57,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder for one intermediate table or file set.
+
+    It lies in a folder of this application, which Spark's file system API
+    removes when the application ends.
+    """
+    sc = spark.sparkContext
+    base = f"{checkpoint_dir(spark).rstrip('/')}/starflow-{sc.applicationId}"
+    path = sc._jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return f"{fs.makeQualified(path).toString()}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back: a lineage
+    cut that survives lost executors and keeps column pruning and pushdown."""
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "starflow") -> SparkSession:
     """A local session for tests and benchmarks (UI off, UTC, AQE on)."""
