@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starflow.llm import exact_dedup, packing, wavelet
+from starflow.llm import exact_dedup, packing, secret_scan, wavelet
 from starflow.llm.sql import ORACLE_SQL  # noqa: F401
 
 
@@ -23,6 +23,10 @@ def op2_token_shards(spark, sf_dir):
     return wavelet.encode_to_shards(spark, _table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark, sf_dir):
+    return secret_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -30,5 +34,6 @@ def op5_packing(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_shards": op2_token_shards,
+    "op3_secret_scan": op3_secret_scan,
     "op5_packing": op5_packing,
 }
