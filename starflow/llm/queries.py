@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starflow.llm import exact_dedup, packing, secret_scan, wavelet
+from starflow.llm import exact_dedup, packing, pii, quality, secret_scan, wavelet
 from starflow.llm.sql import ORACLE_SQL  # noqa: F401
 
 
@@ -31,9 +31,19 @@ def op5_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op7_personal_data(spark, sf_dir):
+    return pii.find(_table(spark, sf_dir, "documents"))
+
+
+def op8_quality(spark, sf_dir):
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_shards": op2_token_shards,
     "op3_secret_scan": op3_secret_scan,
     "op5_packing": op5_packing,
+    "op7_personal_data": op7_personal_data,
+    "op8_quality": op8_quality,
 }
