@@ -32,6 +32,9 @@ CORE_CONF = {
 }
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the core settings that are runtime-modifiable."""
     for k, v in CORE_CONF.items():
@@ -77,7 +80,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     cut that survives lost executors and keeps column pruning and pushdown."""
     spark = df.sparkSession
     path = work_dir(spark, name)
-    df.write.parquet(path)
+    # Nothing reads the shuffle files of this job once its table is written.
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
