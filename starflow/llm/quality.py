@@ -45,7 +45,7 @@ _CLASS = _byte_class()
 
 # Shares are smoothed by some words' or bytes' worth of ordinary prose, so
 # that a short text is not judged by the extremes that few words bring.
-WORDS_OF_PROSE, BYTES_OF_PROSE = 12, 60
+WORDS_OF_PROSE, BYTES_OF_PROSE = 20, 120
 PROSE = {"distinct": 0.8, "repeated": 0.01, "top_word": 0.08, "distinct_pairs": 0.97, "spaces": 0.15, "lines": 0.005,
          "letters": 0.78, "upper": 0.03, "digits": 0.005, "marks": 0.03, "other_bytes": 0.03}
 
