@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starflow.llm import exact_dedup, ngram_join, packing, pii, quality, secret_scan, wavelet
+from starflow.llm import decontaminate, exact_dedup, ngram_join, packing, pii, quality, secret_scan, wavelet
 from starflow.llm.sql import ORACLE_SQL  # noqa: F401
 
 
@@ -43,6 +43,10 @@ def op9_ngram_join(spark, sf_dir):
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op10_decontaminate(spark, sf_dir):
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_shards": op2_token_shards,
@@ -51,4 +55,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_personal_data": op7_personal_data,
     "op8_quality": op8_quality,
     "op9_ngram_join": op9_ngram_join,
+    "op10_decontaminate": op10_decontaminate,
 }

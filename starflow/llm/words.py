@@ -33,6 +33,7 @@ def _byte_codes() -> np.ndarray:
 
 
 CODES = _byte_codes()
+BLOCK = 4 << 20
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -47,10 +48,11 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of each word; words do not cross texts."""
+def word_bounds(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each word; words do not cross texts.  ``gap`` marks
+    the bytes between words."""
     n = len(data)
-    word = ~IS_SPACE[data]
+    word = ~gap[data]
     cut = np.zeros(n + 1, bool)
     cut[offsets] = True
     starts, ends = word.copy(), word.copy()
@@ -60,19 +62,24 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return np.flatnonzero(starts), np.flatnonzero(ends) + 1
 
 
-def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """One hash per word: a polynomial over random byte codes, mixed."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    first, last = int(starts[0]), int(ends[-1])
-    reach = np.append(starts[1:], last) - starts
-    place = np.arange(last - first, dtype=np.int64) - np.repeat(starts - first, reach)
-    powers = np.ones(int(reach.max()), np.uint64)
-    powers[1:] = _MULT
-    powers = np.cumprod(powers, dtype=np.uint64)
-    terms = CODES[data[first:last]] * powers[place]
-    sums = np.add.reduceat(terms, starts - first)
-    return mix(sums ^ ((ends - starts).astype(np.uint64) * _MULT))
+def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray = CODES) -> np.ndarray:
+    """One hash per word: a polynomial over random byte codes, mixed.  Bytes
+    between words must have code 0.  Works through blocks of bytes, so that a
+    huge text needs little more memory than its word hashes."""
+    out = np.zeros(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        first = int(starts[at])
+        stop = max(at + 1, int(np.searchsorted(ends, first + BLOCK, side="right")))
+        own, last = starts[at:stop] - first, int(ends[stop - 1]) - first
+        reach = np.append(own[1:], last) - own
+        place = np.arange(last, dtype=np.int64) - np.repeat(own, reach)
+        powers = np.ones(int(reach.max()), np.uint64)
+        powers[1:] = _MULT
+        terms = codes[data[first:first + last]] * np.cumprod(powers, dtype=np.uint64)[place]
+        out[at:stop] = np.add.reduceat(terms, own)
+        at = stop
+    return mix(out ^ ((ends - starts).astype(np.uint64) * _MULT))
 
 
 def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
