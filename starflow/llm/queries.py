@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starflow.llm import decontaminate, exact_dedup, ngram_join, packing, pii, quality, secret_scan, wavelet
+from starflow.llm import (decontaminate, exact_dedup, html_extract, ngram_join, packing, pii, quality, secret_scan,
+                          token_counts, wavelet)
 from starflow.llm.sql import ORACLE_SQL  # noqa: F401
 
 
@@ -27,10 +28,18 @@ def op3_secret_scan(spark, sf_dir):
     return secret_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def op4_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op6_html_extract(spark, sf_dir):
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op7_personal_data(spark, sf_dir):
     return pii.find(_table(spark, sf_dir, "documents"))
 
@@ -51,7 +60,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_shards": op2_token_shards,
     "op3_secret_scan": op3_secret_scan,
+    "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
+    "op6_html_extract": op6_html_extract,
     "op7_personal_data": op7_personal_data,
     "op8_quality": op8_quality,
     "op9_ngram_join": op9_ngram_join,
