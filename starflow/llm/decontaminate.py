@@ -33,6 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from starflow.llm import bpe, words
 
@@ -249,3 +250,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS)
     best = F.min(F.struct("edits", "start_word", "item_words")).alias("best")
     return (reduce(DataFrame.unionByName, parts).groupBy("doc_id", "item_id").agg(best)
             .select("doc_id", "item_id", "best.start_word", "best.edits", "best.item_words"))
+
+
+def drop_leaking(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that leak no item.  No
+    row moves: each block of items is a filter on the text."""
+    for index in _blocks(benchmark, block_items):
+        docs = docs.filter(_leaks_none(docs.sparkSession.sparkContext.broadcast(index))(F.col("text")))
+    return docs
+
+
+def _leaks_none(sent):
+    """A column function: whether a text leaks none of the items sent."""
+    @F.arrow_udf(BooleanType())
+    def clean(texts: pa.Array) -> pa.Array:
+        ok = np.ones(len(texts), bool)
+        for a, b in bpe.text_slices(texts, SLICE):
+            for t, *_ in sent.value.leaks(*folded_words(texts.slice(a, b - a))):
+                ok[t + a] = False
+        return pa.array(ok)
+
+    return clean

@@ -142,3 +142,14 @@ def exact_groups(docs: DataFrame, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
                                               F.count(F.lit(1)).alias("group_size"))
     return parted.join(groups, [*key, "part"]).select(
         "doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), "text_sha256")
+
+
+def drop_copies(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, without the documents of
+    whose text another with a smaller doc_id has a copy.
+
+    Rows repeated with doc_id and text are one row afterwards.  Rows without a
+    doc_id stay.
+    """
+    gone = exact_groups(docs).filter(~F.col("kept")).select(F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])

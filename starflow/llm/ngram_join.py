@@ -298,3 +298,10 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
         "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return named.join(reps, ["f1", "f2", "n"]).select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id")).unionByName(empty)
+
+
+def keep_one_each(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The rows of ``docs``, with all their columns, of one document of each
+    component: that with the smallest doc_id.  Rows without a doc_id stay."""
+    found = jaccard_components(docs, k, percent).filter("component_id <> doc_id")
+    return docs.join(found.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType)), "doc_id", "left_anti")

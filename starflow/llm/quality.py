@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from starflow.llm import bpe, words
 from starflow.session import materialise
@@ -219,6 +220,26 @@ def apply_model(stats: DataFrame, model: Model | None) -> DataFrame:
                          (F.col("score") >= PREDICT_FROM).cast("int").alias("predicted"))
 
 
+def score_column(model: Model | None):
+    """The score as a column function of the text, for filters that move no
+    row: ``score_column(model)(F.col("text"))``."""
+    @F.arrow_udf(DoubleType())
+    def score(texts: pa.Array) -> pa.Array:
+        texts = pc.fill_null(texts, "")
+        parts = [model.scores(statistics(texts.slice(a, b - a))) if model else np.full(b - a, 0.5)
+                 for a, b in bpe.text_slices(texts, 4 << 20)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
+
+    return score
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, least: float = PREDICT_FROM) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score ``least`` or
+    more after training as in ``classify``."""
+    model = train(materialise(document_statistics(docs), "quality-statistics"), labels)
+    return docs.filter(score_column(model)(F.col("text")) >= least)
+
+
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Score every row of ``docs`` (doc_id, text) after training on ``labels``
     (doc_id, quality).

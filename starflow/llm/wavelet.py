@@ -227,7 +227,7 @@ def write_shards(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int
         for batch in batches:
             texts = batch.column("text")
             doc_ids = np.asarray(batch.column("doc_id").fill_null(np.iinfo(np.int64).min))
-            for a, b in bpe.text_slices(texts):
+            for a, b in bpe.text_slices(texts, min(bpe.SLICE_BYTES, 3 * shard_ids)):
                 ids, counts = enc.encode(texts.slice(a, b - a))
                 full = np.insert(ids, np.cumsum(counts), end_id)
                 held_ids.append(full.astype(np.uint16 if len(enc.is_end) <= 1 << 16 else np.uint32))
