@@ -3,37 +3,39 @@
 A document is the set of its distinct word shingles ("tokens").  Two documents
 link when their sets have a Jaccard similarity of ``percent`` or more.
 
-*Candidates.*  A pair that links differs in few tokens: a set of n tokens may
-lack at most ``t = n - ceil(percent * n / 100)`` of them in its partner.  All
-tokens are put in one order, and each set is indexed by a prefix of it:
-
-* rare tokens one by one: each covers one missing token;
-* frequent tokens by *pairs within a class*: if two sets share no pair of a
-  class they share at most one token of it, so c tokens of a class cover c - 1.
-  The prefix is extended accordingly;
-* once the prefix covers t + 1 missing tokens, a linking pair must share an
-  entry of the index.
-
-Rare tokens come first, so a passage that many documents quote only enters
-the index of documents that consist of such passages.  Which tokens are
-frequent is counted over all documents, for the tokens whose hash lies in a
-fixed region of hash space; the others come last in the order and are only
-used where a set has too few tokens in the region.  Classes depend on the
-size of the sets (a set is indexed for every size level in which it can have
-a partner), so that a class holds a few tokens of any set.
-
-*Verification.*  Each index entry first proposes its smallest and largest
-member as partners for all others, which joins up groups of copies in a
-number of pairs proportional to the members.  Pairs of an entry whose members
-then still lie in different components are verified in a second round; pairs
-inside a component need no test, as only components are reported.  So every
-candidate pair is either verified or already known to be connected.
+*Candidates.*  Tokens are rare or frequent by their number of documents, which
+is counted over all documents for the tokens whose hash lies in a fixed region
+of hash space; all other tokens count as frequent.
+
+* A set of n tokens may lack at most ``t = n - ceil(percent * n / 100)`` tokens
+  in a linked partner.  A set with more than t rare tokens is indexed by the
+  first t + 1 of them in hash order, one by one: a passage that many documents
+  quote never enters the index through it.
+* Any other set is indexed by all its rare tokens, and its prefix is extended
+  to all its frequent tokens, in combinations: these are dealt by hash into
+  classes, so many that two linked sets which share no rare token differ by
+  one token at most in some class.  Indexed are the combination of all c
+  tokens of each class and its c combinations of c - 1 tokens.  Copies with
+  many changes share none of these, unlike single tokens or pairs, of which a
+  large family of loosely similar documents has many in common.
+
+The number of classes depends on the sizes of the sets; a set is indexed for
+every size level in which it can have a partner.  Either way a linking pair
+shares an entry of the index, whichever tokens are called frequent.
+
+*Verification.*  Each index entry first proposes its member with the fewest
+rare tokens (the likely original) as partner of all others, which joins up
+groups of copies in a number of pairs proportional to the members.  Pairs of
+an entry whose members then still lie in different components are verified in
+a second round; pairs inside a component need no test, as only components are
+reported.  So every candidate pair is verified or known to be connected.
 
 Equal sets are one node throughout.
 """
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,8 +60,6 @@ REGION = 0.3
 # and any choice of frequent tokens gives the same links.
 FREQUENT_FROM = 16
 FREQUENT_TOKENS = 1 << 20
-CLASS_TOKENS = 4
-SINGLES_BELOW_LEVEL = 4
 
 
 def token_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -92,48 +92,42 @@ def _missing(n: int, percent: int) -> int:
     return n - -(-percent * n // 100)
 
 
-def _levels(n: int, percent: int) -> range:
-    """Size levels (log2) in which a set of ``n`` can have a partner."""
-    return range((-(-percent * n // 100)).bit_length() - 1, (100 * n // percent).bit_length())
+def size_levels(percent: int, to: int) -> list[int]:
+    """Smallest size of each level: a level's sizes can all be partners."""
+    out = [1]
+    while out[-1] <= to:
+        out.append(max(out[-1] + 1, 100 * out[-1] // percent))
+    return out
 
 
-def _tag(x: np.ndarray, level: int) -> np.ndarray:
-    return words.mix(x ^ np.uint64((level + 1) << 56))
+def _differences(level: int, levels: list[int], percent: int) -> int:
+    """Most tokens that are in one set only, of a linked pair whose smaller
+    set is of this level."""
+    n = levels[level + 1] - 1
+    return (n + 100 * n // percent) * (100 - percent) // (100 + percent)
 
 
-def signatures(tokens: np.ndarray, frequent: np.ndarray, in_region: int, percent: int) -> np.ndarray:
-    """Index entries of one set: ``tokens`` ascending, the first ``in_region``
-    of them in the counted region, ``frequent`` a mask over those."""
+def signatures(tokens: np.ndarray, rare: np.ndarray, percent: int) -> np.ndarray:
+    """Index entries of one set: ``tokens`` ascending, ``rare`` their mask."""
     n = len(tokens)
-    need = _missing(n, percent) + 1
-    region, rest = tokens[:in_region], tokens[in_region:]
-    rare = region[~frequent]
-    if len(rare) >= need:
-        return rare[:need]
-    common = region[frequent]
-    out = [rare]
-    singles = 0
-    for level in _levels(n, percent):
-        left = need - len(rare)
-        if level < SINGLES_BELOW_LEVEL:
-            out.append(_tag(common[:left], level))
-            left -= min(left, len(common))
-        elif len(common):
-            classes = max(1, int(REGION * (1 << level)) // CLASS_TOKENS)
-            of = (common % np.uint64(classes)).astype(np.int64)
-            order = np.argsort(of, kind="stable")
-            sizes = np.bincount(of, minlength=classes)
-            covered = np.cumsum(np.maximum(sizes - 1, 0))
-            used = min(int(np.searchsorted(covered, left)) + 1, classes)
-            ends = np.cumsum(sizes)
-            for c in np.flatnonzero(sizes[:used] > 1).tolist():
-                own = common[order[ends[c] - sizes[c]:ends[c]]]
-                i, j = np.triu_indices(len(own), 1)
-                out.append(_tag(words.mix(own[i]) + own[j], level))
-            left -= min(left, int(covered[used - 1]))
-        singles = max(singles, left)
-    if singles:
-        out.append(rest[:singles])
+    lack = _missing(n, percent)
+    single = tokens[rare]
+    if len(single) > lack:
+        return single[:lack + 1]
+    out, rest = [single], tokens[~rare]
+    codes = words.mix(rest)
+    levels = size_levels(percent, n)
+    lowest = bisect.bisect_right(levels, -(-percent * n // 100)) - 1
+    for level in range(lowest, bisect.bisect_right(levels, n)):
+        differ = _differences(level, levels, percent)
+        if not differ:
+            continue  # only equal sets link, and those are one node
+        classes = differ // 2 + 1
+        of = (rest % np.uint64(classes)).astype(np.int64)
+        whole = np.zeros(classes, np.uint64)
+        np.add.at(whole, of, codes)
+        tags = words.mix(np.arange(classes, dtype=np.uint64) + np.uint64((level + 1) << 40))
+        out += [words.mix(whole + tags), words.mix(whole[of] - codes + tags[of])]
     return np.concatenate(out)
 
 
@@ -177,7 +171,8 @@ def frequent_tokens(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def index_entries(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """sig, node, n: all index entries of all sets (a node is a set's f1)."""
+    """sig, rare, node, n: all index entries of all sets.  ``rare`` is the
+    number of rare tokens of the set, ``node`` its f1."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,24 +180,22 @@ def index_entries(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -
         for batch in batches:
             for _, tokens, firsts in _sets_of(batch, k):
                 f1, _ = fingerprints(tokens, firsts)
-                inside = tokens < end
-                mask = np.zeros(len(tokens), bool)
+                rare = tokens < end
                 if len(common):
                     at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
-                    mask = (common[at] == tokens) & inside
+                    rare &= common[at] != tokens
                 out, counts = [], np.zeros(len(f1), np.int64)
                 for i, (a, b) in enumerate(zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True)):
                     if b > a:
-                        m = int(np.count_nonzero(inside[a:b]))
-                        s = np.unique(signatures(tokens[a:b], mask[a:a + m], m, percent))
-                        out.append(s)
-                        counts[i] = len(s)
+                        out.append(np.unique(signatures(tokens[a:b], rare[a:b], percent)))
+                        counts[i] = len(out[-1])
                 sig = np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+                n_rare = np.diff(np.concatenate([[0], np.cumsum(rare)])[firsts])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig), pa.array(np.repeat(f1, counts)), pa.array(np.repeat(np.diff(firsts), counts))],
-                    names=["sig", "node", "n"])
+                    [pa.array(sig), *(pa.array(np.repeat(c, counts)) for c in (n_rare, f1, np.diff(firsts)))],
+                    names=["sig", "rare", "node", "n"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "sig long, node long, n long")
+    return docs.select("doc_id", "text").mapInArrow(run, "sig long, rare long, node long, n long")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -262,13 +255,13 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     entries = index_entries(known, k, percent, frequent_tokens(known, k))
     # An entry that only one set has proposes nothing.  Copies of a set are
     # combined on the map side.
-    ends = entries.groupBy("sig").agg(F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi"))
+    ends = entries.groupBy("sig").agg(F.min(F.struct("rare", "node", "n")).alias("center"), F.min("node").alias("lo"),
+                                      F.max("node").alias("hi"))
     shared = materialise(entries.join(ends.filter("lo <> hi"), "sig").select(
-        "sig", "node", "n", "lo", "hi").distinct(), "jaccard-entries")
+        "sig", "node", "n", F.col("center.node").alias("y"), F.col("center.n").alias("ny")).distinct(),
+        "jaccard-entries")
 
-    stars = shared.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.explode(F.array("lo", "hi")).alias("y"))
-    stars = stars.select("x", "nx", F.col("y.node").alias("y"), F.col("y.n").alias("ny"))
-    first = _pairs(stars, percent)
+    first = _pairs(shared.select(F.col("node").alias("x"), F.col("n").alias("nx"), "y", "ny"), percent)
     rep_a, rep_b = (by_node.select(F.col("node").alias(c), F.col("rep").alias(f"rep_{c}")) for c in "ab")
     first = first.join(rep_a, "a").join(rep_b, "b").select(
         F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).filter("a < b").distinct()

@@ -119,7 +119,8 @@ def _with_votes(text: Column, spans: Column, kind: str) -> Column:
         votes = {
             "strict": F.lit(1 if kind in BASE else 0), "check": check, "gazetteer": gazetteer,
             "cue": _vote(before.rlike(CUES)), "counter_cue": _vote(F.lit(False), before.rlike(COUNTER_CUES)),
-            "edge": _vote((x["start"] == 0) | before.rlike(r"[\s(<\"':,;]$"), after.rlike(r"[\p{L}0-9_/=]")),
+            "edge": F.when(after.rlike(r"[\p{L}0-9_/=]"), -1).otherwise(
+                _vote((x["start"] == 0) | before.rlike(r"[\s(<\"':,;]$"))),
         }
         shape = {"digits": F.least(F.floor(n / 4), F.lit(5)), "length": F.least(F.floor(F.length(s) / 8), F.lit(5)),
                  "parts": F.least(F.size(F.split(s, r"[\x20.-]")), F.lit(6))}
