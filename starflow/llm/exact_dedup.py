@@ -134,14 +134,16 @@ def exact_groups(docs: DataFrame, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
         rest.drop("n_bytes").join(docs_fp.select("doc_id", "fp", "n_bytes"), "doc_id")
         .select("fp", "n_bytes", "pos", "chunk"))
     compared = placed.groupBy(*key, "pos").agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi"))
-    unequal = compared.filter("lo <> hi").select(*key).distinct().withColumn("unequal", F.lit(True))
-    parted = (docs_fp.join(unequal, key, "left")
-              .withColumn("part", F.when(F.col("unequal"), F.col("text_sha256")).otherwise(""))
-              .select("doc_id", "text_sha256", *key, "part"))
-    groups = parted.groupBy(*key, "part").agg(F.min("doc_id").alias("keep_id"),
-                                              F.count(F.lit(1)).alias("group_size"))
-    return parted.join(groups, [*key, "part"]).select(
-        "doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), "text_sha256")
+    unequal = compared.filter("lo <> hi").select(*key).distinct()
+    groups = docs_fp.groupBy(*key).agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    equal = docs_fp.join(groups.join(unequal, key, "left_anti"), key)
+    # Fingerprints that different texts share: by the text's SHA-256 instead.
+    split = docs_fp.join(unequal, key)
+    by_text = split.groupBy(*key, "text_sha256").agg(F.min("doc_id").alias("keep_id"),
+                                                     F.count(F.lit(1)).alias("group_size"))
+    split = split.join(by_text, [*key, "text_sha256"])
+    cols = ["doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), "text_sha256"]
+    return equal.select(*cols).unionByName(split.select(*cols))
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
