@@ -104,10 +104,15 @@ def chunk_table(docs: DataFrame, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
 
 def fingerprints(chunks: DataFrame) -> DataFrame:
     """doc_id, text_sha256, n_bytes, fp: the terms of each document added up.
-    Terms are below 2**61: they are summed as decimals and reduced once."""
-    total = F.sum(F.col("term").cast("decimal(38,0)"))
+
+    Terms are below 2**61: they are summed as decimals and reduced once.  A
+    row that is there r times brings each of its chunks r times; the sum is
+    then r times the fingerprint's."""
+    wide = "decimal(38,0)"
+    times = (F.count(F.lit(1)) / (F.max("pos") + 1)).cast("decimal(10,0)")
+    total = F.sum(F.col("term").cast(wide))
     return (chunks.groupBy("doc_id", "text_sha256", "n_bytes")
-            .agg((total % F.lit(P).cast("decimal(38,0)")).cast("long").alias("fp")))
+            .agg(((total % (times * F.lit(P).cast("decimal(20,0)")).cast(wide)) / times).cast("long").alias("fp")))
 
 
 def exact_groups(docs: DataFrame, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
@@ -123,7 +128,7 @@ def exact_groups(docs: DataFrame, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     group is split by SHA-256.
     """
     chunks = materialise(chunk_table(docs, chunk_chars), "dedup-chunks")
-    docs_fp = materialise(fingerprints(chunks.select("doc_id", "text_sha256", "n_bytes", "term")), "dedup-fp")
+    docs_fp = materialise(fingerprints(chunks.select("doc_id", "text_sha256", "n_bytes", "pos", "term")), "dedup-fp")
     key = ["fp", "n_bytes"]
     # A document of one chunk has its term as its fingerprint; only the rare
     # longer ones need a join to learn it.
