@@ -60,6 +60,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def share_code(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this library from where the driver has it,
+    unless the session already says where they find it.  On a cluster the
+    library is shipped with the job (``--py-files``) or installed."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+    return spark
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder for one intermediate table or file set.
 
