@@ -13,14 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from starflow.llm import decontaminate, exact_dedup, ngram_join, packing, quality
-from starflow.session import materialise
+from starflow.session import materialise, share_code
 
 # Near duplicates: shingles of five words, Jaccard similarity of 0.8 or more.
 NEAR_SHINGLE, NEAR_PERCENT = 5, 80
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return share_code(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

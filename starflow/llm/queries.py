@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from starflow.llm import (decontaminate, exact_dedup, html_extract, ngram_join, packing, pii, quality, secret_scan,
                           token_counts, wavelet)
 from starflow.llm.sql import ORACLE_SQL  # noqa: F401
+from starflow.session import share_code
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return share_code(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_exact_dedup(spark, sf_dir):
