@@ -18,6 +18,9 @@ per word of the item.  Words are runs of letters and digits, in lower case.
 4. *Verification.*  Windows that collide are aligned with the item by dynamic
    programming, with free ends in the document; the minimum is the distance.
 
+The window that lines up with the shared run comes first.  Where it does not
+verify, every shift by up to k words is tried.
+
 Items are sent to the tasks in blocks of bounded size, whatever the size of
 the benchmark; documents are only read and never shuffled.
 """
@@ -55,6 +58,7 @@ _GAP[48:58] = _GAP[65:91] = _GAP[97:123] = False
 _GAP[128:] = False
 _CODES = np.where(_GAP, np.uint64(0), words.CODES)
 _PAD = np.uint64(0)
+_MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
 def folded_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -84,27 +88,10 @@ def walk(windows: np.ndarray, seed: int) -> np.ndarray:
     keys = words.mix(np.arange(STRETCH * m, dtype=np.uint64) + np.uint64(seed * 1_000_003 + 1))
     for j in range(STRETCH * m):
         out[:, j] = padded[rows, at]
-        at = np.minimum(at + (words.mix(out[:, j] ^ keys[j]) >> np.uint64(63)).astype(np.int64), m)
+        at = np.minimum(at + ((out[:, j] ^ keys[j]) * _MULT >> np.uint64(63)).astype(np.int64), m)
     return out
 
 
-def collides(windows: np.ndarray, items: np.ndarray, recall: float = RECALL) -> np.ndarray:
-    """Whether row i of ``windows`` meets row i of ``items`` in some table."""
-    tables = tables_needed(recall)
-    hit = np.zeros(len(windows), bool)
-    length = STRETCH * windows.shape[1]
-    for w in range(WALKS):
-        todo = np.flatnonzero(~hit)
-        if not len(todo):
-            break
-        distinct, back = np.unique(items[todo], axis=0, return_inverse=True)
-        same = walk(windows[todo], w) == walk(distinct, w)[back.ravel()]
-        rng = np.random.default_rng(w)
-        for _ in range(-(-tables // WALKS)):
-            hit[todo] |= same[:, rng.integers(0, length, SAMPLED)].all(axis=1)
-    return hit
-
-
 def edit_distances(items: np.ndarray, regions: np.ndarray) -> np.ndarray:
     """Least word edit distance of row i of ``items`` to any stretch of row i
     of ``regions`` (padded with 0, which matches nothing)."""
@@ -138,6 +125,9 @@ class ItemIndex:
             keys = self._run_hashes(hashes, q)[firsts[item] + at]
             order = np.argsort(keys, kind="stable")
             self.runs[q] = keys[order], item[order], at[order]
+        item = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.members = np.unique(words.mix(hashes) ^ words.mix(item))
+        self.embeddings: dict[tuple[int, int], np.ndarray] = {}
 
     @staticmethod
     def _run_hashes(hashes: np.ndarray, q: int) -> np.ndarray:
@@ -147,9 +137,9 @@ class ItemIndex:
             out += hashes[j:len(hashes) - q + 1 + j] * (words.mix(np.array([j + 1], np.uint64))[0] | np.uint64(1))
         return words.mix(out)
 
-    def windows(self, hashes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, item, start) of all windows around shared runs; a start is
-        relative to its text and may lie before it."""
+    def hits(self, hashes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+        """Columns (text, item, start) of the windows that line up with a
+        shared run; a start is relative to its text and may lie before it."""
         found = []
         text_of = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
         for q, (keys, item, at) in self.runs.items():
@@ -161,37 +151,76 @@ class ItemIndex:
             pos, pick = np.repeat(near, hi - lo), bpe.ranges(lo, hi - lo)
             text = text_of[pos]
             found.append(np.stack([text, item[pick], pos - firsts[text] - at[pick]]))
-        hits = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((3, 0), np.int64)
-        shifts = self.edits[hits[1]]
-        spread = np.repeat(hits, 2 * shifts + 1, axis=1)
-        spread[2] += bpe.ranges(-shifts, 2 * shifts + 1)
-        spread = np.unique(spread, axis=1)
-        return spread[0], spread[1], spread[2]
+        return np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((3, 0), np.int64)
+
+    def _embedded(self, m: int, w: int) -> np.ndarray:
+        """Embeddings of the items of m words."""
+        if (m, w) not in self.embeddings:
+            own = np.flatnonzero(self.sizes == m)
+            self.embeddings[m, w] = walk(self.hashes[self.firsts[own][:, None] + np.arange(m)], w)
+        return self.embeddings[m, w]
+
+    def collides(self, windows: np.ndarray, item: np.ndarray, recall: float = RECALL) -> np.ndarray:
+        """Whether row i of ``windows`` meets ``item[i]`` in some table; all
+        items are of the windows' length."""
+        m = windows.shape[1]
+        row = np.searchsorted(np.flatnonzero(self.sizes == m), item)
+        tables = tables_needed(recall)
+        hit = np.zeros(len(windows), bool)
+        for w in range(WALKS):
+            todo = np.flatnonzero(~hit)
+            if not len(todo):
+                break
+            same = walk(windows[todo], w) == self._embedded(m, w)[row[todo]]
+            rng = np.random.default_rng(w)
+            for _ in range(-(-tables // WALKS)):
+                hit[todo] |= same[:, rng.integers(0, STRETCH * m, SAMPLED)].all(axis=1)
+        return hit
 
     def leaks(self, hashes: np.ndarray, firsts: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         """(text, item, start, edits) of windows within the bound."""
-        text, item, start = self.windows(hashes, firsts)
-        ends = np.append(hashes, _PAD)
+        padded, n_words = np.append(hashes, _PAD), np.diff(firsts)
 
         def cut(text, start, length):
             """Words of windows; positions outside the text are padding."""
             at = start[:, None] + np.arange(length)
-            inside = (at >= 0) & (at < np.diff(firsts)[text][:, None])
-            return np.where(inside, ends[np.where(inside, at + firsts[text][:, None], len(hashes))], _PAD)
-
-        for m in np.unique(self.sizes[item]).tolist():
-            own = np.flatnonzero(self.sizes[item] == m)
-            for b in range(0, len(own), BLOCK_WINDOWS):
-                pick = own[b:b + BLOCK_WINDOWS]
-                t, i, s = text[pick], item[pick], start[pick]
-                k = int(self.edits[i[0]])
-                exact = self.hashes[self.firsts[i][:, None] + np.arange(m)]
-                near = np.flatnonzero(collides(cut(t, s, m), exact))
-                if len(near):
+            inside = (at >= 0) & (at < n_words[text][:, None])
+            return padded[np.where(inside, at + firsts[text][:, None], len(hashes))]
+
+        hits = self.hits(hashes, firsts)
+        for m in np.unique(self.sizes[hits[1]]).tolist():
+            own = hits[:, self.sizes[hits[1]] == m]
+            k = int(self.edits[own[1, 0]])
+            done = [np.zeros(0, np.int64)]
+            for shifted in (False, True):
+                if shifted:
+                    # The (text, item) pairs still open, at every shift.
+                    pair = own[0] * len(self.sizes) + own[1]
+                    own = own[:, ~np.isin(pair, np.concatenate(done))]
+                    own = np.repeat(own, 2 * k + 1, axis=1)
+                    own[2] += np.tile(np.arange(-k, k + 1), own.shape[1] // (2 * k + 1))
+                    own = np.unique(own, axis=1)
+                kept = []
+                for b in range(0, own.shape[1], BLOCK_WINDOWS):
+                    t, i, s = part = own[:, b:b + BLOCK_WINDOWS]
+                    if not shifted:
+                        # Words of the item must be near in number.
+                        near = words.mix(cut(t, s - k, m + 2 * k)) ^ words.mix(i)[:, None]
+                        at = np.minimum(np.searchsorted(self.members, near), len(self.members) - 1)
+                        part = part[:, (self.members[at] == near).sum(axis=1) >= m - k]
+                        kept.append(part)
+                        t, i, s = part
+                    near = np.flatnonzero(self.collides(cut(t, s, m), i)) if len(t) else t
+                    if not len(near):
+                        continue
                     t, i, s = t[near], i[near], s[near]
-                    d = edit_distances(exact[near], cut(t, s - k, m + 2 * k))
+                    exact = self.hashes[self.firsts[i][:, None] + np.arange(m)]
+                    d = edit_distances(exact, cut(t, s - k, m + 2 * k))
                     ok = d <= k
+                    done.append(t[ok] * len(self.sizes) + i[ok])
                     yield t[ok], i[ok], np.maximum(s[ok], 0), d[ok]
+                if not shifted:
+                    own = np.concatenate(kept, axis=1)
 
 
 def _blocks(benchmark: DataFrame, size: int) -> Iterator[ItemIndex]:
