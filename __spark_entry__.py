@@ -23,29 +23,29 @@ from pyspark.sql import functions as F  # noqa: E402
 from starflow.functions import clean as C  # noqa: E402
 from starflow.functions.constants import ACCEPTED_SEGMENTS, FRESHNESS_SALES  # noqa: E402
 from starflow.operators import profile as PR  # noqa: E402
-from starflow.operators.scd import latest_per_key, scd2_snapshot  # noqa: E402
-from starflow.sources.readers import upsert  # noqa: E402
+from starflow.operators.scd import latest_per_key, scd2_from_events, scd2_snapshot  # noqa: E402
+from starflow.sources.contracts import SALES_COLUMNS, SALES_RENAMES  # noqa: E402
+from starflow.sources.readers import ingest_sales, upsert  # noqa: E402
 from starflow.operators import quality as Q  # noqa: E402
 from starflow.operators import rollups as R  # noqa: E402
 from starflow.operators.facts import build_fact, calendar_dim  # noqa: E402
 from starflow.operators.fx import fill_calendar  # noqa: E402
 from starflow.plans import pipeline as P  # noqa: E402
 from starflow.plans import testbed as T  # noqa: E402
-from starflow.session import configure  # noqa: E402
+from starflow.session import configure, share_code  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
 def _t(spark: SparkSession, sf_dir: str):
-    configure(spark)
+    share_code(configure(spark))
     return T.load_tables(spark, sf_dir)
 
 
-# Tables read by several consumers are cut from their lineage with a reliable
-# checkpoint in the session's checkpoint folder (``spark.checkpoint.dir``),
-# as a production run materialises them: the windows under them run once,
-# and a lost executor re-reads the checkpoint instead of recomputing.
-PERSIST = os.environ.get("STARFLOW_PERSIST", "checkpoint")
+# Tables read by several consumers are written to the session's shared folder,
+# as a production run materialises them: the windows under them run once, and
+# a lost executor re-reads the table instead of recomputing.
+PERSIST = os.environ.get("STARFLOW_PERSIST", "table")
 
 
 def _staged(spark, sf_dir, persist=False):
@@ -221,6 +221,41 @@ def q_scd2_snapshot(spark, sf_dir):
     return scd2_snapshot(state, cur2, "customer_id", checks, run2)
 
 
+def q_ingest_sales(spark, sf_dir):
+    exports = [e.drop("_load_id", "_row_id") for e in T.sales_exports(_t(spark, sf_dir))]
+    return ingest_sales(exports, SALES_RENAMES, SALES_COLUMNS)
+
+
+def q_scd2_events(spark, sf_dir):
+    """What each user did last, as versions by time of day."""
+    versions = scd2_from_events(_t(spark, sf_dir)["events"], "user_id", ["event_type"], "ts", "event_id", "version_id")
+    return versions.select("user_id", "event_type", "valid_from", "valid_to")
+
+
+def q_chk_accepted_status(spark, sf_dir):
+    orders = _t(spark, sf_dir)["orders"]
+    return Q.accepted_values(orders, "o_orderstatus", ["F", "O"]).select("o_orderkey", "o_orderstatus")
+
+
+def q_chk_unique_customer(spark, sf_dir):
+    return Q.unique(_t(spark, sf_dir)["orders"], "o_custkey")
+
+
+def q_chk_ordered_after_shipping(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    lines = t["lineitem"].join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "l_orderkey", "l_linenumber", F.col("o_orderdate").alias("order_date"),
+        F.col("l_shipdate").alias("ship_date"), F.lit(False).alias("is_quarantined"))
+    return Q.ship_before_order(lines).select("l_orderkey", "l_linenumber")
+
+
+def q_chk_undivided_price(spark, sf_dir):
+    lines = _t(spark, sf_dir)["lineitem"].select(
+        "l_orderkey", "l_linenumber", F.col("l_discount").alias("rate"),
+        F.try_divide("l_extendedprice", "l_discount").alias("amount_usd"))
+    return Q.converted_but_null(lines).select("l_orderkey", "l_linenumber")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_sales": q_raw_sales,
     "conform_schema": q_conform_schema,
@@ -252,6 +287,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_last": q_first_last,
     "incremental_upsert": q_incremental_upsert,
     "scd2_snapshot": q_scd2_snapshot,
+    "ingest_sales": q_ingest_sales,
+    "scd2_events": q_scd2_events,
+    "chk_accepted_status": q_chk_accepted_status,
+    "chk_unique_customer": q_chk_unique_customer,
+    "chk_ordered_after_shipping": q_chk_ordered_after_shipping,
+    "chk_undivided_price": q_chk_undivided_price,
 }
 
 

@@ -64,9 +64,10 @@ def guarded_cast(col, to: str) -> Column:
 
 
 def clean_id(col) -> Column:
-    """Identifier text -> int; letters left in the text make it NULL."""
+    """Identifier text -> bigint, leading zeros and all; letters left in the
+    text make it NULL."""
     t = clean_id_text(col)
-    return F.when(t.rlike(r"^[0-9]{1,10}$"), t.try_cast("int"))
+    return F.when(t.rlike(r"^[0-9]+$"), t.try_cast("bigint"))
 
 
 def map_country_code(col) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clean import day_name, day_of_week0
@@ -14,14 +14,24 @@ def point_in_time_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key:
     """JN5: left join each fact row to the dimension version in force on its
     date: equal keys and valid_from <= d < valid_to (open when NULL).
 
-    Planned as an equi-join on the key with a range residual.  Spark chooses
-    broadcast from the dimension's measured size (AQE re-plans at runtime);
-    otherwise a sort-merge join where AQE splits a skewed key's partitions."""
-    d = dim.select(*[F.col(c).alias(f"{prefix}{c}") for c in [dim_key, "valid_from", "valid_to"] + select])
-    cond = ((facts[fact_key] == d[f"{prefix}{dim_key}"])
-            & (facts[fact_date] >= d[f"{prefix}valid_from"])
-            & (d[f"{prefix}valid_to"].isNull() | (facts[fact_date] < d[f"{prefix}valid_to"])))
-    return facts.join(d, cond, "left")
+    The versions are carried to the distinct (key, date) pairs of the facts
+    first, and the facts then join on (key, date).  The pairs of a key are as
+    many as it has days, however many rows and versions it has, and a hot key
+    is dealt out by its dates.  Versions of a key must not overlap; one that
+    starts and ends on the same day is never in force."""
+    d = f"{prefix}date"
+    version = F.struct("valid_to", *select)
+    starts = (dim.filter(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from")))
+              .select(F.col(dim_key).alias(f"{prefix}key"), F.col("valid_from").alias(d), version.alias("_v")))
+    asked = facts.select(F.col(fact_key).alias(f"{prefix}key"), F.col(fact_date).alias(d)).distinct()
+    days = starts.unionByName(asked, allowMissingColumns=True).groupBy(f"{prefix}key", d).agg(F.max("_v").alias("_v"))
+    w = (Window.partitionBy(f"{prefix}key").orderBy(d)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    carried = days.withColumn("_v", F.last("_v", ignorenulls=True).over(w))
+    in_force = carried.filter(F.col("_v.valid_to").isNull() | (F.col(d) < F.col("_v.valid_to"))).select(
+        f"{prefix}key", d, *[F.col(f"_v.{c}").alias(f"{prefix}{c}") for c in select])
+    cond = (facts[fact_key] == in_force[f"{prefix}key"]) & (facts[fact_date] == in_force[d])
+    return facts.join(in_force, cond, "left").drop(f"{prefix}key", d)
 
 
 FACT_COLUMNS = [

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clean import sign_int
-from .joins import bounded_broadcast
 from .quality import conformed_rules, country_key, country_rules, flag, fx_rules
 
 
@@ -131,8 +130,7 @@ CONFORMED_COLUMNS = [
 ]
 
 
-def convert_to_base(sales: DataFrame, countries: DataFrame, fx: DataFrame,
-                    broadcast_rows: int = 0) -> DataFrame:
+def convert_to_base(sales: DataFrame, countries: DataFrame, fx: DataFrame) -> DataFrame:
     """FX1: country name, the order-day rate and amount_usd = amount / rate.
 
     Rates are base->local (base USD), so dividing converts to USD.  Rows
@@ -141,15 +139,11 @@ def convert_to_base(sales: DataFrame, countries: DataFrame, fx: DataFrame,
              .filter(F.col("_ck").isNotNull())
              .groupBy("_ck").agg(F.min("common_name").alias("country_name")))
     rates = country_day_rates(countries, fx).withColumnRenamed("_ck", "_rk")
-    # Countries are reference data (a few hundred rows): always broadcast.
-    # Country-day rates grow with days x countries (about 1M rows for 250
-    # countries over ten years): no hint; AQE measures the shuffled size at
-    # runtime and broadcasts it when under the threshold, else keeps the
-    # shuffle join on (country, day).  ``broadcast_rows`` > 0 forces a
-    # counted check instead.
-    s = sales.join(F.broadcast(keyed), sales["country"] == keyed["_ck"], "left")
-    r = bounded_broadcast(rates, broadcast_rows) if broadcast_rows > 0 else rates
-    s = s.join(r, (s["country"] == r["_rk"]) & (s["order_date"] == r["rate_date"]), "left")
+    # No broadcast hint: AQE measures both small sides at runtime and
+    # broadcasts them under the session's threshold; else the shuffle joins
+    # stay, where it splits skewed keys.
+    s = sales.join(keyed, sales["country"] == keyed["_ck"], "left")
+    s = s.join(rates, (s["country"] == rates["_rk"]) & (s["order_date"] == rates["rate_date"]), "left")
     s = (s.withColumn("amount_usd", F.try_divide(F.col("amount").cast("double"), F.col("rate")))
           .withColumn("order_line_id", order_line_id()))
     s = flag(s.drop("quarantine_reason", "is_quarantined"), conformed_rules())

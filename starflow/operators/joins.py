@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast and null-safe key columns."""
+"""Join helper: null-safe key columns."""
 
 from __future__ import annotations
 
@@ -7,21 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side is shipped whole to every executor; keep it well below
-# executor memory.  Rows, not bytes, because the check must be cheap.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
-
-    The check is an action on the small side only (``limit(max_rows + 1)``
-    stops early); beyond the bound the plain DataFrame is returned and Spark
-    plans a shuffle join, so correctness never depends on the size."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def null_safe_keys(df: DataFrame, keys: Sequence[str], prefix: str = "_k") -> tuple[DataFrame, list[str]]:
     """Add non-null stand-ins for possibly-NULL key columns.
 

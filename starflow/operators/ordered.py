@@ -4,11 +4,11 @@ previous/next row values (WIN4, WIN5).
 Skew.  A plain window over one entity key puts every row of a hot entity in
 one task.  Here the window key is (entity, day): rows are split by day, the
 within-day step is an ordinary window, and the step across days runs on a
-small table of one row per (entity, day) built with a partial (map-side)
-aggregate.  That table per entity is bounded by the number of distinct days,
-not by the number of rows, so a key holding a third of all rows is spread
-over as many tasks as it has days.  The big side is shuffled once: the window
-and the join back use the same partitioning columns.
+small table of one row per (entity, day), built from the input with a partial
+(map-side) aggregate.  That table per entity is bounded by the number of
+distinct days, not by the number of rows, so a key holding a third of all rows
+is spread over as many tasks as it has days.  The input is read by both
+branches: materialise it first if it is costly to compute.
 """
 
 from __future__ import annotations
@@ -25,14 +25,12 @@ def _asc(c: str) -> Column:
     return F.col(c).asc_nulls_last()
 
 
-# Day buckets must be non-NULL to join back on them; NULL dates sort last
-# everywhere here, so they share the last possible day.  Rows inside a bucket
-# are still ordered by the original column, NULLs last.
-_LAST_DAY = "9999-12-31"
-
-
-def _day_bucket(c: str) -> Column:
-    return F.coalesce(F.col(c).cast("date"), F.lit(_LAST_DAY).cast("date"))
+def _with_day(df: DataFrame, col: str, prefix: str) -> tuple[DataFrame, list[str]]:
+    """Add the split unit of ``col``: whether it is NULL (those rows come
+    last) and its day.  Both are never NULL, so tables can join back on them."""
+    undated, day = f"{prefix}z", f"{prefix}b"
+    return df.withColumns({undated: F.col(col).isNull(),
+                           day: F.coalesce(F.col(col).cast("date"), F.lit("1970-01-01").cast("date"))}), [undated, day]
 
 
 def forward_fill(df: DataFrame, value_col: str, keys: Sequence[str], order_col: str,
@@ -41,22 +39,22 @@ def forward_fill(df: DataFrame, value_col: str, keys: Sequence[str], order_col:
     rows from the start up to the current row (NULLs of order_col sort last).
 
     ``bucket_col`` (default: ``order_col``) is the split unit for skew; it
-    must be monotone in ``order_col``.  The input is shuffled once: the
-    per-day tails are aggregated from the window's output, which is already
-    partitioned by (key, day), and the join back uses the same columns."""
+    must be monotone in ``order_col``.  The last value of each day needs no
+    window: it is one aggregate over the narrow input."""
     out_col = out_col or value_col
     bucket_col = bucket_col or order_col
     df, kcols = null_safe_keys(df, list(keys), "_ffk")
-    df = df.withColumn("_ffb", _day_bucket(bucket_col))
-    part = kcols + ["_ffb"]
+    df, day = _with_day(df, bucket_col, "_ff")
+    part = kcols + day
 
     w_in = (Window.partitionBy(*part).orderBy(_asc(order_col), F.col(tiebreak).asc())
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     filled_in = df.withColumn("_ff_in", F.last(value_col, ignorenulls=True).over(w_in))
-    # Last filled value of each (key, day): one row per day, map-side combined.
-    tails = (filled_in.groupBy(*part)
-             .agg(F.max_by(F.col("_ff_in"), F.struct(F.col(order_col), F.col(tiebreak))).alias("_ff_tail")))
-    w_carry = (Window.partitionBy(*kcols).orderBy(F.col("_ffb").asc_nulls_last())
+    # Last value of each (key, day): one row per day, map-side combined.  Rows
+    # without a value have a NULL order, which max_by passes over.
+    at = F.when(F.col(value_col).isNotNull(), F.struct(F.col(order_col), F.col(tiebreak)))
+    tails = df.groupBy(*part).agg(F.max_by(F.col(value_col), at).alias("_ff_tail"))
+    w_carry = (Window.partitionBy(*kcols).orderBy(*day)
                .rowsBetween(Window.unboundedPreceding, -1))
     carried = (tails.withColumn("_ff_carry", F.last("_ff_tail", ignorenulls=True).over(w_carry))
                .select(*part, "_ff_carry"))
@@ -84,15 +82,15 @@ def with_previous(df: DataFrame, keys: Sequence[str], order_col: str, tiebreak:
     """WIN4: add ``prefix + c`` = value of ``c`` on the previous row of the
     same key, ordered by (order_col, tiebreak); NULL on the first row."""
     df, kcols = null_safe_keys(df, list(keys), "_pvk")
-    df = df.withColumn("_pvb", _day_bucket(order_col))
-    part = kcols + ["_pvb"]
+    df, day = _with_day(df, order_col, "_pv")
+    part = kcols + day
     w = Window.partitionBy(*part).orderBy(_asc(order_col), F.col(tiebreak).asc())
     vals = F.struct(*[F.col(c) for c in cols])
     inner = (df.withColumn("_pv_lag", F.lag(vals).over(w))
                .withColumn("_pv_first", F.row_number().over(w) == 1))
-    tails = (inner.groupBy(*part)
+    tails = (df.groupBy(*part)
                .agg(F.max_by(vals, F.struct(F.col(order_col), F.col(tiebreak))).alias("_pv_tail")))
-    w_b = Window.partitionBy(*kcols).orderBy(F.col("_pvb").asc_nulls_last())
+    w_b = Window.partitionBy(*kcols).orderBy(*day)
     prev_tail = (tails.withColumn("_pv_prev_tail", F.lag("_pv_tail").over(w_b))
                       .select(*part, "_pv_prev_tail"))
     out = inner.join(prev_tail, part, "left")
@@ -106,17 +104,16 @@ def with_next_start(df: DataFrame, keys: Sequence[str], start_col: str, tiebreak
     """WIN5: ``out_col`` = ``start_col`` of the next row of the same key
     ordered by (start_col, tiebreak); NULL on the last row.
 
-    Rows that share a start day get that same day (a zero-length interval,
-    as the source does); the last row of a day gets the next day present."""
+    A start that several rows share gives a zero-length interval, as the
+    source does.  Starts may be dates or timestamps: the last row of a day
+    gets the earliest start of the next day that has one."""
     df, kcols = null_safe_keys(df, list(keys), "_nxk")
-    df = df.withColumn("_nxb", _day_bucket(start_col))
-    part = kcols + ["_nxb"]
+    df, day = _with_day(df, start_col, "_nx")
+    part = kcols + day
     w = Window.partitionBy(*part).orderBy(_asc(start_col), F.col(tiebreak).asc())
     inner = df.withColumn("_nx_in", F.lead(start_col).over(w))
-    days = inner.select(*part).distinct()
-    w_b = Window.partitionBy(*kcols).orderBy(F.col("_nxb").asc_nulls_last())
-    nxt = days.withColumn("_nx_day", F.lead("_nxb").over(w_b))
-    if dict(df.dtypes)[start_col] == "date":
-        nxt = nxt.withColumn("_nx_day", F.when(F.col("_nx_day") != F.lit(_LAST_DAY).cast("date"), F.col("_nx_day")))
-    out = inner.join(nxt, part, "left").withColumn(out_col, F.coalesce("_nx_in", "_nx_day"))
-    return out.drop(*part, "_nx_in", "_nx_day")
+    first = df.groupBy(*part).agg(F.min(start_col).alias("_nx_first"))
+    w_b = Window.partitionBy(*kcols).orderBy(*day)
+    nxt = first.select(*part, F.lead("_nx_first").over(w_b).alias("_nx_next"))
+    out = inner.join(nxt, part, "left").withColumn(out_col, F.coalesce("_nx_in", "_nx_next"))
+    return out.drop(*part, "_nx_in", "_nx_next")

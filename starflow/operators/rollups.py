@@ -25,7 +25,7 @@ def revenue_rollup(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFr
     dp = _in_force(dim_product).select(F.col("product_surrogate_id").alias("_pk"), "category")
     regions = countries.select(country_key().alias("_rk"), "region")
     j = (fact.join(dc, fact["customer_key"] == dc["_ck"], "left")
-             .join(F.broadcast(regions), F.col("_cc") == F.col("_rk"), "left")
+             .join(regions, F.col("_cc") == F.col("_rk"), "left")
              .join(dp, fact["product_key"] == dp["_pk"], "left")
              .withColumn("order_month", F.trunc("order_date", "month")))
     return (j.rollup("order_month", "region", "category")

@@ -1,11 +1,10 @@
 """The sales star: stage -> dedupe -> conform -> dimensions -> fact.
 
-Each step is a function DataFrame -> DataFrame; nothing runs until an action.
-``build`` wires them together and persists the two tables that several
-consumers read (staged sales and the conformed table) so the windows under
-them run once.  On a cluster the persistence is a reliable checkpoint in the
-session's shared checkpoint folder, which also cuts lineage: an executor lost
-later re-reads the checkpoint instead of recomputing from raw.
+Each step is a function DataFrame -> DataFrame.  ``build`` wires them together
+and writes the tables that several consumers read (parsed and staged sales,
+the conformed table) as Parquet in the session's shared folder, so the windows
+under them run once and an executor lost later re-reads them instead of
+recomputing from raw.  With persistence 'none' nothing runs until an action.
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ from ..operators.fx import convert_to_base, fill_calendar, stage_countries, stag
 from ..operators.ordered import dedupe_latest, forward_fill
 from ..operators.quality import flag, sales_rules
 from ..operators.scd import scd2_from_events, with_unknown_member
-from ..session import checkpoint_dir
+from ..session import materialise
 from ..sources.readers import unnest
 from . import testbed
 
@@ -34,13 +33,13 @@ STAGED_COLUMNS = [
 
 
 def persist(df: DataFrame, mode: str) -> DataFrame:
-    """'none' (lazy), 'cache' (executor memory/disk) or 'checkpoint'
-    (reliable, in the session's shared checkpoint folder)."""
+    """'none' (lazy), 'cache' (executor memory/disk) or 'table': written as
+    Parquet in the session's shared folder, which runs the job, and read back
+    with column pruning and pushdown.  The folder goes with the application."""
     if mode == "cache":
         return df.cache()
-    if mode == "checkpoint":
-        checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+    if mode == "table":
+        return materialise(df, "stage")
     return df
 
 
@@ -83,10 +82,10 @@ def stage_sales(raw: DataFrame, money: str = "reference", allow_returns: bool =
     priced = forward_fill(parsed, "unit_price_n", ["product_id_t"], "order_date", "_row_id",
                           out_col="unit_price_f")
     typed = priced.select(
-        F.col("order_id_t").try_cast("int").alias("order_id"),
-        F.col("customer_id_t").try_cast("int").alias("customer_id"),
+        F.col("order_id_t").try_cast("bigint").alias("order_id"),
+        F.col("customer_id_t").try_cast("bigint").alias("customer_id"),
         "customer_name",
-        F.col("product_id_t").try_cast("int").alias("product_id"),
+        F.col("product_id_t").try_cast("bigint").alias("product_id"),
         "product_name", "country", "order_date", "ship_date", "quantity",
         (C.to_decimal("unit_price_f") if money == "reference" else F.col("unit_price_f")).alias("unit_price"),
         "amount", "category", "segment", "order_channel", "discount", "tax", "_load_id", "_row_id",

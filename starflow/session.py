@@ -23,12 +23,6 @@ CORE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
-    # Constraint inference turns "row is not quarantined" into isnotnull()
-    # filters on every parsed column and pushes them to the scan, copying the
-    # whole parsing expression there: each row is parsed twice and the
-    # generated code outgrows the JVM's 64 KB method limit.
-    "spark.sql.optimizer.excludedRules":
-        "org.apache.spark.sql.catalyst.optimizer.InferFiltersFromConstraints",
 }
 
 
@@ -36,9 +30,12 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the core settings that are runtime-modifiable."""
+    """Set those of the core settings that the session leaves unset; what the
+    caller has set stays."""
+    given = {r["key"] for r in spark.sql("SET").collect()}
     for k, v in CORE_CONF.items():
-        spark.conf.set(k, v)
+        if k not in given:
+            spark.conf.set(k, v)
     return spark
 
 

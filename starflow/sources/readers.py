@@ -10,7 +10,7 @@ import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,32 +33,44 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[snake_case(c) for c in df.columns])
 
 
-def read_text_table(spark: SparkSession, paths: str | Sequence[str], skip_rows: int = 0,
-                    sep: str = ",") -> DataFrame:
-    """SRC1: a delimited export read as all text, skipping a banner of
-    ``skip_rows`` lines above the header in every file.
+def read_text_tables(spark: SparkSession, paths: str | Sequence[str], skip_rows: int = 0,
+                     sep: str = ",") -> list[DataFrame]:
+    """SRC1: delimited exports read as all text, one table per distinct header
+    line, skipping a banner of ``skip_rows`` lines above it in every file.
 
     Lines are numbered per file from the file's first split only (the split
     starting at byte 0 holds the banner): row ids are consecutive within a
-    task, so line = id - first id of that file.  The header line gives the
-    column names; every value stays a string.  Quoted fields may not contain
-    line breaks."""
+    task, so line = id - first id of that file.  Each file's lines are read
+    under its own header; every value stays a string.  Quoted fields may not
+    contain line breaks.  Only the distinct header lines reach the driver, as
+    many as there are versions of the export."""
     lines = (spark.read.text(paths)
              .select("value", F.col("_metadata.file_path").alias("_f"),
                      F.col("_metadata.file_block_start").alias("_b"),
                      F.monotonically_increasing_id().alias("_id")))
     first = (lines.filter(F.col("_b") == 0).groupBy("_f").agg(F.min("_id").alias("_id0")))
-    numbered = (lines.join(F.broadcast(first), "_f", "left")
+    numbered = (lines.join(first, "_f", "left")
                 .withColumn("_line", F.when(F.col("_b") == 0, F.col("_id") - F.col("_id0"))))
-    header_line = numbered.filter(F.col("_line") == skip_rows).select("value").first()
-    if header_line is None:
+    headers = numbered.filter(F.col("_line") == skip_rows).select("_f", F.col("value").alias("_header"))
+    versions = sorted(r[0] for r in headers.select("_header").distinct().collect())
+    if not versions:
         raise ValueError(f"no header line after {skip_rows} banner lines in {paths}")
-    names = next(iter(_csv_rows([header_line[0]], sep)))
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
     body = numbered.filter(F.col("_line").isNull() | (F.col("_line") > skip_rows))
-    body = body.filter(F.length(F.trim("value")) > 0)
-    parsed = body.select(F.from_csv("value", schema.simpleString(), {"sep": sep}).alias("_r"))
-    return parsed.select(*[F.col(f"_r._c{i}").alias(n.strip()) for i, n in enumerate(names)])
+    body = body.filter(F.length(F.trim("value")) > 0).join(headers, "_f")
+    out = []
+    for header in versions:
+        names = next(iter(_csv_rows([header], sep)))
+        schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
+        parsed = body.filter(F.col("_header") == header).select(
+            F.from_csv("value", schema.simpleString(), {"sep": sep}).alias("_r"))
+        out.append(parsed.select(*[F.col(f"_r._c{i}").alias(n.strip()) for i, n in enumerate(names)]))
+    return out
+
+
+def read_text_table(spark: SparkSession, paths: str | Sequence[str], skip_rows: int = 0,
+                    sep: str = ",") -> DataFrame:
+    """SRC1 as one table: the union by column name of ``read_text_tables``."""
+    return union_exports(read_text_tables(spark, paths, skip_rows, sep))
 
 
 def _csv_rows(lines: Iterable[str], sep: str):
@@ -94,6 +106,16 @@ def repair_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: fix_mojibake(c) for c in columns})
 
 
+def ingest_sales(exports: Sequence[DataFrame], renames: dict[str, str], columns: Sequence[str],
+                 keys: Sequence[str] = ("order_id",),
+                 text: Sequence[str] = ("customer_name", "product_name", "country")) -> DataFrame:
+    """The sales ingest path: each export's headers normalised and conformed
+    to the contract, united, rows without a key dropped and text repaired.
+    ``append_load`` then stamps and lands the result."""
+    united = union_exports([conform_schema(normalize_columns(e), renames, list(columns)) for e in exports])
+    return repair_text(drop_null_keys(united, keys), text)
+
+
 def with_lineage(df: DataFrame, load_id: str | Column) -> DataFrame:
     """Stamp a load id and a row id (hash of load, content and position)."""
     lid = load_id if isinstance(load_id, Column) else F.lit(load_id)
@@ -183,9 +205,12 @@ def flatten(df: DataFrame, sep: str = "__") -> DataFrame:
 def unnest(df: DataFrame, array_col: str, sep: str = "__") -> tuple[DataFrame, DataFrame]:
     """SRC12: (parent, child).  The parent gets a ``_row_id`` and flattened
     struct columns; the child has one row per array element with
-    ``_parent_id`` and ``_pos``.  Both come from one scan; nothing is
-    collected."""
-    keyed = df.withColumn("_row_id", F.md5(F.to_json(F.struct(*[F.col(c) for c in df.columns]))))
+    ``_parent_id`` and ``_pos``.  Records that are equal in every field are
+    numbered, so each has an id of its own; nothing is collected."""
+    content = F.md5(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    nth = F.row_number().over(Window.partitionBy("_content").orderBy("_content"))
+    keyed = (df.withColumn("_content", content)
+             .withColumn("_row_id", F.md5(F.concat_ws("#", "_content", nth))).drop("_content"))
     parent = flatten(keyed.drop(array_col), sep)
     child = (keyed.select(F.col("_row_id").alias("_parent_id"),
                           F.posexplode(array_col).alias("_pos", "_e"))

@@ -68,19 +68,21 @@ def test_text(spark):
     assert run(spark, C.trim_chars, ["Notebook", "Desk Lamp", None]) == ["teb", "desk lamp", None]
 
 
+# Each damaged or sound cell and what it must become.
+MOJIBAKE = [
+    ("Jos\u00c3\u00a9", "Jos\u00e9"), ("Jos\u00e9", "Jos\u00e9"), ("\u00e2\u201a\u00ac 5", "\u20ac 5"),
+    ("\u65e5\u672c", "\u65e5\u672c"), ("\u00c5\u2019uvre", "\u0152uvre"), (None, None), ("  plain  ", "plain"),
+    ("\u0081x ", "\u0081x"),
+]
+
+
 def test_fix_mojibake(spark):
-    cells = ["JosÃ©", "José", "â‚¬ 5", "日本", "Å’uvre", None, "  plain  ", "\u0081x "]
-    want = []
-    for v in cells:
-        if v is None:
-            want.append(None)
-            continue
-        try:
-            want.append(v.encode("cp1252").decode("utf-8").strip())
-        except (UnicodeDecodeError, UnicodeEncodeError):
-            want.append(v.strip())
-    assert want[:5] == ["José", "José", "€ 5", "日本", "Œuvre"]
-    assert run(spark, C.fix_mojibake, cells) == want
+    assert run(spark, C.fix_mojibake, [cell for cell, _ in MOJIBAKE]) == [want for _, want in MOJIBAKE]
+
+
+def test_wide_ids(spark):
+    cells = ["00000000012", "#3000000000", "9223372036854775807", "9223372036854775808", ""]
+    assert run(spark, C.clean_id, cells) == [12, 3000000000, 9223372036854775807, None, None]
 
 
 def test_dates_parts(spark):

@@ -97,3 +97,35 @@ def test_stream_merges_latest_correction(spark):
     out = S.read_target(spark, target)
     assert out.count() == first
     assert out.filter(F.col("_load_id") != "999999").count() == 0
+
+
+def test_next_start_of_timestamps_and_the_last_day(spark):
+    from starflow.operators.ordered import with_next_start
+    rows = [(1, "2024-01-01 09:00:00"), (1, "2024-01-01 15:00:00"), (1, "2024-01-03 10:00:00"),
+            (1, "9999-12-31 00:00:00"), (1, None)]
+    df = spark.createDataFrame([(k, s, i) for i, (k, s) in enumerate(rows)], "k int, s string, i int")
+    for kind in ("timestamp", "date"):
+        out = with_next_start(df.withColumn("start", F.col("s").cast(kind)), ["k"], "start", "i").orderBy("i")
+        starts = [r.start for r in out.collect()]
+        assert [r.valid_to for r in out.collect()] == [*starts[1:4], None, None]
+
+
+def test_point_in_time_join_on_a_hot_key(spark):
+    """A third of all lines on one key, versions of a day, and no range join."""
+    from starflow.operators.facts import point_in_time_join
+    dim = spark.createDataFrame(
+        [(1, "2024-01-01", "2024-01-05", "a"), (1, "2024-01-05", "2024-01-05", "zero"), (1, "2024-01-05", None, "b"),
+         (2, "2024-01-02", "2024-01-03", "c")], "k int, f string, t string, v string").select(
+        "k", F.col("f").cast("date").alias("valid_from"), F.col("t").cast("date").alias("valid_to"), "v")
+    facts = spark.range(9000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50).cast("int").alias("key"),
+        F.date_add(F.lit("2023-12-30").cast("date"), (F.col("id") % 10).cast("int")).alias("d"))
+    out = point_in_time_join(facts, dim, "key", "k", "d", ["v"], "_x_")
+    plan = out._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    versions = [(r.k, r.valid_from, r.valid_to, r.v) for r in dim.collect()]
+    got = {r.id: r["_x_v"] for r in out.collect()}
+    assert len(got) == 9000
+    for r in facts.collect():
+        want = [v for k, a, b, v in versions if k == r.key and a <= r.d and (b is None or r.d < b)]
+        assert got[r.id] == (want[0] if want else None)

@@ -13,9 +13,10 @@ import __spark_entry__ as E  # noqa: E402
 from compare import TABLES, rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-FAST = ["raw_sales", "stage_sales", "dedupe_latest", "stage_countries", "stage_fx", "convert_usd",
-        "scd2_customer", "point_in_time_fact", "calendar", "revenue_rollup", "incremental_upsert",
-        "scd2_snapshot", "column_profile", "parse_money"]
+# The training-data queries have tests of their own.
+NAMES = sorted(E._QUERIES)
+# Checks that a sound pipeline passes; each has a failing counterpart above.
+CLEAN = {"chk_accepted_segment", "chk_ship_before_order", "chk_converted_null", "chk_unique_common_name"}
 
 
 @pytest.fixture(scope="module")
@@ -29,18 +30,20 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(NAMES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     res = con.execute(E.oracle_sql()[name])
     dcols = [x[0] for x in res.description]
     assert sorted(df.columns) == sorted(dcols)
-    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(dcols, res.fetchall())
+    want = rows_of(dcols, res.fetchall())
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == want
+    assert want or name in CLEAN
 
 
 def test_entry_runs(spark):
     df = E.entry(spark)
-    assert df.count() >= 0 and "net_usd" in df.columns
+    assert df.count() > 100 and "net_usd" in df.columns

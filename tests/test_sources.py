@@ -28,6 +28,24 @@ def test_read_text_table_skips_banner(spark):
     assert conformed.filter(F.col("amount").isNotNull()).count() == 3
 
 
+def test_headers_per_file(spark, tmp_path):
+    """Two versions of an export: each file is read under its own header."""
+    (tmp_path / "a.csv").write_text("Order ID,Segment,Amount\n1,corp,10\n")
+    (tmp_path / "b.csv").write_text("Order ID,Total Amount ,Tax\n2,20,5%\n,30,1%\n")
+    exports = R.read_text_tables(spark, str(tmp_path))
+    landed = R.ingest_sales(exports, SALES_RENAMES, SALES_COLUMNS)
+    got = {(r.order_id, r.segment, r.amount, r.tax) for r in landed.collect()}
+    assert got == {("1", "corp", "10", None), ("2", None, "20", "5%")}
+
+
+def test_unnest_of_equal_records(spark):
+    df = spark.createDataFrame([("x", [{"code": "A"}]), ("x", [{"code": "A"}])],
+                               "name string, currencies array<struct<code:string>>")
+    parent, child = R.unnest(df, "currencies")
+    ids = [r["_row_id"] for r in parent.collect()]
+    assert len(set(ids)) == 2 and sorted(r["_parent_id"] for r in child.collect()) == sorted(ids)
+
+
 def test_exports_union_equals_single_pass(spark):
     t = T.load_tables(spark, "/root/testdata/sf0.001")
     a = T.raw_sales(t)
