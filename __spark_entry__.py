@@ -25,7 +25,7 @@ from starflow.functions.constants import ACCEPTED_SEGMENTS, FRESHNESS_SALES  # n
 from starflow.operators import profile as PR  # noqa: E402
 from starflow.operators.scd import latest_per_key, scd2_from_events, scd2_snapshot  # noqa: E402
 from starflow.sources.contracts import SALES_COLUMNS, SALES_RENAMES  # noqa: E402
-from starflow.sources.readers import ingest_sales, upsert  # noqa: E402
+from starflow.sources.readers import drop_exact, ingest_sales, read_since, upsert  # noqa: E402
 from starflow.operators import quality as Q  # noqa: E402
 from starflow.operators import rollups as R  # noqa: E402
 from starflow.operators.facts import build_fact, calendar_dim  # noqa: E402
@@ -119,8 +119,9 @@ def q_point_in_time_fact(spark, sf_dir):
 
 
 def q_calendar(spark, sf_dir):
-    t, st, countries, fx, conf = _conformed(spark, sf_dir, persist=True)
-    return calendar_dim(conf, st)
+    # Conforming keeps every deduped row, so its first order date is theirs.
+    t, st = _staged(spark, sf_dir, persist=True)
+    return calendar_dim(P.dedupe_sales(st, T.loads(t)), st)
 
 
 def q_revenue_rollup(spark, sf_dir):
@@ -203,7 +204,7 @@ def q_incremental_upsert(spark, sf_dir):
     early = loads.filter(F.col("inserted_at") < _cutoff(loads))
     first = P.conform_sales(P.dedupe_sales(st, early), countries, fx)
     first = P.persist(first, PERSIST)
-    batch = P.conform_sales(P.dedupe_sales(st, loads), countries, fx, target=first)
+    batch = P.conform_since(st, loads, countries, fx, first)
     return upsert(first, batch, ["order_line_id"])
 
 
@@ -256,6 +257,26 @@ def q_chk_undivided_price(spark, sf_dir):
     return Q.converted_but_null(lines).select("l_orderkey", "l_linenumber")
 
 
+def q_split_clean(spark, sf_dir):
+    return Q.split(_staged(spark, sf_dir)[1])[0].select("_row_id", "order_id", "product_id")
+
+
+def q_drop_exact(spark, sf_dir):
+    """Export lines of a customer's product that agree in all that is asked."""
+    raw = T.raw_sales(_t(spark, sf_dir))
+    return drop_exact(raw.select("customer_name", "country", "segment", "category", "_load_id", "_row_id"))
+
+
+def q_fx_merge(spark, sf_dir):
+    """Quotes landed in two runs: the second reads from the last known day on
+    and replaces what it meets."""
+    quotes = T.fx_quotes(_t(spark, sf_dir))
+    half = quotes.agg(F.date_add(F.min("actual_date"), (F.date_diff(F.max("actual_date"), F.min("actual_date")) / 2)
+                                 .cast("int"))).scalar()
+    first = quotes.filter(F.col("actual_date") <= half)
+    return upsert(first, read_since(quotes, "actual_date", first, "1900-01-01"), ["actual_date", "currency"])
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_sales": q_raw_sales,
     "conform_schema": q_conform_schema,
@@ -288,6 +309,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_upsert": q_incremental_upsert,
     "scd2_snapshot": q_scd2_snapshot,
     "ingest_sales": q_ingest_sales,
+    "split_clean": q_split_clean,
+    "drop_exact": q_drop_exact,
+    "fx_merge": q_fx_merge,
     "scd2_events": q_scd2_events,
     "chk_accepted_status": q_chk_accepted_status,
     "chk_unique_customer": q_chk_unique_customer,

@@ -105,6 +105,17 @@ def dedupe_sales(staged: DataFrame, loads: DataFrame) -> DataFrame:
                          ["loaded_date"], ["_row_id"])
 
 
+def conform_since(staged: DataFrame, loads: DataFrame, countries: DataFrame, fx: DataFrame, target: DataFrame,
+                  lookback_days: int = INCREMENTAL_LOOKBACK_DAYS) -> DataFrame:
+    """The incremental batch: as ``conform_sales`` with a ``target``, but the
+    load times are cut before the dedupe.  The winner of a line is its latest
+    load, so the rows are the same, while only the loads since the watermark
+    are joined, windowed and shuffled."""
+    mark = F.coalesce(target.agg(F.max("loaded_date")).scalar(), F.lit(WATERMARK_FLOOR).cast("timestamp"))
+    recent = loads.filter(F.col("inserted_at") >= mark - F.expr(f"INTERVAL {lookback_days} DAYS"))
+    return conform_sales(dedupe_sales(staged, recent), countries, fx)
+
+
 def conform_sales(deduped: DataFrame, countries: DataFrame, fx: DataFrame,
                   target: DataFrame | None = None,
                   lookback_days: int = INCREMENTAL_LOOKBACK_DAYS) -> DataFrame:

@@ -101,6 +101,12 @@ def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(keys))
 
 
+def drop_exact(df: DataFrame, ignore: Sequence[str] = ("_load_id", "_row_id")) -> DataFrame:
+    """AGG3: one row of each set of rows that agree in all columns but
+    ``ignore``; those columns are left out of the result."""
+    return df.drop(*ignore).distinct()
+
+
 def repair_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """SRC5 applied: undo mojibake in the named columns."""
     return df.withColumns({c: fix_mojibake(c) for c in columns})

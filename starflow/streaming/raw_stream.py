@@ -8,23 +8,22 @@ upsert operator, inside ``foreachBatch``.
 ``dropDuplicatesWithinWatermark`` is not used on purpose: it keeps the first
 arrival, and here a later correction must win.  The checkpoint location is in
 the shared checkpoint folder, so a restarted query resumes exactly where it
-stopped; each batch writes a new target version and only then swaps the
-pointer file, so a failed batch leaves the previous version readable.
+stopped.  Each batch writes a new numbered version of the target; a version
+counts once Spark's commit marker is in it, so a failed batch leaves the one
+before readable.  All folders are reached through Spark's file system API.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ordered import dedupe_latest
 from ..plans.pipeline import STAGED_COLUMNS, stage_sales
 from ..session import checkpoint_dir
 from ..sources.contracts import SALES_CONTRACT
-from ..sources.readers import upsert
 from ..functions.clean import sign_int
 from pyspark.sql import types as T
 
@@ -32,44 +31,63 @@ RAW_SCHEMA = T.StructType(SALES_CONTRACT.fields + [
     T.StructField("_load_id", T.StringType()), T.StructField("_row_id", T.StringType())])
 
 
-def current_version(target_root: str) -> str | None:
-    p = os.path.join(target_root, "_CURRENT")
-    if not os.path.exists(p):
-        return None
-    with open(p) as fh:
-        return fh.read().strip() or None
+def _folder(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _swap(target_root: str, version: str) -> None:
-    tmp = os.path.join(target_root, f"_CURRENT.{uuid.uuid4().hex}")
-    with open(tmp, "w") as fh:
-        fh.write(version)
-    os.replace(tmp, os.path.join(target_root, "_CURRENT"))
+def versions(spark: SparkSession, target_root: str) -> list[str]:
+    """Complete versions of the target, oldest first."""
+    fs, root = _folder(spark, target_root)
+    if not fs.exists(root):
+        return []
+    names = [x.getPath().getName() for x in fs.listStatus(root)]
+    return sorted(n for n in names if n.startswith("v-")
+                  and fs.exists(_folder(spark, f"{target_root}/{n}/_SUCCESS")[1]))
+
+
+SEED = "known price"
+
+
+def _known_prices(target: DataFrame) -> DataFrame:
+    """The last price of each product and day so far, as raw lines in the
+    place of the line that had it."""
+    daily = target.filter(F.col("unit_price").isNotNull()).groupBy("product_id", "order_date").agg(
+        F.max_by("unit_price", "_row_id").alias("unit_price"), F.max("_row_id").alias("_row_id"))
+    text = {c: F.col(c).cast("string") for c in ("product_id", "order_date", "unit_price", "_row_id")}
+    text |= {"_load_id": F.lit(SEED)}
+    return daily.select(*[text.get(f.name, F.lit(None).cast("string")).alias(f.name) for f in RAW_SCHEMA])
 
 
 def merge_batch(spark: SparkSession, batch: DataFrame, target_root: str) -> None:
-    """Stage one batch, keep its latest row per line key (by load id, then row
-    id) and upsert it into the target's current version."""
-    staged = stage_sales(batch).filter(~F.col("is_quarantined"))
+    """Stage one batch and merge it into the target's current version: of the
+    old and new rows of a line key the latest load stays, whatever the order
+    of arrival; prices known from earlier batches carry forward."""
+    done = versions(spark, target_root)
+    target = spark.read.parquet(f"{target_root}/{done[-1]}") if done else None
+    raw = batch.select(*[f.name for f in RAW_SCHEMA])
+    if target is not None:
+        raw = raw.unionByName(_known_prices(target))
+    staged = stage_sales(raw).filter(~F.col("is_quarantined") & (F.col("_load_id") != SEED))
     staged = staged.withColumn("line_key", F.concat_ws("-", F.col("order_id").cast("string"),
                                                        F.col("product_id").cast("string"),
                                                        sign_int("quantity").cast("string")))
-    cur = current_version(target_root)
-    target = (spark.read.parquet(os.path.join(target_root, cur)) if cur
-              else spark.createDataFrame([], staged.schema))
-    merged = upsert(target, staged, ["line_key"], order_desc=["_load_id", "_row_id"])
-    version = f"v-{uuid.uuid4().hex}"
-    merged.write.mode("overwrite").parquet(os.path.join(target_root, version))
-    _swap(target_root, version)
+    rows = staged if target is None else target.unionByName(staged)
+    merged = dedupe_latest(rows, ["line_key"], ["_load_id"], ["_row_id"])
+    number = int(done[-1][2:]) + 1 if done else 0
+    merged.write.mode("overwrite").parquet(f"{target_root}/v-{number:012d}")
+    # Readers of the version before may still be at work; older ones go.
+    for name in done[:-1]:
+        fs, path = _folder(spark, f"{target_root}/{name}")
+        fs.delete(path, True)
 
 
 def start(spark: SparkSession, landing: str, target_root: str, query_name: str = "sales_stream",
           trigger_once: bool = False):
     """Start the stream; returns the StreamingQuery."""
-    os.makedirs(target_root, exist_ok=True)
     # A checkpoint belongs to one (source, target) pair: key it by both.
     pair = hashlib.md5(f"{landing}\n{target_root}".encode()).hexdigest()[:16]
-    ckpt = os.path.join(checkpoint_dir(spark), f"stream-{query_name}-{pair}")
+    ckpt = f"{checkpoint_dir(spark)}/stream-{query_name}-{pair}"
     stream = spark.readStream.schema(RAW_SCHEMA).parquet(landing)
     writer = (stream.writeStream.queryName(query_name).option("checkpointLocation", ckpt)
               .foreachBatch(lambda df, epoch: merge_batch(spark, df, target_root)))
@@ -79,5 +97,4 @@ def start(spark: SparkSession, landing: str, target_root: str, query_name: str =
 
 
 def read_target(spark: SparkSession, target_root: str) -> DataFrame:
-    cur = current_version(target_root)
-    return spark.read.parquet(os.path.join(target_root, cur)).select(*STAGED_COLUMNS, "line_key")
+    return spark.read.parquet(f"{target_root}/{versions(spark, target_root)[-1]}").select(*STAGED_COLUMNS, "line_key")

@@ -99,6 +99,28 @@ def test_stream_merges_latest_correction(spark):
     assert out.filter(F.col("_load_id") != "999999").count() == 0
 
 
+def test_stream_late_load_and_known_price(spark, tmp_path):
+    """An older load that arrives late does not replace a newer row, and a
+    line without a price gets the one known from an earlier batch."""
+    from starflow.streaming import raw_stream as S
+
+    def land(*rows):
+        base = {"customer_id": "7", "customer_name": "ann", "country": "US", "quantity": "1", "amount": "10",
+                "category": "chairs", "product_name": "desk", "discount": "0%", "tax": "0%", "segment": "corporate",
+                "order_channel": "web", "ship_date": "2024-02-01"}
+        data = [tuple({**base, **r}.get(f.name) for f in S.RAW_SCHEMA) for r in rows]
+        S.merge_batch(spark, spark.createDataFrame(data, S.RAW_SCHEMA), target)
+
+    target = str(tmp_path / "target")
+    line = {"order_id": "1", "product_id": "5", "order_date": "2024-01-05"}
+    land({**line, "unit_price": "4.00", "_load_id": "202402", "_row_id": "b"})
+    land({**line, "unit_price": "3.00", "_load_id": "202401", "_row_id": "a"},
+         {**line, "order_id": "2", "order_date": "2024-01-09", "_load_id": "202402", "_row_id": "c"})
+    got = {r.order_id: (r["_load_id"], str(r.unit_price)) for r in S.read_target(spark, target).collect()}
+    assert got == {1: ("202402", "4.00"), 2: ("202402", "4.00")}
+    assert len(S.versions(spark, target)) == 2
+
+
 def test_next_start_of_timestamps_and_the_last_day(spark):
     from starflow.operators.ordered import with_next_start
     rows = [(1, "2024-01-01 09:00:00"), (1, "2024-01-01 15:00:00"), (1, "2024-01-03 10:00:00"),
