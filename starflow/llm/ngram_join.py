@@ -23,12 +23,12 @@ The number of classes depends on the sizes of the sets; a set is indexed for
 every size level in which it can have a partner.  Either way a linking pair
 shares an entry of the index, whichever tokens are called frequent.
 
-*Verification.*  Each index entry first proposes its member with the fewest
-rare tokens (the likely original) as partner of all others, which joins up
-groups of copies in a number of pairs proportional to the members.  Pairs of
-an entry whose members then still lie in different components are verified in
-a second round; pairs inside a component need no test, as only components are
-reported.  So every candidate pair is verified or known to be connected.
+*Verification.*  The members of an entry with few sets are compared pair by
+pair.  Entries with many (only combinations can have them) are joined to
+clusters, and a cluster is compared in blocks: its sets are dealt into blocks
+of bounded size, and each task gets two blocks, counts all their common tokens
+at once and hands on one link per set and group it finds.  No task holds a
+cluster and no row is made per pair.  So every candidate pair is verified.
 
 Equal sets are one node throughout.
 """
@@ -60,6 +60,10 @@ REGION = 0.3
 # and any choice of frequent tokens gives the same links.
 FREQUENT_FROM = 16
 FREQUENT_TOKENS = 1 << 20
+# Entries of up to this many sets are compared pair by pair.
+FEW = 16
+BLOCK_BYTES = 2 << 20
+COLUMNS = 1024
 
 
 def token_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -171,8 +175,7 @@ def frequent_tokens(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def index_entries(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """sig, rare, node, n: all index entries of all sets.  ``rare`` is the
-    number of rare tokens of the set, ``node`` its f1."""
+    """sig, node, n: all index entries of all sets (a node is a set's f1)."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,22 +193,26 @@ def index_entries(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -
                         out.append(np.unique(signatures(tokens[a:b], rare[a:b], percent)))
                         counts[i] = len(out[-1])
                 sig = np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
-                n_rare = np.diff(np.concatenate([[0], np.cumsum(rare)])[firsts])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig), *(pa.array(np.repeat(c, counts)) for c in (n_rare, f1, np.diff(firsts)))],
-                    names=["sig", "rare", "node", "n"])
+                    [pa.array(sig), pa.array(np.repeat(f1, counts)), pa.array(np.repeat(np.diff(firsts), counts))],
+                    names=["sig", "node", "n"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "sig long, rare long, node long, n long")
+    return docs.select("doc_id", "text").mapInArrow(run, "sig long, node long, n long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of documents that link, by their whole sets."""
+def needed_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """doc_id, set: the tokens of the documents in ``ids``, as bytes."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc_ids, tokens, firsts in _sets_of(batch, k):
                 sets = [tokens[a:b].tobytes() for a, b in zip(firsts[:-1], firsts[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([doc_ids, pa.array(sets, pa.binary())], names=["doc_id", "set"])
 
+    return docs.select("doc_id", "text").join(ids, "doc_id").mapInArrow(encode, "doc_id long, set binary")
+
+
+def linked_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of documents that link, by their whole sets."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             xs, ys = batch.column("set_a"), batch.column("set_b")
@@ -219,14 +226,73 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep)),
                                               batch.column("b").filter(pa.array(keep))], names=["a", "b"])
 
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(needed, "doc_id")
-    sets = materialise(texts.mapInArrow(encode, "doc_id long, set binary"), "jaccard-sets")
     with_a = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a")), "a")
     with_b = with_a.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b")), "b")
     return with_b.select("a", "b", "set_a", "set_b").mapInArrow(compare, "a long, b long")
 
 
+def common_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Number of common tokens of each of ``x`` with each of ``y``."""
+    sizes = [len(s) for s in x + y]
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    tokens, col, times = np.unique(np.concatenate(x + y), return_inverse=True, return_counts=True)
+    col = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[col]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    out = np.zeros((len(x), len(y)), np.float32)
+    for c in range(0, int(col[-1]) + 1 if len(col) else 0, COLUMNS):
+        own = slice(*np.searchsorted(col, [c, c + COLUMNS]))
+        dense = np.zeros((len(sizes), COLUMNS), np.float32)
+        dense[row[own], col[own] - c] = 1
+        out += dense[:len(x)] @ dense[len(x):].T
+    return out.astype(np.int64)
+
+
+def block_links(ids: np.ndarray, sets: list[np.ndarray], second: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links that join what two blocks' sets join: (member, smallest member).
+
+    ``second`` marks the second block; without one, the first is compared
+    with itself."""
+    one = np.flatnonzero(~second)
+    two = np.flatnonzero(second) if second.any() else one
+    if not len(one):
+        return []
+    sizes = np.array([len(s) for s in sets])
+    common = common_counts([sets[i] for i in one], [sets[i] for i in two])
+    linked = 100 * common >= percent * (sizes[one][:, None] + sizes[two] - common)
+    i, j = np.nonzero(linked)
+    i, j = one[i], two[j]
+    label = ids.copy()
+    while True:
+        # The smallest label of any neighbour, until nothing changes.
+        new = label.copy()
+        np.minimum.at(new, i, label[j])
+        np.minimum.at(new, j, label[i])
+        if (new == label).all():
+            return [(a, b) for a, b in zip(ids.tolist(), label.tolist(), strict=True) if a != b]
+        label = new
+
+
+def linked_blocks(clusters: DataFrame, sets: DataFrame, percent: int, block_bytes: int) -> DataFrame:
+    """Links (a, b) within clusters (columns id, component)."""
+    def compare(table: pa.Table) -> pa.Table:
+        ids = np.asarray(table.column("doc_id")).astype(np.int64)
+        own = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("set")]
+        second = np.asarray(table.column("block")) != np.asarray(table.column("lo"))
+        links = block_links(ids, own, second, percent)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()),
+                         "b": pa.array([b for _, b in links], pa.int64())})
+
+    placed = clusters.withColumnRenamed("id", "doc_id").join(sets, "doc_id")
+    sizes = placed.groupBy("component").agg(F.sum(F.octet_length("set")).alias("bytes"))
+    sizes = sizes.select("component", F.ceil(F.col("bytes") / block_bytes).cast("int").alias("blocks"))
+    dealt = placed.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
+    other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keyed = other.select("component", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+                         "block", "doc_id", "set")
+    return keyed.groupBy("component", "lo", "hi").applyInArrow(compare, "a long, b long")
+
+
 def _pairs(rows: DataFrame, percent: int) -> DataFrame:
     """Distinct (a, b), a < b, of columns x, nx, y, ny within the length bound."""
     fits = F.lit(100) * F.least("nx", "ny") >= F.lit(percent) * F.greatest("nx", "ny")
@@ -255,35 +321,28 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     entries = index_entries(known, k, percent, frequent_tokens(known, k))
     # An entry that only one set has proposes nothing.  Copies of a set are
     # combined on the map side.
-    ends = entries.groupBy("sig").agg(F.min(F.struct("rare", "node", "n")).alias("center"), F.min("node").alias("lo"),
-                                      F.max("node").alias("hi"))
-    shared = materialise(entries.join(ends.filter("lo <> hi"), "sig").select(
-        "sig", "node", "n", F.col("center.node").alias("y"), F.col("center.n").alias("ny")).distinct(),
-        "jaccard-entries")
-
-    first = _pairs(shared.select(F.col("node").alias("x"), F.col("n").alias("nx"), "y", "ny"), percent)
-    rep_a, rep_b = (by_node.select(F.col("node").alias(c), F.col("rep").alias(f"rep_{c}")) for c in "ab")
-    first = first.join(rep_a, "a").join(rep_b, "b").select(
-        F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).filter("a < b").distinct()
-    first = materialise(first, "jaccard-pairs")
-    links = materialise(verified(first, docs, k, percent), "jaccard-links")
-    joined = materialise(components(links), "jaccard-components")
-
-    members = (shared.select("sig", "node", "n").join(by_node, ["node", "n"])
-               .join(joined.withColumnRenamed("id", "rep"), "rep", "left")
-               .select("sig", "rep", "n", F.coalesce("component", "rep").alias("component")))
-    members = materialise(members, "jaccard-members")
-    open_ = (members.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .filter("lo <> hi").select("sig"))
-    left = members.join(open_, "sig", "left_semi")
-    x, y = (left.select("sig", F.col("rep").alias(c), F.col("n").alias(f"n{c}"), F.col("component").alias(f"c{c}"))
-            for c in "xy")
-    across = x.join(y, "sig").filter("x < y AND cx <> cy")
-    second = materialise(_pairs(across, percent).join(first, ["a", "b"], "left_anti"), "jaccard-pairs")
-    more = materialise(verified(second, docs, k, percent), "jaccard-links")
-    # Components of the first round stand for their links in the second.
-    all_links = joined.select(F.col("id").alias("a"), F.col("component").alias("b")).filter("a <> b").unionByName(more)
-    final = components(all_links)
+    ends = entries.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+    shared = entries.join(ends.filter("lo <> hi").select("sig"), "sig").distinct()
+    members = materialise(shared.join(by_node, ["node", "n"]).select("sig", F.col("rep").alias("x"),
+                                                                     F.col("n").alias("nx")), "jaccard-entries")
+    sizes = members.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("x").alias("least"))
+    few = members.join(sizes.filter(F.col("size") <= FEW).select("sig"), "sig")
+    pairs = _pairs(few.join(few.select("sig", F.col("x").alias("y"), F.col("nx").alias("ny")), "sig")
+                   .filter("x < y"), percent)
+    many = members.join(sizes.filter(F.col("size") > FEW), "sig")
+    clusters = components(many.select(F.col("x").alias("a"), F.col("least").alias("b")))
+    clusters = materialise(clusters, "jaccard-clusters")
+    # Pairs within a cluster are compared there.
+    of_a, of_b = (clusters.select(F.col("id").alias(c), F.col("component").alias(f"cluster_{c}")) for c in "ab")
+    apart = F.coalesce(F.col("cluster_a") != F.col("cluster_b"), F.lit(True))
+    pairs = pairs.join(of_a, "a", "left").join(of_b, "b", "left").filter(apart).select("a", "b")
+    pairs = materialise(pairs, "jaccard-pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(
+        clusters.select(F.col("id").alias("doc_id"))).distinct()
+    token_sets_ = materialise(needed_sets(docs, ids, k), "jaccard-sets")
+    links = materialise(linked_pairs(pairs, token_sets_, percent).unionByName(
+        linked_blocks(clusters, token_sets_, percent, BLOCK_BYTES)), "jaccard-links")
+    final = components(links)
 
     reps = nodes.join(final.withColumnRenamed("id", "rep"), "rep", "left").select(
         "f1", "f2", "n", F.coalesce("component", "rep").alias("component"))

@@ -118,8 +118,11 @@ def near_texts(rng, families=12, copies=6, words=60):
 
 @pytest.mark.parametrize("k,percent,frequent", [(4, 85, 16), (4, 85, 2), (2, 60, 2), (5, 80, 3)])
 def test_op9_against_brute_force(spark, monkeypatch, k, percent, frequent):
-    """Also with nearly all tokens frequent, so that pairs are indexed."""
+    """Also with nearly all tokens frequent, so that combinations are indexed,
+    and with clusters of many blocks."""
     monkeypatch.setattr(ngram_join, "FREQUENT_FROM", frequent)
+    monkeypatch.setattr(ngram_join, "FEW", frequent)
+    monkeypatch.setattr(ngram_join, "BLOCK_BYTES", 2000)
     texts = list(enumerate(near_texts(random.Random(frequent * k))))
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs, k, percent).collect()}
