@@ -24,7 +24,9 @@ every size level in which it can have a partner.  Either way a linking pair
 shares an entry of the index, whichever tokens are called frequent.
 
 *Verification.*  The members of an entry with few sets are compared pair by
-pair.  Entries with many (only combinations can have them) are joined to
+pair, if they share enough entries: of the one whose single tokens end first
+in hash order, all that are not shared are missing in the other.  Entries with
+many (only combinations can have them) are joined to
 clusters, and a cluster is compared in blocks: its sets are dealt into blocks
 of bounded size, and each task gets two blocks, counts all their common tokens
 at once and hands on one link per set and group it finds.  No task holds a
@@ -60,8 +62,9 @@ REGION = 0.3
 # and any choice of frequent tokens gives the same links.
 FREQUENT_FROM = 16
 FREQUENT_TOKENS = 1 << 20
-# Entries of up to this many sets are compared pair by pair.
-FEW = 16
+# Copies of a set are dropped where a task meets them again; it remembers up
+# to this many sets.
+REMEMBERED = 1 << 20
 BLOCK_BYTES = 2 << 20
 COLUMNS = 1024
 
@@ -151,13 +154,33 @@ def document_sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long")
 
 
-def frequent_tokens(docs: DataFrame, k: int) -> np.ndarray:
-    """The frequent tokens of the region, ascending; at most FREQUENT_TOKENS."""
+def _new_sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(tokens, firsts, f1) of the sets of a partition, most copies left out:
+    they need the same entries.  A set that is forgotten and met again only
+    costs its entries once more."""
+    seen: set[tuple[int, int]] = set()
+    for batch in batches:
+        for _, tokens, firsts in _sets_of(batch, k):
+            f1, f2 = fingerprints(tokens, firsts)
+            keep = np.zeros(len(f1), bool)
+            for i, key in enumerate(zip(f1.tolist(), f2.tolist(), strict=True)):
+                if key not in seen:
+                    keep[i] = True
+                    seen.add(key)
+            if len(seen) > REMEMBERED:
+                seen.clear()
+            sizes = np.where(keep, np.diff(firsts), 0)
+            yield (tokens[np.repeat(keep, np.diff(firsts))],
+                   np.concatenate([[0], np.cumsum(sizes[keep])]), f1[keep])
+
+
+def frequent_tokens(docs: DataFrame, k: int) -> tuple[np.ndarray, int]:
+    """The frequent tokens of the region, ascending, at most FREQUENT_TOKENS,
+    and the number of documents from which a token is one of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, tokens, _ in _sets_of(batch, k):
-                yield pa.RecordBatch.from_arrays([pa.array(tokens[tokens < _region_end()].view(np.int64))],
-                                                 names=["token"])
+        for tokens, _, _ in _new_sets(batches, k):
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[tokens < _region_end()].view(np.int64))],
+                                             names=["token"])
 
     counted = (docs.select("doc_id", "text").mapInArrow(run, "token long").groupBy("token")
                .agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= FREQUENT_FROM))
@@ -170,34 +193,37 @@ def frequent_tokens(docs: DataFrame, k: int) -> np.ndarray:
         if total > FREQUENT_TOKENS:
             from_ = d + 1
             break
-    kept = counted.filter(F.col("df") >= FREQUENT_FROM << from_).select("token").toPandas()
-    return np.sort(kept["token"].to_numpy(np.int64).view(np.uint64))
+    least = FREQUENT_FROM << from_
+    kept = counted.filter(F.col("df") >= least).select("token").toPandas()
+    return np.sort(kept["token"].to_numpy(np.int64).view(np.uint64)), least
 
 
 def index_entries(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """sig, node, n: all index entries of all sets (a node is a set's f1)."""
+    """sig, node, n, singles: all index entries of all sets.  A node is a
+    set's f1; ``singles`` is the number of its entries if they are single
+    tokens only, else 0."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, end = sent.value, _region_end()
-        for batch in batches:
-            for _, tokens, firsts in _sets_of(batch, k):
-                f1, _ = fingerprints(tokens, firsts)
-                rare = tokens < end
-                if len(common):
-                    at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
-                    rare &= common[at] != tokens
-                out, counts = [], np.zeros(len(f1), np.int64)
-                for i, (a, b) in enumerate(zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True)):
-                    if b > a:
-                        out.append(np.unique(signatures(tokens[a:b], rare[a:b], percent)))
-                        counts[i] = len(out[-1])
-                sig = np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig), pa.array(np.repeat(f1, counts)), pa.array(np.repeat(np.diff(firsts), counts))],
-                    names=["sig", "node", "n"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "sig long, node long, n long")
+        for tokens, firsts, f1 in _new_sets(batches, k):
+            rare = tokens < end
+            if len(common):
+                at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
+                rare &= common[at] != tokens
+            out, counts, singles = [], np.zeros(len(f1), np.int64), np.zeros(len(f1), np.int32)
+            for i, (a, b) in enumerate(zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True)):
+                if b > a:
+                    out.append(np.unique(signatures(tokens[a:b], rare[a:b], percent)))
+                    counts[i] = len(out[-1])
+                    lack = _missing(b - a, percent)
+                    singles[i] = lack + 1 if np.count_nonzero(rare[a:b]) > lack else 0
+            sig = np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+            columns = (f1, np.diff(firsts).astype(np.int32), singles)
+            yield pa.RecordBatch.from_arrays([pa.array(sig), *(pa.array(np.repeat(c, counts)) for c in columns)],
+                                             names=["sig", "node", "n", "singles"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "sig long, node long, n int, singles int")
 
 
 def needed_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
@@ -293,11 +319,20 @@ def linked_blocks(clusters: DataFrame, sets: DataFrame, percent: int, block_byte
     return keyed.groupBy("component", "lo", "hi").applyInArrow(compare, "a long, b long")
 
 
-def _pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Distinct (a, b), a < b, of columns x, nx, y, ny within the length bound."""
-    fits = F.lit(100) * F.least("nx", "ny") >= F.lit(percent) * F.greatest("nx", "ny")
-    return (rows.filter((F.col("x") != F.col("y")) & fits)
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+def _pairs(few: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a < b, of the sets that share an entry (sig, x, n, singles) and
+    may link by their sizes and the number of entries they share."""
+    other = few.select("sig", F.col("x").alias("y"), F.col("n").alias("ny"), F.col("singles").alias("sy"))
+    fits = F.lit(100) * F.least("n", "ny") >= F.lit(percent) * F.greatest("n", "ny")
+    met = few.join(other, "sig").filter(F.col("x") < F.col("y")).filter(fits)
+    shared = met.groupBy("x", "y", "n", "ny", "singles", "sy").agg(F.count(F.lit(1)).alias("shared"))
+    both = F.ceil(F.lit(percent) * (F.col("n") + F.col("ny")) / F.lit(100 + percent))
+
+    def missing(size, singles):
+        return (F.col(singles) > 0) & (F.col(singles) - F.col("shared") <= F.col(size) - both)
+
+    possible = (F.col("singles") + F.col("sy") == 0) | missing("n", "singles") | missing("ny", "sy")
+    return shared.filter(possible).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
 def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -318,18 +353,19 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     by_node = nodes.select(F.col("f1").alias("node"), "n", "rep")
 
     known = docs.filter(F.col("doc_id").isNotNull())
-    entries = index_entries(known, k, percent, frequent_tokens(known, k))
+    frequent, from_ = frequent_tokens(known, k)
+    entries = index_entries(known, k, percent, frequent)
     # An entry that only one set has proposes nothing.  Copies of a set are
     # combined on the map side.
     ends = entries.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
     shared = entries.join(ends.filter("lo <> hi").select("sig"), "sig").distinct()
-    members = materialise(shared.join(by_node, ["node", "n"]).select("sig", F.col("rep").alias("x"),
-                                                                     F.col("n").alias("nx")), "jaccard-entries")
+    members = materialise(shared.join(by_node, ["node", "n"]).select("sig", F.col("rep").alias("x"), "n", "singles"),
+                          "jaccard-entries")
     sizes = members.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("x").alias("least"))
-    few = members.join(sizes.filter(F.col("size") <= FEW).select("sig"), "sig")
-    pairs = _pairs(few.join(few.select("sig", F.col("x").alias("y"), F.col("nx").alias("ny")), "sig")
-                   .filter("x < y"), percent)
-    many = members.join(sizes.filter(F.col("size") > FEW), "sig")
+    # A single token has fewer sets than a frequent one, so all its entries
+    # are compared pair by pair and pairs see all the single tokens they share.
+    pairs = _pairs(members.join(sizes.filter(F.col("size") <= from_).select("sig"), "sig"), percent)
+    many = members.join(sizes.filter(F.col("size") > from_), "sig")
     clusters = components(many.select(F.col("x").alias("a"), F.col("least").alias("b")))
     clusters = materialise(clusters, "jaccard-clusters")
     # Pairs within a cluster are compared there.

@@ -121,7 +121,6 @@ def test_op9_against_brute_force(spark, monkeypatch, k, percent, frequent):
     """Also with nearly all tokens frequent, so that combinations are indexed,
     and with clusters of many blocks."""
     monkeypatch.setattr(ngram_join, "FREQUENT_FROM", frequent)
-    monkeypatch.setattr(ngram_join, "FEW", frequent)
     monkeypatch.setattr(ngram_join, "BLOCK_BYTES", 2000)
     texts = list(enumerate(near_texts(random.Random(frequent * k))))
     docs = spark.createDataFrame(texts, "doc_id long, text string")
@@ -155,7 +154,11 @@ def test_op9_frequent_tokens_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "FREQUENT_FROM", 2)
     monkeypatch.setattr(ngram_join, "FREQUENT_TOKENS", 5)
     docs = spark.createDataFrame(list(enumerate(near_texts(random.Random(2)))), "doc_id long, text string")
-    assert len(ngram_join.frequent_tokens(docs, 4)) <= 5
+    tokens, least = ngram_join.frequent_tokens(docs, 4)
+    assert len(tokens) <= 5 and least > 2
+    rows = ngram_join.jaccard_components(docs).collect()
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute_components(texts, 4, 85)
 
 
 def test_op9_edges(edge_docs, no_docs):
