@@ -15,16 +15,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def table_profile(df: DataFrame, key_col: str) -> DataFrame:
-    """PRF1: one row — rows, exact-duplicate rows, distinct keys and the
-    NULL count of every column.  One aggregation over the groups of
-    identical rows (map-side combined), then one over those groups."""
-    cols = df.columns
-    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    aggs = [F.sum("_n").alias("n_rows"), F.sum(F.col("_n") - 1).alias("n_duplicate_rows"),
-            F.count_distinct(F.col(key_col)).alias(f"n_distinct_{key_col}")]
-    aggs += [F.sum(F.when(F.col(c).isNull(), F.col("_n")).otherwise(0)).alias(f"nulls_{c}") for c in cols]
-    return groups.agg(*aggs)
+def table_profile(df: DataFrame, key_col: str, ignore: Sequence[str] = ("_load_id", "_row_id")) -> DataFrame:
+    """PRF1: one row - rows, rows that repeat another one, distinct keys and
+    the NULL count of every column.  Lineage columns (``ignore``) tell no rows
+    apart and are not counted.
+
+    Rows and NULLs are plain partial sums; only the count of distinct rows
+    shuffles whole rows, combined on the map side."""
+    own = df.drop(*ignore)
+    n_distinct = own.distinct().agg(F.count(F.lit(1))).scalar()
+    aggs = [F.count(F.lit(1)).alias("n_rows"), F.count_distinct(F.col(key_col)).alias(f"n_distinct_{key_col}")]
+    aggs += [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in own.columns]
+    out = own.agg(*aggs).withColumn("n_duplicate_rows", F.col("n_rows") - n_distinct)
+    return out.select("n_rows", "n_duplicate_rows", f"n_distinct_{key_col}", *[f"nulls_{c}" for c in own.columns])
 
 
 def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -71,8 +74,8 @@ def numeric_describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
-    """PRF4 / AGG5: the distinct values of one column (order by it to list)."""
-    return df.select(col).distinct()
+    """PRF4 / AGG5: the distinct values of one column, in order."""
+    return df.select(col).distinct().orderBy(F.col(col).asc_nulls_last())
 
 
 def first_last(df: DataFrame, order_cols: Sequence[str], n: int = 10) -> DataFrame:
