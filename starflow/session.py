@@ -26,6 +26,7 @@ CORE_CONF = {
 }
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -63,6 +64,10 @@ def share_code(spark: SparkSession) -> SparkSession:
     library is shipped with the job (``--py-files``) or installed."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+    # Whole texts cross to the workers: batches of fewer rows than the default
+    # 10,000 keep both sides' buffers small.
+    if spark.conf.get(_BATCH_ROWS, "10000") == "10000":
+        spark.conf.set(_BATCH_ROWS, "2000")
     return spark
 
 
