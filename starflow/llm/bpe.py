@@ -19,8 +19,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 TOKENIZER_FILE = "word_bpe_49k.json"
-SLICE_BYTES = 12 << 20
-CACHED_WORDS = 1_500_000
+SLICE_BYTES = 6 << 20
+CACHED_WORDS = 1_000_000
 _TAIL = re.compile(r"[.,;:!?]+\Z")
 
 

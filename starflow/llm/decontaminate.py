@@ -51,7 +51,7 @@ STRETCH = 3
 RUN_WORDS = 3
 BLOCK_ITEMS = 20_000
 BLOCK_WINDOWS = 1 << 14
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 _GAP = np.ones(256, bool)
 _GAP[48:58] = _GAP[65:91] = _GAP[97:123] = False

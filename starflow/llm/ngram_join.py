@@ -52,7 +52,7 @@ from starflow.session import materialise
 
 SHINGLE = 4
 PERCENT = 85
-SLICE = 4 << 20
+SLICE = 1 << 20
 # The region of hash space in which frequencies are counted: twice the share
 # that a prefix of single tokens takes.
 REGION = 0.3

@@ -27,6 +27,7 @@ from starflow.session import materialise
 FOLDS = 5
 POOL, RIDGE = 0.2, 0.02
 PREDICT_FROM = 0.3
+SLICE = 1 << 20
 FEATURES = ["log_words", "distinct", "repeated", "top_word", "distinct_pairs", "word_bytes",
             "spaces", "lines", "letters", "upper", "digits", "marks", "other_bytes"]
 
@@ -102,7 +103,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, doc_ids = pc.fill_null(batch.column("text"), ""), batch.column("doc_id")
-            for a, b in bpe.text_slices(texts, 4 << 20):
+            for a, b in bpe.text_slices(texts, SLICE):
                 x = statistics(texts.slice(a, b - a))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1) * x.shape[1], pa.int32()),
                                                  pa.array(x.ravel()))
@@ -227,7 +228,7 @@ def score_column(model: Model | None):
     def score(texts: pa.Array) -> pa.Array:
         texts = pc.fill_null(texts, "")
         parts = [model.scores(statistics(texts.slice(a, b - a))) if model else np.full(b - a, 0.5)
-                 for a, b in bpe.text_slices(texts, 4 << 20)]
+                 for a, b in bpe.text_slices(texts, SLICE)]
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return score

@@ -34,7 +34,7 @@ WORD_START = "▁"
 # A character in no piece is spelled in bytes, at this much less than the
 # least probable piece.
 UNKNOWN_PENALTY = 10.0
-CACHED_WORDS = 1_500_000
+CACHED_WORDS = 1_000_000
 
 
 def default_piece_path() -> str:

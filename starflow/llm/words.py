@@ -33,7 +33,7 @@ def _byte_codes() -> np.ndarray:
 
 
 CODES = _byte_codes()
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 
