@@ -17,7 +17,11 @@ of hash space; all other tokens count as frequent.
   one token at most in some class.  Indexed are the combination of all c
   tokens of each class and its c combinations of c - 1 tokens.  Copies with
   many changes share none of these, unlike single tokens or pairs, of which a
-  large family of loosely similar documents has many in common.
+  large family of loosely similar documents has many in common.  Two sets
+  that meet by combinations alone differ by all their rare tokens and by those
+  that combinations leave out.  An entry is a hub's if its own part of that is
+  no more than half of what its size level allows: of a linked pair one is a
+  hub, so an entry without hubs proposes nothing.
 
 The number of classes depends on the sizes of the sets; a set is indexed for
 every size level in which it can have a partner.  Either way a linking pair
@@ -27,10 +31,12 @@ shares an entry of the index, whichever tokens are called frequent.
 pair, if they share enough entries: of the one whose single tokens end first
 in hash order, all that are not shared are missing in the other.  Entries with
 many (only combinations can have them) are joined to
-clusters, and a cluster is compared in blocks: its sets are dealt into blocks
-of bounded size, and each task gets two blocks, counts all their common tokens
-at once and hands on one link per set and group it finds.  No task holds a
-cluster and no row is made per pair.  So every candidate pair is verified.
+clusters, and a cluster is compared in blocks: if it is more than one, its sets
+are dealt by size level into blocks of bounded bytes and number of sets, and
+each task gets two blocks of levels that can be partners, counts the common
+tokens of TILE x TILE sets at once and hands on one link per set, tile and
+group it finds.  No task holds a cluster or a matrix of more than a tile, and
+no row is made per pair.  So every candidate pair is verified.
 
 Equal sets are one node throughout.
 """
@@ -38,6 +44,7 @@ Equal sets are one node throughout.
 from __future__ import annotations
 
 import bisect
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -66,6 +73,9 @@ FREQUENT_TOKENS = 1 << 20
 # to this many sets.
 REMEMBERED = 1 << 20
 BLOCK_BYTES = 2 << 20
+BLOCK_SETS = 4096
+# Sets a side of the dense matrix of common tokens: 16 MB of float32.
+TILE = 2048
 COLUMNS = 1024
 
 
@@ -114,14 +124,15 @@ def _differences(level: int, levels: list[int], percent: int) -> int:
     return (n + 100 * n // percent) * (100 - percent) // (100 + percent)
 
 
-def signatures(tokens: np.ndarray, rare: np.ndarray, percent: int) -> np.ndarray:
-    """Index entries of one set: ``tokens`` ascending, ``rare`` their mask."""
+def entries_of(tokens: np.ndarray, rare: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index entries of one set, ascending, and which of them are a hub's:
+    ``tokens`` ascending, ``rare`` their mask."""
     n = len(tokens)
     lack = _missing(n, percent)
     single = tokens[rare]
     if len(single) > lack:
-        return single[:lack + 1]
-    out, rest = [single], tokens[~rare]
+        return single[:lack + 1], np.ones(lack + 1, bool)
+    out, hubs, rest = [single], [np.ones(len(single), bool)], tokens[~rare]
     codes = words.mix(rest)
     levels = size_levels(percent, n)
     lowest = bisect.bisect_right(levels, -(-percent * n // 100)) - 1
@@ -135,7 +146,15 @@ def signatures(tokens: np.ndarray, rare: np.ndarray, percent: int) -> np.ndarray
         np.add.at(whole, of, codes)
         tags = words.mix(np.arange(classes, dtype=np.uint64) + np.uint64((level + 1) << 40))
         out += [words.mix(whole + tags), words.mix(whole[of] - codes + tags[of])]
-    return np.concatenate(out)
+        hubs += [np.full(classes, len(single) <= differ // 2), np.full(len(of), len(single) < differ // 2)]
+    # Of equal entries the first is kept, and those of whole classes come first.
+    entries, first = np.unique(np.concatenate(out), return_index=True)
+    return entries, np.concatenate(hubs)[first]
+
+
+def signatures(tokens: np.ndarray, rare: np.ndarray, percent: int) -> np.ndarray:
+    """Index entries of one set: ``tokens`` ascending, ``rare`` their mask."""
+    return entries_of(tokens, rare, percent)[0]
 
 
 def _region_end() -> np.uint64:
@@ -201,7 +220,7 @@ def frequent_tokens(docs: DataFrame, k: int) -> tuple[np.ndarray, int]:
 def index_entries(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -> DataFrame:
     """sig, node, n, singles: all index entries of all sets.  A node is a
     set's f1; ``singles`` is the number of its entries if they are single
-    tokens only, else 0."""
+    tokens only, else 0, or -1 where the entry is not a hub's."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,16 +230,19 @@ def index_entries(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -
             if len(common):
                 at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
                 rare &= common[at] != tokens
-            out, counts, singles = [], np.zeros(len(f1), np.int64), np.zeros(len(f1), np.int32)
+            out, singles, counts = [], [], np.zeros(len(f1), np.int64)
             for i, (a, b) in enumerate(zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True)):
                 if b > a:
-                    out.append(np.unique(signatures(tokens[a:b], rare[a:b], percent)))
-                    counts[i] = len(out[-1])
+                    own, hubs = entries_of(tokens[a:b], rare[a:b], percent)
                     lack = _missing(b - a, percent)
-                    singles[i] = lack + 1 if np.count_nonzero(rare[a:b]) > lack else 0
+                    of_single = lack + 1 if np.count_nonzero(rare[a:b]) > lack else 0
+                    out.append(own)
+                    singles.append(np.where(hubs, of_single, -1).astype(np.int32))
+                    counts[i] = len(own)
             sig = np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
-            columns = (f1, np.diff(firsts).astype(np.int32), singles)
-            yield pa.RecordBatch.from_arrays([pa.array(sig), *(pa.array(np.repeat(c, counts)) for c in columns)],
+            columns = [np.repeat(c, counts) for c in (f1, np.diff(firsts).astype(np.int32))]
+            columns.append(np.concatenate(singles) if singles else np.zeros(0, np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (sig, *columns)],
                                              names=["sig", "node", "n", "singles"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "sig long, node long, n int, singles int")
@@ -274,15 +296,9 @@ def common_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def block_links(ids: np.ndarray, sets: list[np.ndarray], second: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links that join what two blocks' sets join: (member, smallest member).
-
-    ``second`` marks the second block; without one, the first is compared
-    with itself."""
-    one = np.flatnonzero(~second)
-    two = np.flatnonzero(second) if second.any() else one
-    if not len(one):
-        return []
+def _tile_links(ids: np.ndarray, sets: list[np.ndarray], one: np.ndarray, two: np.ndarray,
+                percent: int) -> list[tuple[int, int]]:
+    """Links that join what the sets at ``one`` and those at ``two`` join."""
     sizes = np.array([len(s) for s in sets])
     common = common_counts([sets[i] for i in one], [sets[i] for i in two])
     linked = 100 * common >= percent * (sizes[one][:, None] + sizes[two] - common)
@@ -299,7 +315,33 @@ def block_links(ids: np.ndarray, sets: list[np.ndarray], second: np.ndarray, per
         label = new
 
 
-def linked_blocks(clusters: DataFrame, sets: DataFrame, percent: int, block_bytes: int) -> DataFrame:
+def block_links(ids: np.ndarray, sets: list[np.ndarray], second: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links that join what two blocks' sets join: (member, smallest member),
+    for each two tiles of them.
+
+    ``second`` marks the second block; without one, the first is compared
+    with itself."""
+    one, two = np.flatnonzero(~second), np.flatnonzero(second)
+    out = []
+    for a in range(0, len(one), TILE):
+        others, from_ = (two, 0) if len(two) else (one, a)
+        for b in range(from_, len(others), TILE):
+            out += _tile_links(ids, sets, one[a:a + TILE], others[b:b + TILE], percent)
+    return out
+
+
+def partner_blocks(sizes: DataFrame, block_bytes: int, block_sets: int) -> DataFrame:
+    """component, levels: (level, blocks) of each size level of a cluster, of
+    ``sizes`` (component, level, bytes, sets).  A cluster that fits into one
+    block has no levels."""
+    blocks = F.ceil(F.greatest(F.col("bytes") / block_bytes, F.col("sets") / block_sets)).cast("long")
+    small = (F.sum("bytes") <= block_bytes) & (F.sum("sets") <= block_sets)
+    return sizes.withColumn("blocks", blocks).groupBy("component").agg(
+        F.when(~small, F.collect_list(F.struct("level", "blocks"))).alias("levels"))
+
+
+def linked_blocks(clusters: DataFrame, sets: DataFrame, percent: int, block_bytes: int,
+                  block_sets: int = BLOCK_SETS) -> DataFrame:
     """Links (a, b) within clusters (columns id, component)."""
     def compare(table: pa.Table) -> pa.Table:
         ids = np.asarray(table.column("doc_id")).astype(np.int64)
@@ -309,11 +351,24 @@ def linked_blocks(clusters: DataFrame, sets: DataFrame, percent: int, block_byte
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()),
                          "b": pa.array([b for _, b in links], pa.int64())})
 
-    placed = clusters.withColumnRenamed("id", "doc_id").join(sets, "doc_id")
-    sizes = placed.groupBy("component").agg(F.sum(F.octet_length("set")).alias("bytes"))
-    sizes = sizes.select("component", F.ceil(F.col("bytes") / block_bytes).cast("int").alias("blocks"))
-    dealt = placed.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
-    other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # A little over the largest ratio of partners' sizes, so that these are of
+    # the same or neighbouring levels however logarithms are rounded.
+    step = max(math.log(100 / percent), 0.01) * (1 + 1e-6)
+    level = F.floor(F.log(F.octet_length("set") / 8) / step)
+    placed = clusters.withColumnRenamed("id", "doc_id").join(sets, "doc_id").withColumn("level", level)
+    sizes = placed.groupBy("component", "level").agg(F.sum(F.octet_length("set")).alias("bytes"),
+                                                     F.count(F.lit(1)).alias("sets"))
+    dealt = placed.join(partner_blocks(sizes, block_bytes, block_sets), "component")
+    # A block's number is its level and its place in it.
+    near = F.filter("levels", lambda x: F.abs(x.level - F.col("level")) <= 1)
+    others = F.flatten(F.transform(near, lambda x: F.transform(
+        F.sequence(F.lit(0).cast("long"), x.blocks - 1), lambda b: F.shiftleft(x.level, 40) + b)))
+    blocks = F.filter("levels", lambda x: x.level == F.col("level"))[0].blocks
+    block = F.shiftleft("level", 40) + F.pmod(F.xxhash64("doc_id"), blocks)
+    zero = F.lit(0).cast("long")
+    dealt = dealt.withColumn("block", F.when(F.col("levels").isNull(), zero).otherwise(block))
+    other = dealt.withColumn("other", F.explode(
+        F.when(F.col("levels").isNull(), F.array(zero)).otherwise(others)))
     keyed = other.select("component", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
                          "block", "doc_id", "set")
     return keyed.groupBy("component", "lo", "hi").applyInArrow(compare, "a long, b long")
@@ -324,7 +379,9 @@ def _pairs(few: DataFrame, percent: int) -> DataFrame:
     may link by their sizes and the number of entries they share."""
     other = few.select("sig", F.col("x").alias("y"), F.col("n").alias("ny"), F.col("singles").alias("sy"))
     fits = F.lit(100) * F.least("n", "ny") >= F.lit(percent) * F.greatest("n", "ny")
-    met = few.join(other, "sig").filter(F.col("x") < F.col("y")).filter(fits)
+    hub = F.greatest("singles", "sy") >= 0
+    met = few.join(other, "sig").filter(F.col("x") < F.col("y")).filter(fits).filter(hub)
+    met = met.withColumns({c: F.greatest(F.col(c), F.lit(0)) for c in ("singles", "sy")})
     shared = met.groupBy("x", "y", "n", "ny", "singles", "sy").agg(F.count(F.lit(1)).alias("shared"))
     both = F.ceil(F.lit(percent) * (F.col("n") + F.col("ny")) / F.lit(100 + percent))
 
@@ -355,10 +412,11 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     known = docs.filter(F.col("doc_id").isNotNull())
     frequent, from_ = frequent_tokens(known, k)
     entries = index_entries(known, k, percent, frequent)
-    # An entry that only one set has proposes nothing.  Copies of a set are
+    # An entry that only one set has, or no hub, proposes nothing.  Copies of a set are
     # combined on the map side.
-    ends = entries.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-    shared = entries.join(ends.filter("lo <> hi").select("sig"), "sig").distinct()
+    ends = entries.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi"),
+                                        F.max("singles").alias("role"))
+    shared = entries.join(ends.filter("lo <> hi AND role >= 0").select("sig"), "sig").distinct()
     members = materialise(shared.join(by_node, ["node", "n"]).select("sig", F.col("rep").alias("x"), "n", "singles"),
                           "jaccard-entries")
     sizes = members.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("x").alias("least"))

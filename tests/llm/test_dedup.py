@@ -150,6 +150,74 @@ def test_index_never_misses_a_link(seed):
         assert np.array_equal(a, b) or len(np.intersect1d(*entries))
 
 
+def short_sets(n, own=1, size=20):
+    """Sets of one template: all tokens but the last ``own`` are common."""
+    import numpy as np
+    rng = np.random.default_rng(3)
+    common = rng.integers(0, 2**63, size - own, dtype=np.uint64)
+    return [np.unique(np.concatenate([common, rng.integers(0, 2**63, own, dtype=np.uint64)])) for _ in range(n)]
+
+
+def test_blocks_of_short_sets_take_little_memory():
+    import tracemalloc
+
+    import numpy as np
+    sets, ids = short_sets(7000), np.arange(7000)
+    tracemalloc.start()
+    links = ngram_join.block_links(ids, sets, np.zeros(7000, bool), 85)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    root = list(range(7000))
+    for a, b in sorted(links):
+        root[a] = min(root[a], root[b])
+    assert root == [0] * 7000
+    assert peak < 600 << 20
+
+
+@pytest.mark.parametrize("block_sets", [7, 64, 4096])
+def test_blocks_are_bounded_in_sets(spark, block_sets):
+    """Blocks of few sets link what one block does, over all size levels."""
+    sets = [s for size in (5, 8, 9, 10, 11, 12, 30) for s in short_sets(40, size=size)]
+    rows = [(i, bytearray(s.tobytes())) for i, s in enumerate(sets)]
+    table = spark.createDataFrame(rows, "doc_id long, set binary")
+    clusters = spark.createDataFrame([(i, 0) for i in range(len(sets))], "id long, component long")
+    links = ngram_join.linked_blocks(clusters, table, 80, 2 << 20, block_sets)
+    got = {r.id: r.component for r in components(links).collect()}
+    root = list(range(len(sets)))
+    own = [set(s.tolist()) for s in sets]
+    for x in range(len(sets)):
+        for y in range(x):
+            both = len(own[x] & own[y])
+            if 100 * both >= 80 * (len(own[x]) + len(own[y]) - both):
+                p, q = sorted((root[x], root[y]))
+                root = [p if r == q else r for r in root]
+    assert [got.get(i, i) for i in range(len(sets))] == root
+
+
+def test_short_texts_of_one_template_share_no_hub():
+    """Texts too short to link when they differ in the last word."""
+    import numpy as np
+    met = {}
+    for x, s in enumerate(short_sets(200, size=9)):
+        rare = np.zeros(9, bool)
+        for sig, hub in zip(*ngram_join.entries_of(s, rare, 85), strict=True):
+            met.setdefault(int(sig), []).append((x, hub))
+    assert max(len(m) for m in met.values()) == 200
+    assert not any(any(h for _, h in m) for m in met.values() if len(m) > 1)
+
+
+def test_op9_short_texts_of_one_template(spark):
+    rng = random.Random(8)
+    texts = []
+    for words in (6, 9, 11, 14, 18, 25):
+        base = [f"t{words}x{i}" for i in range(words)]
+        texts += [" ".join([*base[:-1], f"u{words}y{i}"]) for i in range(40)]
+        texts += [" ".join(base[:-1]), " ".join(base), " ".join(base[rng.randint(1, 2):])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs).collect()}
+    assert got == brute_components(list(enumerate(texts)), 4, 85)
+
+
 def test_op9_frequent_tokens_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "FREQUENT_FROM", 2)
     monkeypatch.setattr(ngram_join, "FREQUENT_TOKENS", 5)
