@@ -3,7 +3,9 @@
 A page is read as a sequence of text nodes, each with the path of tags from
 the root to it.  Elements that are furniture by their tag, role or class
 (menus, headers, footers, sidebars, notices, adverts, forms, comments, code)
-are left out.  For every tag path the text length and the punctuation are
+are left out.  A class, an id or a form only suggests it: one that holds the
+page's article or most of its prose, or that is named like a menu or header
+and holds long prose, stays.  For every tag path the text length and the punctuation are
 added up and divided by the number of its nodes; both ratios are fused,
 smoothed over neighbouring nodes in page order, averaged again per path, and
 paths from a share of the page's weighted mean on are content.
@@ -41,7 +43,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style textarea title noscript iframe noembed noframes xmp".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
              "small span strike strong sub sup time tt u var wbr img".split())
-FURNITURE = set("head nav footer aside form script style noscript template iframe object svg button select "
+FURNITURE = set("head nav footer aside script style noscript template iframe object svg button select "
                 "textarea dialog menu title canvas audio video map datalist".split())
 LANDMARK = {"article", "main"}
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar "
@@ -51,24 +53,54 @@ NAMES = set("ad ads advert adverts advertisement advertising adsense sponsor spo
             "disqus cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup "
             "login share sharing social related recommended recommendations trending widget toolbar pagination pager "
             "copyright skip".split())
+# Names of parts that hold no prose by their nature.
+NO_PROSE = set("nav navbar navigation menu breadcrumb breadcrumbs masthead header login share sharing social widget "
+               "toolbar pagination pager signup skip".split())
+HEADER_NAMES = {"header", "masthead"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+NEGATED = {"has", "no", "with", "without"}
+# A block of prose has so many characters, a mark and little link text; long
+# prose has so many characters.
+PROSE, LONG_PROSE = 40, 200
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
 
 
-def _is_furniture(tag: str, attrs: str, in_article: bool) -> bool:
+def _names(value: str) -> set[str]:
+    """The names of furniture in a class or id, but those after has, no, with."""
+    out = set()
+    for word in value.split():
+        before = ""
+        for part in re.split("[^a-z0-9]+", word):
+            if part in NAMES and before not in NEGATED:
+                out.add(part)
+            before = part
+    return out
+
+
+def _furniture(tag: str, attrs: str, in_article: bool) -> str:
+    """"sure" for furniture, "" for what is none; what may be some is a
+    "form", "named" like it or named like a part that has "no prose"."""
     if tag in FURNITURE or tag == "header" and not in_article:
-        return True
+        return "sure"
+    kind = "form" if tag == "form" else ""
     if not attrs or tag in LANDMARK or tag in ("html", "body"):
-        return False
+        return kind
     for name, a, b, c in _ATTR.findall(attrs):
         name, value = name.lower(), (a or b or c).lower()
-        if name == "hidden" or name == "role" and value in ROLES:
-            return True
-        if name in ("class", "id") and not NAMES.isdisjoint(re.split("[^a-z0-9]+", value)):
-            return True
+        if name == "hidden" or name == "role" and value in ROLES and not (value == "form" == tag):
+            return "sure"
         if name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
+            return "sure"
+        if name in ("class", "id") and tag not in HEADINGS:
+            found = _names(value)
+            if in_article:
+                found -= HEADER_NAMES
+            if found - NO_PROSE:
+                kind = "named"
+            elif found and kind != "named":
+                kind = kind or "no prose"
+    return kind
 
 
 class _Page:
@@ -81,14 +113,20 @@ class _Page:
     def __init__(self, html: str):
         self.nodes: list[tuple[str, int, int, int]] = []
         self.parent, self.tags, self.depth = [-1], [""], [0]
+        # Doubtful elements are numbered too: kind, the one around it, in an
+        # article; and for each node the innermost, and whether it is a link's.
+        self.kinds: list[tuple[str, int, bool]] = [("", -1, False)]
+        self.doubt: list[tuple[int, bool]] = []
+        self.landmarks: list[int] = []
         paths: dict[tuple[int, str], int] = {}
-        stack = [(0, "", 0, False, False)]  # element, tag, path, in furniture, in article
+        stack = [(0, "", 0, False, False, 0)]  # element, tag, path, in furniture, in article, doubtful
         open_: dict[str, int] = {}
         block, at, lower = 0, 0, None
 
         def text(a, b):
-            element, _, path, dropped, _ = stack[-1]
+            element, _, path, dropped, _, doubtful = stack[-1]
             if not dropped and b > a:
+                self.doubt.append((doubtful, bool(open_.get("a"))))
                 self.nodes.append((unescape(html[a:b]), block, path, element))
 
         def pop():
@@ -132,20 +170,85 @@ class _Page:
                         break
                     if stack[k][1] not in INLINE and stack[k][1] != "p":
                         break
-            element, _, path, dropped, in_article = stack[-1]
+            element, _, path, dropped, in_article, doubtful = stack[-1]
+            if not dropped:
+                kind = _furniture(tag, m["attrs"] or "", in_article or tag in LANDMARK)
+                dropped = kind == "sure"
+                if kind and not dropped:
+                    self.kinds.append((kind, doubtful, in_article))
+                    doubtful = len(self.kinds) - 1
+                elif tag in LANDMARK:
+                    self.landmarks.append(doubtful)
             in_article = in_article or tag in LANDMARK
-            dropped = dropped or _is_furniture(tag, m["attrs"] or "", in_article)
             path = paths.setdefault((path, tag), len(paths) + 1)
             self.parent.append(element)
             self.tags.append(tag)
             self.depth.append(self.depth[element] + 1)
-            stack.append((len(self.parent) - 1, tag, path, dropped, in_article))
+            stack.append((len(self.parent) - 1, tag, path, dropped, in_article, doubtful))
             open_[tag] = open_.get(tag, 0) + 1
             if tag in RAW:
                 # Its content is text up to its own end tag, whatever it holds.
                 lower = html.lower() if lower is None else lower
                 end = lower.find(f"</{tag}", at)
                 at = len(html) if end < 0 else end
+        if len(self.kinds) > 1:
+            kept = self._kept()
+            self.nodes = [n for n, (d, _) in zip(self.nodes, self.doubt, strict=True) if kept[d]]
+
+    def _prose(self) -> list[bool]:
+        """Which nodes are of a block of prose."""
+        blocks: dict[int, list[int]] = {}
+        for (text, block, _, _), (_, link) in zip(self.nodes, self.doubt, strict=True):
+            b = blocks.setdefault(block, [0, 0, 0])
+            b[0] += len(SPACE.sub(" ", text))
+            b[1] += len(text) if link else 0
+            b[2] += len(MARKS.findall(text))
+        return [b[0] >= PROSE and b[2] > 0 and 2 * b[1] <= b[0] for b in (blocks[n[1]] for n in self.nodes)]
+
+    def _kept(self) -> list[bool]:
+        """Which doubtful elements stay (those around them included)."""
+        count = len(self.kinds)
+        length, own, held, articles = [0] * count, [0] * count, [0] * count, [0] * count
+        for (text, _, _, _), (d, _), prose in zip(self.nodes, self.doubt, self._prose(), strict=True):
+            n = len(SPACE.sub(" ", text).strip())
+            length[d] += n
+            own[d] += n if prose else 0
+        for d in self.landmarks:
+            articles[d] += 1
+        own_articles, prose = list(articles), list(own)
+        for d in range(count - 1, 0, -1):
+            up = self.kinds[d][1]
+            length[up] += length[d]
+            prose[up] += prose[d]
+            articles[up] += articles[d]
+        stays = [True] * count
+        for d in range(1, count):
+            kind, _, in_article = self.kinds[d]
+            long = prose[d] >= (1 if in_article else LONG_PROSE) and 2 * prose[d] >= length[d]
+            stays[d] = kind != "named" and (
+                articles[d] > 0 or 2 * prose[d] > prose[0] or kind == "no prose" and long)
+
+        def through(d: int) -> bool:
+            up = self.kinds[d][1]
+            held[d] = stays[d] and (up < 0 or held[up])
+            return held[d]
+
+        for wanted, own_wanted in ((articles, own_articles), (prose, own)):
+            # The page's only article or prose is not furniture, whatever the
+            # name around it: the largest is opened until some is found.
+            kept = [through(d) for d in range(count)]
+            if wanted[0] and not any(n and k for n, k in zip(own_wanted, kept, strict=True)):
+                inner: dict[int, list[int]] = {}
+                for d in range(1, count):
+                    inner.setdefault(self.kinds[d][1], []).append(d)
+                at = 0
+                while not own_wanted[at] and inner.get(at):
+                    at = max(inner[at], key=lambda d: (wanted[d], prose[d], -d))
+                    stays[at] = True
+                kept = [through(d) for d in range(count)]
+            if any(n and k for n, k in zip(own_articles, kept, strict=True)):
+                break
+        return kept
 
 
 def content_paths(nodes: list[tuple[str, int, int, int]], share: float = SHARE) -> set[int]:

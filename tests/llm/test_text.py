@@ -171,6 +171,29 @@ def test_op6_pages(body, text):
     assert html_extract.main_text(PAGE.format(body=body)) == text
 
 
+LONG = "A sentence of an article, which is long enough to be prose. " * 4
+ARTICLE = f"<article><h1>Title</h1><p>{LONG}</article>"
+TEXT = f"Title\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize("body,text", [
+    (f"<div class='layout has-sidebar'>{ARTICLE}</div>", TEXT),
+    (f"<div id=no-footer><div class='page comments-open'>{ARTICLE}<div id=comments><p>{LONG * 9}</div></div></div>", TEXT),
+    (f"<form method=post><div class=menu-open>{ARTICLE}</div></form>", TEXT),
+    (f"<form><div><h1>Title</h1><p>{LONG}</div></form>", TEXT),
+    (f"<article><div class=post-header><h1 class=header>Title</h1></div><p>{LONG}<h2 id=social-impact>Impact</h2><h2 "
+     f"id=menu>Menu</h2><section id=header-files><h3>Files</h3><p>{LONG}</section></article>",
+     f"{TEXT}\nImpact\nMenu\nFiles\n{LONG.strip()}"),
+    # These stay furniture.
+    (f"{ARTICLE}<section id=comments><article><p>{LONG * 9}</article></section>", TEXT),
+    (f"{ARTICLE}<div class=related><article><p>{LONG}</article></div>", TEXT),
+    (f"<article><h1>Title</h1><div class=menu><a href=a>{LONG}</a></div><div class=ad><p>{LONG}</div><p>{LONG}"
+     f"<form><p>Write us, if you like it, and tell all your friends.</form></article>", TEXT),
+    ("<div class=header><p>A line about the site, that is all.</div><form>Name, word <input></form>", "")])
+def test_op6_names_and_forms(body, text):
+    assert html_extract.main_text(PAGE.format(body=body)) == text
+
+
 @pytest.mark.parametrize("html,text", [
     (None, ""), ("", ""), ("just text", "just text"), ("<p>a<p>b<script>x</p>", "a\nb"), ("<<<<p", "<<<"),
     ('<p title="a>b">q</p>', "q"), ("<!-- <p>no</p>", ""), ("<p>&am &amp &#x41;</p>", "&am & A"),
