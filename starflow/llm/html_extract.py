@@ -10,10 +10,13 @@ added up and divided by the number of its nodes; both ratios are fused,
 smoothed over neighbouring nodes in page order, averaged again per path, and
 paths from a share of the page's weighted mean on are content.
 
-Content nodes mark where the article is: its text is that of the deepest
-element that holds nearly all of theirs, so a short line between long
-paragraphs stays.  Where only the page's body holds them, the text is that of
-the content paths.
+Content nodes mark where the article is.  If the deepest element that holds
+nearly all of their text lies in an article or main element, the text is all
+of that element's, whatever the ratios of its parts.  Else it is that of the
+deepest element that holds all content nodes but links, so a short line between
+long paragraphs stays; where that is the page's body, all from the first content
+block to the last.  Paragraphs, headings, items and cells right before and
+after belong to it, unless they are links.
 """
 
 from __future__ import annotations
@@ -62,6 +65,9 @@ NEGATED = {"has", "no", "with", "without"}
 # A block of prose has so many characters, a mark and little link text; long
 # prose has so many characters.
 PROSE, LONG_PROSE = 40, 200
+# Elements that are part of a text, not around it.
+TEXT_PARTS = HEADINGS | set("p li ul ol blockquote pre td th tr tbody thead tfoot caption table dl dt dd figure "
+                            "figcaption".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
 
@@ -193,7 +199,10 @@ class _Page:
                 at = len(html) if end < 0 else end
         if len(self.kinds) > 1:
             kept = self._kept()
-            self.nodes = [n for n, (d, _) in zip(self.nodes, self.doubt, strict=True) if kept[d]]
+            keep = [kept[d] for d, _ in self.doubt]
+            self.nodes = [n for n, k in zip(self.nodes, keep, strict=True) if k]
+            self.doubt = [d for d, k in zip(self.doubt, keep, strict=True) if k]
+        self.link = [link for _, link in self.doubt]
 
     def _prose(self) -> list[bool]:
         """Which nodes are of a block of prose."""
@@ -274,13 +283,13 @@ def content_paths(nodes: list[tuple[str, int, int, int]], share: float = SHARE)
     return {p for p, s in scores.items() if sum(s) / len(s) >= share * mean}
 
 
-def _container(page: _Page, picked: list[int]) -> int:
-    """The deepest element with HOLDS of the picked nodes' text."""
+def _container(page: _Page, picked: list[int], holds: float) -> int:
+    """The deepest element with a share of ``holds`` of the picked nodes' text."""
     mass: dict[int, int] = {}
     for i in picked:
         e = page.nodes[i][3]
         mass[e] = mass.get(e, 0) + len(page.nodes[i][0])
-    need = HOLDS * sum(mass.values())
+    need = holds * sum(mass.values())
     # Children have larger numbers than the elements around them.
     sums = [0] * len(page.parent)
     for e, n in mass.items():
@@ -293,6 +302,45 @@ def _container(page: _Page, picked: list[int]) -> int:
     return best
 
 
+def _out_of(page: _Page, box: int, tags: set[str]) -> int:
+    while page.tags[box] in tags and box > 0:
+        box = page.parent[box]
+    return box
+
+
+def _span(page: _Page, first: int, last: int) -> tuple[int, int]:
+    """The nodes from ``first`` to ``last``, with all of their blocks and the
+    parts of text right before and after."""
+    blocks: list[list[int]] = []
+    for i, n in enumerate(page.nodes):
+        if not blocks or page.nodes[blocks[-1][0]][1] != n[1]:
+            blocks.append([i, i])
+        blocks[-1][1] = i
+
+    solid = list(range(len(page.parent)))
+    for e in range(1, len(solid)):
+        if page.tags[e] in INLINE:
+            solid[e] = solid[page.parent[e]]
+
+    def belongs(a: int, b: int) -> bool:
+        length = of_links = 0
+        for i in range(a, b + 1):
+            n = len(page.nodes[i][0].strip())
+            length += n
+            of_links += n if page.link[i] else 0
+            if n and page.tags[solid[page.nodes[i][3]]] not in TEXT_PARTS:
+                return False
+        return not length or 2 * of_links <= length
+
+    low = next(k for k, b in enumerate(blocks) if b[1] >= first)
+    high = next(k for k in range(len(blocks) - 1, -1, -1) if blocks[k][0] <= last)
+    while low > 0 and belongs(*blocks[low - 1]):
+        low -= 1
+    while high < len(blocks) - 1 and belongs(*blocks[high + 1]):
+        high += 1
+    return blocks[low][0], blocks[high][1]
+
+
 def main_text(html: str | None) -> str:
     """The article's text: blocks in page order, joined by a line feed."""
     page = _Page(html or "")
@@ -300,23 +348,24 @@ def main_text(html: str | None) -> str:
     picked = [i for i, n in enumerate(page.nodes) if n[2] in paths and n[0].strip()]
     if not picked:
         return ""
-    box = _container(page, picked)
-    while page.tags[box] in INLINE or page.tags[box] in ("p", "h1", "h2", "h3", "li", "ul", "ol", "blockquote"):
-        box = page.parent[box]
-    # If the box lies in an article, the article is the box.
-    e = box
+    # If nearly all lies in an article, the article is the box.
+    e = _container(page, picked, HOLDS)
     while e > 0 and page.tags[e] not in LANDMARK:
         e = page.parent[e]
-    box = e if e > 0 else box
-    if page.tags[box] in ("", "html", "body"):
-        keep_blocks = {page.nodes[i][1] for i in picked}
-        kept = [n for n in page.nodes if n[1] in keep_blocks]
-    else:
-        inside = [False] * len(page.parent)
-        inside[box] = True
-        for e in range(box + 1, len(inside)):
-            inside[e] = inside[page.parent[e]]
+    # Links beside the article reach the ratio by their neighbours.
+    picked = [i for i in picked if not page.link[i]] or picked
+    box = e if e > 0 else _out_of(page, _container(page, picked, 1), INLINE | TEXT_PARTS)
+    inside = [False] * len(page.parent)
+    inside[box] = True
+    for e in range(box + 1, len(inside)):
+        inside[e] = inside[page.parent[e]]
+    if page.tags[box] in LANDMARK:
         kept = [n for n in page.nodes if inside[n[3]]]
+    else:
+        if page.tags[box] not in ("", "html", "body"):
+            picked = [i for i, n in enumerate(page.nodes) if inside[n[3]] and n[0].strip()]
+        a, b = _span(page, picked[0], picked[-1])
+        kept = page.nodes[a:b + 1]
     blocks: dict[int, list[str]] = {}
     for n in kept:
         blocks.setdefault(n[1], []).append(n[0])

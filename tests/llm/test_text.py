@@ -194,6 +194,30 @@ def test_op6_names_and_forms(body, text):
     assert html_extract.main_text(PAGE.format(body=body)) == text
 
 
+SHORT = "A short paragraph, the end."
+CODE = "run(a); go(b); " * 200
+
+
+@pytest.mark.parametrize("body,text", [
+    (f"<div><div class=s1><p>{LONG * 12}</div><div class=s2><p>{LONG}</div></div>",
+     f"{(LONG * 12).strip()}\n{LONG.strip()}"),
+    (f"<div class=s1><p>{LONG * 12}</div><div class=s2><p>{LONG}</div>", f"{(LONG * 12).strip()}\n{LONG.strip()}"),
+    (f"<h1>Title</h1><p>{SHORT}<pre>{CODE}</pre><p>{SHORT}", f"Title\n{SHORT}\n{CODE.strip()}\n{SHORT}"),
+    (f"<div><h1>Title</h1><p>{SHORT}<table><tr><td>{CODE}</table><p>{SHORT}</div>",
+     f"Title\n{SHORT}\n{CODE.strip()}\n{SHORT}"),
+    (f"<div><h1>Title</h1><p>{SHORT}<dl><dt>a<dd>{CODE}</dl></div>", f"Title\n{SHORT}\na\n{CODE.strip()}"),
+    (f"<div><h4>Title</h4><figure><figcaption>{LONG}</figcaption></figure><p>{SHORT}</div>",
+     f"Title\n{LONG.strip()}\n{SHORT}"),
+    (f"<p>{LONG * 4}<ul><li>a<li>b<li>c<li>d</ul><p>{LONG * 4}",
+     f"{(LONG * 4).strip()}\na\nb\nc\nd\n{(LONG * 4).strip()}"),
+    (f"<div><h1>Title</h1><div class=text><p>{LONG}<p>{LONG}</div></div>", f"{TEXT}\n{LONG.strip()}"),
+    # Links around it stay out.
+    (f"<div><a href=a>One</a> <a href=b>Two</a></div><p>{LONG}<p>{LONG}<ul><li><a href=c>Three</a></ul>",
+     f"{LONG.strip()}\n{LONG.strip()}")])
+def test_op6_pages_without_article(body, text):
+    assert html_extract.main_text(PAGE.format(body=body)) == text
+
+
 @pytest.mark.parametrize("html,text", [
     (None, ""), ("", ""), ("just text", "just text"), ("<p>a<p>b<script>x</p>", "a\nb"), ("<<<<p", "<<<"),
     ('<p title="a>b">q</p>', "q"), ("<!-- <p>no</p>", ""), ("<p>&am &amp &#x41;</p>", "&am & A"),
