@@ -156,7 +156,13 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     whose text another with a smaller doc_id has a copy.
 
     Rows repeated with doc_id and text are one row afterwards.  Rows without a
-    doc_id stay.
+    doc_id stay, all of them; of a doc_id with several texts only those go
+    that are copies.
     """
-    gone = exact_groups(docs).filter(~F.col("kept")).select(F.col("doc_id").cast(docs.schema["doc_id"].dataType))
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    gone = exact_groups(docs).filter(~F.col("kept")).select(
+        F.col("doc_id").cast(docs.schema["doc_id"].dataType), F.col("text_sha256").alias("_sha"))
+    # Rows are dealt by doc_id and hash once, for both steps.
+    keyed = docs.withColumn("_sha", F.sha2(normalised(F.col("text")), 256))
+    left = keyed.join(gone, ["doc_id", "_sha"], "left_anti").withColumn(
+        "_row", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
+    return left.dropDuplicates(["doc_id", "_sha", "text", "_row"]).select(*docs.columns)

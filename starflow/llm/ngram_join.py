@@ -448,6 +448,20 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
 
 def keep_one_each(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The rows of ``docs``, with all their columns, of one document of each
-    component: that with the smallest doc_id.  Rows without a doc_id stay."""
-    found = jaccard_components(docs, k, percent).filter("component_id <> doc_id")
-    return docs.join(found.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType)), "doc_id", "left_anti")
+    component: that with the smallest doc_id.  Rows without a doc_id stay.
+    Each text of a doc_id that names several is a document of its own."""
+    id_type = docs.schema["doc_id"].dataType
+    keyed = docs.withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
+    texts = keyed.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("_sha").alias("lo"), F.max("_sha").alias("hi"))
+    if texts.filter("lo <> hi").isEmpty():
+        found = jaccard_components(docs, k, percent).filter("component_id <> doc_id")
+        return docs.join(found.select(F.col("doc_id").cast(id_type)), "doc_id", "left_anti")
+    keys = materialise(keyed.filter("doc_id IS NOT NULL").select("doc_id", "_sha").distinct().withColumn(
+        "_key", F.monotonically_increasing_id()), "jaccard-keys")
+    found = jaccard_components(keyed.join(keys, ["doc_id", "_sha"]).select(F.col("_key").alias("doc_id"), "text"),
+                               k, percent)
+    placed = materialise(found.select(F.col("doc_id").alias("_key"), "component_id").distinct()
+                         .join(keys, "_key"), "jaccard-placed")
+    first = placed.groupBy("component_id").agg(F.min(F.struct("doc_id", "_sha", "_key"))["_key"].alias("first"))
+    gone = placed.join(first, "component_id").filter("first <> _key").select("doc_id", "_sha")
+    return keyed.join(gone, ["doc_id", "_sha"], "left_anti").select(*docs.columns)

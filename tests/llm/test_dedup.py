@@ -70,6 +70,23 @@ def test_drop_copies(edge_docs):
     assert kept.filter("doc_id IS NULL").count() == 2
 
 
+def test_copies_of_a_doc_id_with_two_texts(spark):
+    a, b = "one text that is there twice", "another text of the same document"
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, a), (5, a), (5, b), (5, b), (None, a), (None, a), (None, None), (7, None), (8, "")]
+    docs = make_docs(spark, [], extra=rows)
+    kept = exact_dedup.drop_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id or 0, r.text or "") for r in kept.collect())) == [
+        (0, ""), (0, a), (0, a), (1, a), (5, b), (7, "")]
+    docs = make_docs(spark, [], extra=[(1, near), (5, near + " end"), (5, b), (None, near), (3, b + " "), (9, "")])
+    kept = ngram_join.keep_one_each(docs, 4, 85)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id or 0, r.text) for r in kept.collect())) == [(0, near), (1, near), (3, b + " "), (9, "")]
+    docs = make_docs(spark, [], extra=[(1, near), (5, near + " end"), (5, b)])
+    assert sorted((r.doc_id, r.text) for r in ngram_join.keep_one_each(docs, 4, 85).collect()) == [(1, near), (5, b)]
+
+
 def shingles(text, k):
     low = (text or "").translate({c: c + 32 for c in range(65, 91)})
     w = [x for x in SPACE.split(low) if x]
