@@ -194,6 +194,14 @@ def test_op6_names_and_forms(body, text):
     assert html_extract.main_text(PAGE.format(body=body)) == text
 
 
+def test_op6_landmark_overrides_ratios():
+    """A box of low ratio in the article stays, one beside it does not."""
+    box = "<div><span>Box</span></div>" * 3
+    page = f"<section>{box}</section><article><p>{LONG * 9}{box}<p>{LONG * 9}</article>"
+    prose = (LONG * 9).strip()
+    assert html_extract.main_text(PAGE.format(body=page)) == f"{prose}\nBox\nBox\nBox\n{prose}"
+
+
 SHORT = "A short paragraph, the end."
 CODE = "run(a); go(b); " * 200
 
