@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starflow.llm import (decontaminate, exact_dedup, html_extract, ngram_join, packing, pii, quality, secret_scan,
-                          token_counts, wavelet)
+from starflow.llm import (decontaminate, exact_dedup, filter_audit, html_extract, ngram_join, packing, pii, quality,
+                          secret_scan, token_counts, wavelet)
 from starflow.llm.sql import ORACLE_SQL  # noqa: F401
 from starflow.session import share_code
 
@@ -57,6 +57,10 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_shards": op2_token_shards,
@@ -68,4 +72,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_ngram_join": op9_ngram_join,
     "op10_decontaminate": op10_decontaminate,
+    "op13_filter_audit": op13_filter_audit,
 }
