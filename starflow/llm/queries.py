@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starflow.llm import (decontaminate, exact_dedup, filter_audit, html_extract, importance, ngram_join, packing, pii,
-                          quality, secret_scan, token_counts, wavelet)
+from starflow.llm import (decontaminate, exact_dedup, filter_audit, html_extract, importance, lz_fingerprint, ngram_join,
+                          packing, pii, quality, secret_scan, token_counts, wavelet)
 from starflow.llm.sql import ORACLE_SQL  # noqa: F401
 from starflow.session import share_code
 
@@ -57,6 +57,10 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_lz_fingerprint(spark, sf_dir):
+    return lz_fingerprint.edited_likeness(_table(spark, sf_dir, "documents"))
+
+
 def op12_importance(spark, sf_dir):
     return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_ngram_join": op9_ngram_join,
     "op10_decontaminate": op10_decontaminate,
+    "op11_lz_fingerprint": op11_lz_fingerprint,
     "op12_importance": op12_importance,
     "op13_filter_audit": op13_filter_audit,
 }
