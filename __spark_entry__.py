@@ -24,6 +24,7 @@ from starflow.functions import clean as C  # noqa: E402
 from starflow.functions.constants import ACCEPTED_SEGMENTS, FRESHNESS_SALES  # noqa: E402
 from starflow.operators import profile as PR  # noqa: E402
 from starflow.operators.scd import latest_per_key, scd2_from_events, scd2_snapshot  # noqa: E402
+from starflow.sources import incremental as INC  # noqa: E402
 from starflow.sources.contracts import SALES_COLUMNS, SALES_RENAMES  # noqa: E402
 from starflow.sources.readers import drop_exact, ingest_sales, read_since, upsert  # noqa: E402
 from starflow.operators import quality as Q  # noqa: E402
@@ -32,7 +33,7 @@ from starflow.operators.facts import build_fact, calendar_dim  # noqa: E402
 from starflow.operators.fx import fill_calendar  # noqa: E402
 from starflow.plans import pipeline as P  # noqa: E402
 from starflow.plans import testbed as T  # noqa: E402
-from starflow.session import configure, share_code  # noqa: E402
+from starflow.session import configure, materialise, share_code, work_dir  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -277,6 +278,37 @@ def q_fx_merge(spark, sf_dir):
     return upsert(first, read_since(quotes, "actual_date", first, "1900-01-01"), ["actual_date", "currency"])
 
 
+def q_incremental_write(spark, sf_dir):
+    """The conformed table on disk: the first loads, then the loads of the
+    last year merged by line, twice as after a restart."""
+    t, st = _staged(spark, sf_dir, persist=True)
+    loads = T.loads(t)
+    countries, fx = P.staged_countries(t), P.staged_fx(t)
+    early = loads.filter(F.col("inserted_at") < _cutoff(loads))
+    path, month = work_dir(spark, "conformed"), INC.month_of("order_date")
+    INC.merge(P.persist(P.conform_sales(P.dedupe_sales(st, early), countries, fx), PERSIST), path,
+              ["order_line_id"], month)
+    target = INC.read(spark, path)
+    batch = P.persist(P.conform_since(st, loads, countries, fx, target), PERSIST)
+    for _ in range(2):
+        INC.merge(batch, path, ["order_line_id"], month)
+    return INC.read(spark, path).select(*target.columns).drop(INC.PART)
+
+
+def q_incremental_moves(spark, sf_dir):
+    """Orders some of which were landed 45 days late: the corrections put
+    them into the month they belong to."""
+    o = _t(spark, sf_dir)["orders"].select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date"), "o_totalprice")
+    key = F.col("o_orderkey")
+    wrong = o.withColumn("o_orderdate", F.when(key % 10 == 0, F.date_add("o_orderdate", 45)).otherwise(F.col("o_orderdate")))
+    fixed = materialise(o.filter(key % 20 == 0).withColumn("o_totalprice", F.round(F.col("o_totalprice") * 2, 2)), "fixes")
+    path, month = work_dir(spark, "orders"), INC.month_of("o_orderdate")
+    INC.merge(materialise(wrong, "orders-first"), path, ["o_orderkey"], month, batch_id="first")
+    INC.merge(fixed, path, ["o_orderkey"], month, batch_id="fixes")
+    INC.merge(fixed, path, ["o_orderkey"], month, batch_id="fixes")
+    return INC.read(spark, path).withColumnRenamed(INC.PART, "part")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_sales": q_raw_sales,
     "conform_schema": q_conform_schema,
@@ -317,6 +349,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chk_unique_customer": q_chk_unique_customer,
     "chk_ordered_after_shipping": q_chk_ordered_after_shipping,
     "chk_undivided_price": q_chk_undivided_price,
+    "incremental_write": q_incremental_write,
+    "incremental_moves": q_incremental_moves,
 }
 
 

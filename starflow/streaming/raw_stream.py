@@ -1,16 +1,15 @@
 """Continuous delivery of landed sales exports (optional mode, build step 11).
 
 Raw exports landing in a folder (Parquet, all-text contract plus lineage
-columns) are picked up with ``readStream``; every micro-batch is staged,
-deduplicated against itself and merged into a Parquet target by the
-upsert operator, inside ``foreachBatch``.
+columns) are picked up with ``readStream``; every micro-batch is staged and
+merged by line key into a Parquet table partitioned by order month, inside
+``foreachBatch``: it writes the months it touches and no other.
 
 ``dropDuplicatesWithinWatermark`` is not used on purpose: it keeps the first
 arrival, and here a later correction must win.  The checkpoint location is in
 the shared checkpoint folder, so a restarted query resumes exactly where it
-stopped.  Each batch writes a new numbered version of the target; a version
-counts once Spark's commit marker is in it, so a failed batch leaves the one
-before readable.  All folders are reached through Spark's file system API.
+stopped; a batch that was committed before a crash is known by its id and not
+merged again.
 """
 
 from __future__ import annotations
@@ -19,67 +18,54 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.ordered import dedupe_latest
+from ..functions.clean import clean_id_text, sign_int
 from ..plans.pipeline import STAGED_COLUMNS, stage_sales
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, materialise
+from ..sources import incremental
 from ..sources.contracts import SALES_CONTRACT
-from ..functions.clean import sign_int
-from pyspark.sql import types as T
 
 RAW_SCHEMA = T.StructType(SALES_CONTRACT.fields + [
     T.StructField("_load_id", T.StringType()), T.StructField("_row_id", T.StringType())])
 
 
-def _folder(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def versions(spark: SparkSession, target_root: str) -> list[str]:
-    """Complete versions of the target, oldest first."""
-    fs, root = _folder(spark, target_root)
-    if not fs.exists(root):
-        return []
-    names = [x.getPath().getName() for x in fs.listStatus(root)]
-    return sorted(n for n in names if n.startswith("v-")
-                  and fs.exists(_folder(spark, f"{target_root}/{n}/_SUCCESS")[1]))
+def versions(spark: SparkSession, target_root: str) -> list[int]:
+    """Numbers of the complete commits of the target, oldest first."""
+    return incremental.commits(spark, target_root)
 
 
 SEED = "known price"
 
 
-def _known_prices(target: DataFrame) -> DataFrame:
-    """The last price of each product and day so far, as raw lines in the
-    place of the line that had it."""
-    daily = target.filter(F.col("unit_price").isNotNull()).groupBy("product_id", "order_date").agg(
-        F.max_by("unit_price", "_row_id").alias("unit_price"), F.max("_row_id").alias("_row_id"))
+def _known_prices(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """The last price of each day so far of the batch's products, as raw lines
+    in the place of the line that had it."""
+    asked = batch.select(clean_id_text("product_id").try_cast("bigint").alias("product_id")).distinct()
+    daily = (target.filter(F.col("unit_price").isNotNull()).join(asked, "product_id", "left_semi")
+             .groupBy("product_id", "order_date")
+             .agg(F.max_by("unit_price", "_row_id").alias("unit_price"), F.max("_row_id").alias("_row_id")))
     text = {c: F.col(c).cast("string") for c in ("product_id", "order_date", "unit_price", "_row_id")}
     text |= {"_load_id": F.lit(SEED)}
     return daily.select(*[text.get(f.name, F.lit(None).cast("string")).alias(f.name) for f in RAW_SCHEMA])
 
 
-def merge_batch(spark: SparkSession, batch: DataFrame, target_root: str) -> None:
-    """Stage one batch and merge it into the target's current version: of the
-    old and new rows of a line key the latest load stays, whatever the order
-    of arrival; prices known from earlier batches carry forward."""
-    done = versions(spark, target_root)
-    target = spark.read.parquet(f"{target_root}/{done[-1]}") if done else None
+def merge_batch(spark: SparkSession, batch: DataFrame, target_root: str, batch_id: str | None = None) -> None:
+    """Stage one batch and merge it into the target: of the old and new rows
+    of a line key the latest load stays, whatever the order of arrival; prices
+    known from earlier batches carry forward.  Only the order months of the
+    batch, and those its lines were in before, are written."""
     raw = batch.select(*[f.name for f in RAW_SCHEMA])
-    if target is not None:
-        raw = raw.unionByName(_known_prices(target))
+    if versions(spark, target_root):
+        raw = raw.unionByName(_known_prices(incremental.read(spark, target_root), raw))
     staged = stage_sales(raw).filter(~F.col("is_quarantined") & (F.col("_load_id") != SEED))
     staged = staged.withColumn("line_key", F.concat_ws("-", F.col("order_id").cast("string"),
                                                        F.col("product_id").cast("string"),
                                                        sign_int("quantity").cast("string")))
-    rows = staged if target is None else target.unionByName(staged)
-    merged = dedupe_latest(rows, ["line_key"], ["_load_id"], ["_row_id"])
-    number = int(done[-1][2:]) + 1 if done else 0
-    merged.write.mode("overwrite").parquet(f"{target_root}/v-{number:012d}")
-    # Readers of the version before may still be at work; older ones go.
-    for name in done[:-1]:
-        fs, path = _folder(spark, f"{target_root}/{name}")
-        fs.delete(path, True)
+    incremental.merge(materialise(staged, "stream-batch"), target_root, ["line_key"], incremental.month_of("order_date"),
+                      prefer=["_load_id", "_row_id"], batch_id=batch_id)
+    # Readers of the commit before may still be at work; older files go.
+    incremental.expire(spark, target_root)
 
 
 def start(spark: SparkSession, landing: str, target_root: str, query_name: str = "sales_stream",
@@ -90,11 +76,11 @@ def start(spark: SparkSession, landing: str, target_root: str, query_name: str =
     ckpt = f"{checkpoint_dir(spark)}/stream-{query_name}-{pair}"
     stream = spark.readStream.schema(RAW_SCHEMA).parquet(landing)
     writer = (stream.writeStream.queryName(query_name).option("checkpointLocation", ckpt)
-              .foreachBatch(lambda df, epoch: merge_batch(spark, df, target_root)))
+              .foreachBatch(lambda df, epoch: merge_batch(spark, df, target_root, f"{query_name}-{pair}-{epoch}")))
     if trigger_once:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
 def read_target(spark: SparkSession, target_root: str) -> DataFrame:
-    return spark.read.parquet(f"{target_root}/{versions(spark, target_root)[-1]}").select(*STAGED_COLUMNS, "line_key")
+    return incremental.read(spark, target_root).select(*STAGED_COLUMNS, "line_key")
