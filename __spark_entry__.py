@@ -30,7 +30,8 @@ from starflow.sources.readers import drop_exact, ingest_sales, read_since, upser
 from starflow.operators import quality as Q  # noqa: E402
 from starflow.operators import rollups as R  # noqa: E402
 from starflow.operators.facts import build_fact, calendar_dim  # noqa: E402
-from starflow.operators.fx import fill_calendar  # noqa: E402
+from starflow.operators.asof import asof_join  # noqa: E402
+from starflow.operators.fx import convert_asof, fill_calendar  # noqa: E402
 from starflow.plans import pipeline as P  # noqa: E402
 from starflow.plans import testbed as T  # noqa: E402
 from starflow.session import configure, materialise, share_code, work_dir  # noqa: E402
@@ -309,6 +310,26 @@ def q_incremental_moves(spark, sf_dir):
     return INC.read(spark, path).withColumnRenamed(INC.PART, "part")
 
 
+def q_asof_fx(spark, sf_dir):
+    """Clean sales at the latest quote of their currency; quotes come in
+    bursts with weeks between them, and half a year old ones don't count."""
+    t, st = _staged(spark, sf_dir, persist=True)
+    quotes = T.fx_quotes(t).filter(F.day("actual_date") <= 6).filter(
+        ~(F.col("currency").isin("EUR", "GBP") & (F.month("actual_date") > 4)))
+    rows = convert_asof(st.filter(~F.col("is_quarantined")), P.staged_countries(t), quotes, within="180 days")
+    return rows.select("_row_id", "country", "currency", "order_date", "actual_date", "rate", "amount_usd")
+
+
+def q_asof_events(spark, sf_dir):
+    """The user's error before each event; a third of all events is of one user."""
+    e = _t(spark, sf_dir)["events"].withColumn(
+        "user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+    last = e.filter(F.col("event_type") == "error").select(
+        "user_id", F.col("ts").alias("error_ts"), F.col("event_id").alias("error_id"))
+    return asof_join(e.select("event_id", "user_id", "event_type", "ts"), last, ["user_id"], "ts", "error_ts",
+                     ["error_id"], bucket="day", strict=True)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_sales": q_raw_sales,
     "conform_schema": q_conform_schema,
@@ -349,6 +370,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chk_unique_customer": q_chk_unique_customer,
     "chk_ordered_after_shipping": q_chk_ordered_after_shipping,
     "chk_undivided_price": q_chk_undivided_price,
+    "asof_fx": q_asof_fx,
+    "asof_events": q_asof_events,
     "incremental_write": q_incremental_write,
     "incremental_moves": q_incremental_moves,
 }

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clean import sign_int
+from .asof import asof_join
 from .quality import conformed_rules, country_key, country_rules, flag, fx_rules
 
 
@@ -148,3 +149,20 @@ def convert_to_base(sales: DataFrame, countries: DataFrame, fx: DataFrame) -> Da
           .withColumn("order_line_id", order_line_id()))
     s = flag(s.drop("quarantine_reason", "is_quarantined"), conformed_rules())
     return s.select(*CONFORMED_COLUMNS)
+
+
+def convert_asof(sales: DataFrame, countries: DataFrame, quotes: DataFrame, within: str | None = None) -> DataFrame:
+    """JN7: the local currency's rate in force on the order date, straight
+    from the trading-day quotes (actual_date, currency, rate): adds currency,
+    rate, the day it is from, and amount_usd = amount / rate.
+
+    No calendar is filled, so gaps between quotes cost nothing.  Unlike
+    ``convert_to_base``, which takes the first currency with a rate, a sale
+    has its country's first listed currency; unusable quotes (no rate, or
+    none above zero) are passed over, and an earlier one counts."""
+    first = (countries.select(country_key().alias("_ck"), F.get("currency_codes", F.lit(0)).alias("currency"))
+             .filter(F.col("_ck").isNotNull()).groupBy("_ck").agg(F.min("currency").alias("currency")))
+    priced = sales.join(first, sales["country"] == first["_ck"], "left").drop("_ck")
+    usable = quotes.filter(F.col("rate") > 0)
+    out = asof_join(priced, usable, ["currency"], "order_date", "actual_date", ["rate"], within=within)
+    return out.withColumn("amount_usd", F.try_divide(F.col("amount").cast("double"), F.col("rate")))
