@@ -330,6 +330,17 @@ def q_asof_events(spark, sf_dir):
                      ["error_id"], bucket="day", strict=True)
 
 
+def q_scd2_daily(spark, sf_dir):
+    """Products by the last row of a day; one without a name has one version
+    as long as nothing changes."""
+    return P.dim_product(_conformed(spark, sf_dir)[4], first_by="row_number", one_per_day=True)
+
+
+def q_scd2_price_band(spark, sf_dir):
+    """Products whose price must leave a band of a fifth to make history."""
+    return P.dim_product(_conformed(spark, sf_dir)[4], one_per_day=True, tolerance={"unit_price_usd": 0.2})
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_sales": q_raw_sales,
     "conform_schema": q_conform_schema,
@@ -370,6 +381,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chk_unique_customer": q_chk_unique_customer,
     "chk_ordered_after_shipping": q_chk_ordered_after_shipping,
     "chk_undivided_price": q_chk_undivided_price,
+    "scd2_daily": q_scd2_daily,
+    "scd2_price_band": q_scd2_price_band,
     "asof_fx": q_asof_fx,
     "asof_events": q_asof_events,
     "incremental_write": q_incremental_write,

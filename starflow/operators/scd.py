@@ -3,9 +3,10 @@ the unknown member (DIM1)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +14,51 @@ from ..functions.constants import UNKNOWN_ID, UNKNOWN_KEY, UNKNOWN_VALID_FROM
 from .ordered import dedupe_latest, with_next_start, with_previous
 
 
+def last_of_day(df: DataFrame, key: str, ts: str, tiebreak: str, cols: Sequence[str]) -> DataFrame:
+    """key, ts, tiebreak and ``cols`` of the last row of each key and day.
+    Undated rows are a day of their own.  A partial aggregate: a hot key
+    sends one row per task and day."""
+    day = F.col(ts).cast("date")
+    row = F.struct(ts, tiebreak, *cols)
+    # Undated rows have no time to be the greatest by, only a tie-break.
+    at = F.struct(F.coalesce(F.col(ts).cast("timestamp"), F.lit("1970-01-01").cast("timestamp")), F.col(tiebreak))
+    last = df.groupBy(key, day.alias("_day")).agg(F.max_by(row, at).alias("_last"))
+    return last.select(key, "_last.*")
+
+
+def outside_band(rows: DataFrame, key: str, ts: str, tiebreak: str, changed: str,
+                 bands: dict[str, float]) -> DataFrame:
+    """The rows, in (ts, tiebreak) order of their key, that open a version: the
+    first of the key, those marked ``changed``, and those of which a column of
+    ``bands`` is farther from its value *in the last version* than that share
+    of it, or is NULL where that is not.
+
+    What a row is compared with depends on all rows before it, which no lag
+    can say: each task folds its keys in order and holds the last version of
+    one key only."""
+    schema, cols = rows.schema, list(bands)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, kept = object(), None
+        for batch in batches:
+            values = list(zip(*(batch.column(f"_band_{c}").to_pylist() for c in cols), strict=True))
+            opens = batch.column(changed).to_pylist()
+            for i, k in enumerate(batch.column(key).to_pylist()):
+                if own != k or opens[i] or any(
+                        a != b and (a is None or b is None or abs(a - b) > bands[c] * abs(b))
+                        for c, a, b in zip(cols, values[i], kept, strict=True)):
+                    own, kept, opens[i] = k, values[i], True
+            yield batch.filter(pa.array(opens, pa.bool_())).select(schema.names)
+
+    numbers = {f"_band_{c}": F.col(c).cast("double") for c in cols}
+    ordered = rows.withColumns(numbers).repartition(key).sortWithinPartitions(
+        key, F.col(ts).asc_nulls_last(), F.col(tiebreak).asc())
+    return ordered.mapInArrow(run, schema)
+
+
 def scd2_from_events(df: DataFrame, key: str, attrs: Sequence[str], ts: str, tiebreak: str,
-                     surrogate_col: str, ignore_values: Sequence[str] = ()) -> DataFrame:
+                     surrogate_col: str, ignore_values: Sequence[str] = (), first_by: str = "value",
+                     one_per_day: bool = False, tolerance: dict[str, float] | None = None) -> DataFrame:
     """SCD1: a version starts on a row whose first attribute's previous value
     is NULL, or where any attribute ``is distinct from`` its previous value
     (previous = the prior row of the key in (ts, tiebreak) order).
@@ -24,7 +68,20 @@ def scd2_from_events(df: DataFrame, key: str, attrs: Sequence[str], ts: str, tie
 
     ``ignore_values``: attribute values treated as "no information" (e.g.
     'unknown' from an export without that column) — they are replaced by the
-    previous known value before comparing, so they open no version."""
+    previous known value before comparing, so they open no version.
+    ``first_by``: 'value' as above; 'row_number' takes only the key's first
+    row for the first, so a first attribute that stays NULL opens one version
+    and not one per row.
+    ``one_per_day``: of the rows of a day only the last counts, so no version
+    has no length and surrogate keys are unique.
+    ``tolerance``: attribute -> share of its value in the last version by
+    which it may differ and open no version, however far it drifted from row
+    to row.  Needs ``one_per_day``: then a key has at most one row per day to
+    be folded in order, whatever its share of all rows."""
+    if first_by not in ("value", "row_number"):
+        raise ValueError(f"first_by is 'value' or 'row_number', not {first_by!r}")
+    if tolerance and not one_per_day:
+        raise ValueError("a tolerance needs one_per_day")
     attrs = list(attrs)
     src = df
     if ignore_values:
@@ -33,12 +90,20 @@ def scd2_from_events(df: DataFrame, key: str, attrs: Sequence[str], ts: str, tie
             src = src.withColumn(f"_raw_{a}", F.when(~F.col(a).isin(list(ignore_values)), F.col(a)))
             src = forward_fill(src, f"_raw_{a}", [key], ts, tiebreak, out_col=f"_ff_{a}")
             src = src.withColumn(a, F.coalesce(F.col(f"_ff_{a}"), F.col(a))).drop(f"_raw_{a}", f"_ff_{a}")
-    prev = with_previous(src, [key], ts, tiebreak, attrs, prefix="_prev_")
-    changed = F.col(f"_prev_{attrs[0]}").isNull()
-    for a in attrs:
+    if one_per_day:
+        src = last_of_day(src, key, ts, tiebreak, attrs)
+    tolerance = tolerance or {}
+    exact = [a for a in attrs if a not in tolerance]
+    prev = with_previous(src.withColumn("_row", F.lit(True)), [key], ts, tiebreak, [*attrs, "_row"], prefix="_prev_")
+    changed = F.col("_prev__row" if first_by == "row_number" else f"_prev_{attrs[0]}").isNull()
+    for a in exact:
         changed = changed | ~F.col(a).eqNullSafe(F.col(f"_prev_{a}"))
-    versions = (prev.filter(changed)
-                .select(key, *attrs, F.col(ts).alias("valid_from"), tiebreak))
+    if tolerance:
+        marked = prev.select(key, *attrs, ts, tiebreak, changed.alias("_changed"))
+        opening = outside_band(marked, key, ts, tiebreak, "_changed", tolerance)
+    else:
+        opening = prev.filter(changed)
+    versions = opening.select(key, *attrs, F.col(ts).alias("valid_from"), tiebreak)
     closed = with_next_start(versions, [key], "valid_from", tiebreak, "valid_to")
     return closed.select(
         key, *attrs, "valid_from", "valid_to",

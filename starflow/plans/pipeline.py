@@ -130,19 +130,21 @@ def conform_sales(deduped: DataFrame, countries: DataFrame, fx: DataFrame,
     return convert_to_base(src, countries, fx)
 
 
-def dim_customer(conformed: DataFrame) -> DataFrame:
+def dim_customer(conformed: DataFrame, **history) -> DataFrame:
+    """``history``: options of ``scd2_from_events``."""
     base = conformed.filter(~F.col("is_quarantined"))
     dim = scd2_from_events(base, "customer_id", ["customer_name", "country", "segment"],
-                           "order_date", "_row_id", "customer_surrogate_id")
+                           "order_date", "_row_id", "customer_surrogate_id", **history)
     return with_unknown_member(dim, "customer_id", "customer_surrogate_id",
                                {"customer_name": "unknown", "country": "unknown", "segment": "unknown"})
 
 
-def dim_product(conformed: DataFrame) -> DataFrame:
+def dim_product(conformed: DataFrame, **history) -> DataFrame:
+    """``history``: options of ``scd2_from_events``."""
     base = (conformed.filter(~F.col("is_quarantined"))
             .withColumn("unit_price_usd", F.try_divide(F.col("unit_price").cast("double"), F.col("rate"))))
     dim = scd2_from_events(base, "product_id", ["product_name", "category", "unit_price_usd"],
-                           "order_date", "_row_id", "product_surrogate_id")
+                           "order_date", "_row_id", "product_surrogate_id", **history)
     return with_unknown_member(dim, "product_id", "product_surrogate_id",
                                {"product_name": "unknown", "category": "unknown", "unit_price_usd": 0.0})
 
