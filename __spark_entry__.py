@@ -32,6 +32,8 @@ from starflow.operators import rollups as R  # noqa: E402
 from starflow.operators.facts import build_fact, calendar_dim  # noqa: E402
 from starflow.operators.asof import asof_join  # noqa: E402
 from starflow.operators.fx import convert_asof, fill_calendar  # noqa: E402
+from starflow.operators.checks import expect, not_null, run_checks, unique  # noqa: E402
+from starflow.plans import declared as D  # noqa: E402
 from starflow.plans import pipeline as P  # noqa: E402
 from starflow.plans import testbed as T  # noqa: E402
 from starflow.session import configure, materialise, share_code, work_dir  # noqa: E402
@@ -341,6 +343,23 @@ def q_scd2_price_band(spark, sf_dir):
     return P.dim_product(_conformed(spark, sf_dir)[4], one_per_day=True, tolerance={"unit_price_usd": 0.2})
 
 
+def q_check_suite(spark, sf_dir):
+    """Every declared check of every table, 30 hours after the last load."""
+    t, st, countries, fx, conf = _conformed(spark, sf_dir, persist=True)
+    ld = T.loads(t)
+    as_of = ld.agg(F.max("inserted_at") + F.expr("INTERVAL 8 HOURS")).scalar()
+    return D.all_tables(st, fx, countries, ld, conf, as_of)
+
+
+def q_check_suite_orders(spark, sf_dir):
+    """A suite that finds something: customers with several orders, urgent
+    orders, and statuses outside the list."""
+    orders = _t(spark, sf_dir)["orders"]
+    return run_checks(orders, [unique("o_custkey"), unique("o_orderkey"), not_null("o_orderdate"),
+                               expect("urgent", F.col("o_orderpriority") == "1-URGENT"),
+                               expect("open_status", ~F.col("o_orderstatus").isin("F", "O"))], "orders", "o_orderkey")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_sales": q_raw_sales,
     "conform_schema": q_conform_schema,
@@ -381,6 +400,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chk_unique_customer": q_chk_unique_customer,
     "chk_ordered_after_shipping": q_chk_ordered_after_shipping,
     "chk_undivided_price": q_chk_undivided_price,
+    "check_suite": q_check_suite,
+    "check_suite_orders": q_check_suite_orders,
     "scd2_daily": q_scd2_daily,
     "scd2_price_band": q_scd2_price_band,
     "asof_fx": q_asof_fx,
