@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from starflow.llm.columns import free_names, own_columns
 from starflow.session import materialise
 
 P = (1 << 61) - 1
@@ -141,14 +142,20 @@ def exact_groups(docs: DataFrame, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     compared = placed.groupBy(*key, "pos").agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi"))
     unequal = compared.filter("lo <> hi").select(*key).distinct()
     groups = docs_fp.groupBy(*key).agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    equal = docs_fp.join(groups.join(unequal, key, "left_anti"), key)
+    # Only groups of several documents are met again.  They are written first:
+    # a join of two tables can split a group that a third of all rows share.
+    several = materialise(groups.filter("group_size > 1").join(unequal.withColumn("split", F.lit(True)), key, "left"),
+                          "dedup-groups")
+    joined = docs_fp.join(several, key, "left")
     # Fingerprints that different texts share: by the text's SHA-256 instead.
-    split = docs_fp.join(unequal, key)
+    split = joined.filter("split").drop("keep_id", "group_size")
     by_text = split.groupBy(*key, "text_sha256").agg(F.min("doc_id").alias("keep_id"),
                                                      F.count(F.lit(1)).alias("group_size"))
     split = split.join(by_text, [*key, "text_sha256"])
-    cols = ["doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), "text_sha256"]
-    return equal.select(*cols).unionByName(split.select(*cols))
+    keep_id = F.coalesce("keep_id", "doc_id")
+    cols = ["doc_id", keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+            (F.col("doc_id") == keep_id).alias("kept"), "text_sha256"]
+    return joined.filter("split IS NULL").select(*cols).unionByName(split.select(*cols))
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
@@ -159,10 +166,11 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     doc_id stay, all of them; of a doc_id with several texts only those go
     that are copies.
     """
+    sha, row, gone_id, gone_sha = free_names(docs, "sha", "row", "gone_id", "gone_sha")
     gone = exact_groups(docs).filter(~F.col("kept")).select(
-        F.col("doc_id").cast(docs.schema["doc_id"].dataType), F.col("text_sha256").alias("_sha"))
+        F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias(gone_id), F.col("text_sha256").alias(gone_sha))
     # Rows are dealt by doc_id and hash once, for both steps.
-    keyed = docs.withColumn("_sha", F.sha2(normalised(F.col("text")), 256))
-    left = keyed.join(gone, ["doc_id", "_sha"], "left_anti").withColumn(
-        "_row", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
-    return left.dropDuplicates(["doc_id", "_sha", "text", "_row"]).select(*docs.columns)
+    keyed = docs.withColumn(sha, F.sha2(normalised(F.col("text")), 256))
+    left = keyed.join(gone, (F.col("doc_id") == F.col(gone_id)) & (F.col(sha) == F.col(gone_sha)), "left_anti")
+    left = left.withColumn(row, F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
+    return left.dropDuplicates(["doc_id", sha, "text", row]).select(*own_columns(docs))

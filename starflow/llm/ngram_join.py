@@ -54,6 +54,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starflow.llm import bpe, words
+from starflow.llm.columns import free_names, own_columns
 from starflow.llm.components import components
 from starflow.session import materialise
 
@@ -248,6 +249,51 @@ def index_entries(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -
     return docs.select("doc_id", "text").mapInArrow(run, "sig long, node long, n int, singles int")
 
 
+def _shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by entry, hubs first, then node: one row per entry and
+    node of the entries that have a hub and more than one node.
+
+    No run is held: its first row tells whether it has a hub, and at most that
+    row waits for a second node."""
+    names = ["sig", "node", "n", "singles"]
+    # Of the run that the last batch ended with: its entry, whether it has a
+    # hub, whether it is known to have several nodes, and its last node.
+    sig0, hub0, several0, node0 = None, False, False, None
+    held = [np.zeros(0, np.int64)] * 2 + [np.zeros(0, np.int32)] * 2
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = [np.concatenate([h, np.asarray(batch.column(c))]) for h, c in zip(held, names, strict=True)]
+        waited = len(held[0]) > 0
+        sig, node = rows[0], rows[1]
+        new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])])
+        new[0] = waited or (int(sig[0]), int(node[0])) != (sig0, node0)
+        rows = [r[new] for r in rows]
+        sig, node = rows[0], rows[1]
+        if not len(sig):
+            continue  # repeats of the last row
+        goes_on = not waited and int(sig[0]) == sig0
+        starts = np.concatenate([[0], np.flatnonzero(sig[1:] != sig[:-1]) + 1])
+        run = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(sig))))
+        hub = rows[3][starts] >= 0
+        several = np.maximum.reduceat(node != node[starts][run], starts)
+        if goes_on:
+            hub[0], several[0] = hub0, several0 or several[0]
+        keep = hub & several
+        held = [r[starts[-1]:] if hub[-1] and not several[-1] else r[:0] for r in rows]
+        sig0, node0, hub0, several0 = int(sig[-1]), int(node[-1]), bool(hub[-1]), bool(several[-1])
+        out = keep[run]
+        yield pa.RecordBatch.from_arrays([pa.array(r[out]) for r in rows], names=names)
+
+
+def shared_entries(entries: DataFrame) -> DataFrame:
+    """The entries (sig, node, n, singles) that propose something: those of
+    several nodes, one of them a hub, each node once.  One exchange by entry
+    and one pass over its sorted rows."""
+    ordered = entries.repartition("sig").sortWithinPartitions("sig", F.col("singles").desc(), "node")
+    return ordered.mapInArrow(_shared_runs, entries.schema)
+
+
 def needed_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     """doc_id, set: the tokens of the documents in ``ids``, as bytes."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -411,12 +457,8 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
 
     known = docs.filter(F.col("doc_id").isNotNull())
     frequent, from_ = frequent_tokens(known, k)
-    entries = index_entries(known, k, percent, frequent)
-    # An entry that only one set has, or no hub, proposes nothing.  Copies of a set are
-    # combined on the map side.
-    ends = entries.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi"),
-                                        F.max("singles").alias("role"))
-    shared = entries.join(ends.filter("lo <> hi AND role >= 0").select("sig"), "sig").distinct()
+    # An entry that only one set has, or no hub, proposes nothing.
+    shared = shared_entries(index_entries(known, k, percent, frequent))
     members = materialise(shared.join(by_node, ["node", "n"]).select("sig", F.col("rep").alias("x"), "n", "singles"),
                           "jaccard-entries")
     sizes = members.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("x").alias("least"))
@@ -451,17 +493,23 @@ def keep_one_each(docs: DataFrame, k: int, percent: int) -> DataFrame:
     component: that with the smallest doc_id.  Rows without a doc_id stay.
     Each text of a doc_id that names several is a document of its own."""
     id_type = docs.schema["doc_id"].dataType
-    keyed = docs.withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
-    texts = keyed.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("_sha").alias("lo"), F.max("_sha").alias("hi"))
-    if texts.filter("lo <> hi").isEmpty():
+    gone_id, gone_sha, sha = free_names(docs, "gone_id", "gone_sha", "sha")
+    ids = docs.select("doc_id").filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    if ids.filter("rows > 1").isEmpty():
         found = jaccard_components(docs, k, percent).filter("component_id <> doc_id")
-        return docs.join(found.select(F.col("doc_id").cast(id_type)), "doc_id", "left_anti")
-    keys = materialise(keyed.filter("doc_id IS NOT NULL").select("doc_id", "_sha").distinct().withColumn(
-        "_key", F.monotonically_increasing_id()), "jaccard-keys")
-    found = jaccard_components(keyed.join(keys, ["doc_id", "_sha"]).select(F.col("_key").alias("doc_id"), "text"),
+        gone = found.select(F.col("doc_id").cast(id_type).alias(gone_id))
+        return docs.join(gone, F.col("doc_id") == F.col(gone_id), "left_anti").select(*own_columns(docs))
+    # A doc_id with several rows may name several texts: these get keys.
+    keyed = docs.withColumn(sha, F.sha2(F.coalesce("text", F.lit("")), 256))
+    texts = keyed.select("doc_id", F.col(sha).alias("sha"), "text").filter("doc_id IS NOT NULL")
+    keys = materialise(texts.select("doc_id", "sha").distinct().withColumn("key", F.monotonically_increasing_id()),
+                       "jaccard-keys")
+    found = jaccard_components(texts.join(keys, ["doc_id", "sha"]).select(F.col("key").alias("doc_id"), "text"),
                                k, percent)
-    placed = materialise(found.select(F.col("doc_id").alias("_key"), "component_id").distinct()
-                         .join(keys, "_key"), "jaccard-placed")
-    first = placed.groupBy("component_id").agg(F.min(F.struct("doc_id", "_sha", "_key"))["_key"].alias("first"))
-    gone = placed.join(first, "component_id").filter("first <> _key").select("doc_id", "_sha")
-    return keyed.join(gone, ["doc_id", "_sha"], "left_anti").select(*docs.columns)
+    placed = materialise(found.select(F.col("doc_id").alias("key"), "component_id").distinct().join(keys, "key"),
+                         "jaccard-placed")
+    first = placed.groupBy("component_id").agg(F.min(F.struct("doc_id", "sha", "key"))["key"].alias("first"))
+    gone = placed.join(first, "component_id").filter("first <> key").select(
+        F.col("doc_id").alias(gone_id), F.col("sha").alias(gone_sha))
+    return keyed.join(gone, (F.col("doc_id") == F.col(gone_id)) & (F.col(sha) == F.col(gone_sha)),
+                      "left_anti").select(*own_columns(docs))

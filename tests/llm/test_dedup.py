@@ -8,8 +8,10 @@ import pyarrow as pa
 import pytest
 from conftest import SF001
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import LongType
 
+import corpus_pipeline as CP
 from starflow.llm import exact_dedup, ngram_join, queries
 from starflow.llm.components import components
 
@@ -283,3 +285,45 @@ def test_components(spark):
     df = spark.createDataFrame(links, "a long, b long")
     assert {(r.id, r.component) for r in components(df).collect()} == {(i, find(i)) for i in list(root)}
     assert components(df.limit(0)).count() == 0
+
+
+def test_shared_runs_of_entries():
+    """Entries with a hub and several nodes, however the rows are cut."""
+    for trial in range(400):
+        rng = random.Random(trial)
+        rows = [(s, node * 7 + s, 5, role) for s in range(rng.randrange(1, 8)) for node in range(rng.choice([1, 1, 2, 6]))
+                for role in [rng.choice([-1, 0, 3])] for _ in range(rng.choice([1, 1, 2, 4]))]
+        rows.sort(key=lambda r: (r[0], -r[3], r[1]))
+        runs = [[r for r in rows if r[0] == s] for s in {r[0] for r in rows}]
+        want = {r for g in runs if g[0][3] >= 0 and len({r[1] for r in g}) > 1 for r in g}
+        cuts = sorted(rng.sample(range(len(rows) + 1), min(len(rows), rng.randrange(0, 6))))
+        batches = [pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in rows[a:b]], t) for i, t in enumerate([pa.int64()] * 2 + [pa.int32()] * 2)],
+            names=["sig", "node", "n", "singles"]) for a, b in zip([0, *cuts], [*cuts, len(rows)], strict=True)]
+        got = [tuple(r.values()) for b in ngram_join._shared_runs(iter(batches)) for r in b.to_pylist()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+CLASHES = ["_sha", "_row", "_key", "sha", "row", "key", "gone_id", "GONE_SHA", "a.b", "`", "component_id", "kept",
+           "text_sha256", "first", "rep", "sig"]
+
+
+@pytest.mark.parametrize("texts", [["x y z w v", "x y z w v", "a b c d e f g h", None, ""], []])
+@pytest.mark.parametrize("twice", [False, True])
+def test_columns_of_any_name_come_back_unchanged(spark, texts, twice):
+    """Through every stage of the pipeline that keeps rows, also where a
+    doc_id has two texts."""
+    rows = [(i, t, *[f"{c}{i}" for c in CLASHES]) for i, t in enumerate(texts)]
+    if twice and rows:
+        rows += [(2, "another text of it", *[f"{c}2b" for c in CLASHES]), (None, "no id", *["none"] * len(CLASHES))]
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+                           *[T.StructField(c, T.StringType()) for c in CLASHES]])
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in CP.STAGES[:-1]:
+        if name == "quality":
+            continue  # a filter, asked below
+        out = stage(spark, docs, SF001)
+        assert out.schema == docs.schema
+        got = [tuple(r) for r in out.collect()]
+        assert set(got) <= set(rows) and len(got) >= len(rows) - 2, name
+    assert CP.STAGES[0][1](spark, docs, SF001).schema == docs.schema
