@@ -29,10 +29,12 @@ def components(links: DataFrame) -> DataFrame:
     seen = _digest(edges)
     while seen[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # Written first: a join of two tables can split the edges of a hub.
+        least = materialise(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")),
+                            "component-least")
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = materialise(large, "component-edges")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = materialise(large.groupBy("a").agg(F.min("b").alias("m")), "component-least")
         small = (large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         edges = materialise(small, "component-edges")

@@ -473,8 +473,9 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     apart = F.coalesce(F.col("cluster_a") != F.col("cluster_b"), F.lit(True))
     pairs = pairs.join(of_a, "a", "left").join(of_b, "b", "left").filter(apart).select("a", "b")
     pairs = materialise(pairs, "jaccard-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(
-        clusters.select(F.col("id").alias("doc_id"))).distinct()
+    # Written, so that Spark knows its size when it plans the join with the texts.
+    ids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(
+        clusters.select(F.col("id").alias("doc_id"))).distinct(), "jaccard-ids")
     token_sets_ = materialise(needed_sets(docs, ids, k), "jaccard-sets")
     links = materialise(linked_pairs(pairs, token_sets_, percent).unionByName(
         linked_blocks(clusters, token_sets_, percent, BLOCK_BYTES)), "jaccard-links")
