@@ -412,12 +412,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def _llm() -> tuple[dict, dict]:
-    """Queries and oracle SQL of the training-data subpackage, if it is there."""
+    """Queries and oracle SQL of the training-data subpackage, if it is there.
+    Only the whole subpackage or the pipeline may be missing."""
     try:
         from starflow.llm import queries as L
         import corpus_pipeline as CP
-    except ImportError as e:
-        if (e.name or "").split(".")[0] not in ("starflow", "corpus_pipeline"):
+    except ModuleNotFoundError as e:
+        if e.name not in ("starflow.llm", "corpus_pipeline"):
             raise
         return {}, {}
     sql = dict(L.ORACLE_SQL)
