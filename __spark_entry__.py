@@ -8,6 +8,7 @@ result of each query (see ``oracle_sql.py``).
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -26,7 +27,7 @@ from starflow.operators import profile as PR  # noqa: E402
 from starflow.operators.scd import latest_per_key, scd2_from_events, scd2_snapshot  # noqa: E402
 from starflow.sources import incremental as INC  # noqa: E402
 from starflow.sources.contracts import SALES_COLUMNS, SALES_RENAMES  # noqa: E402
-from starflow.sources.readers import drop_exact, ingest_sales, read_since, upsert  # noqa: E402
+from starflow.sources.readers import append_load, drop_exact, ingest_sales, read_loads, read_since, upsert  # noqa: E402
 from starflow.operators import quality as Q  # noqa: E402
 from starflow.operators import rollups as R  # noqa: E402
 from starflow.operators.facts import build_fact, calendar_dim  # noqa: E402
@@ -360,6 +361,18 @@ def q_check_suite_orders(spark, sf_dir):
                                expect("open_status", ~F.col("o_orderstatus").isin("F", "O"))], "orders", "o_orderkey")
 
 
+def q_landed_loads(spark, sf_dir):
+    """Each export version landed as a load, the first one twice: half of it
+    before a correction, which replaces it."""
+    v1, v2 = (e.drop("_load_id", "_row_id") for e in T.sales_exports(_t(spark, sf_dir)))
+    raw, log = work_dir(spark, "landed"), work_dir(spark, "load-log")
+    first, second = (ingest_sales([e], SALES_RENAMES, SALES_COLUMNS) for e in (v1, v2))
+    append_load(first.filter(F.length("order_id") % 2 == 0), raw, log, "v1", "2024-01-01 06:00:00")
+    append_load(second, raw, log, "v2", "2024-01-02 06:00:00")
+    append_load(first, raw, log, "v1", "2024-01-03 06:00:00")
+    return read_loads(spark, raw, log).drop("_load_id", "_row_id")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_sales": q_raw_sales,
     "conform_schema": q_conform_schema,
@@ -400,6 +413,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chk_unique_customer": q_chk_unique_customer,
     "chk_ordered_after_shipping": q_chk_ordered_after_shipping,
     "chk_undivided_price": q_chk_undivided_price,
+    "landed_loads": q_landed_loads,
     "check_suite": q_check_suite,
     "check_suite_orders": q_check_suite_orders,
     "scd2_daily": q_scd2_daily,
@@ -412,15 +426,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def _llm() -> tuple[dict, dict]:
-    """Queries and oracle SQL of the training-data subpackage, if it is there.
-    Only the whole subpackage or the pipeline may be missing."""
-    try:
-        from starflow.llm import queries as L
-        import corpus_pipeline as CP
-    except ModuleNotFoundError as e:
-        if e.name not in ("starflow.llm", "corpus_pipeline"):
-            raise
-        return {}, {}
+    """Queries and oracle SQL of the training-data subpackage, if it and the
+    pipeline are there; an error inside them is not hidden."""
+    for name in ("starflow.llm", "starflow.llm.queries", "corpus_pipeline"):
+        if importlib.util.find_spec(name) is None:
+            return {}, {}
+    import corpus_pipeline as CP
+    from starflow.llm import queries as L
     sql = dict(L.ORACLE_SQL)
     if CP.ORACLE_SQL is not None:
         sql["pipeline"] = CP.ORACLE_SQL

@@ -7,8 +7,10 @@ shared folder named by the session, never a machine-local one.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable, Sequence
 from functools import reduce
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -131,16 +133,45 @@ def with_lineage(df: DataFrame, load_id: str | Column) -> DataFrame:
                                                        content))))
 
 
+LOADS = "load_id string, inserted_at timestamp, attempt string, committed_at timestamp"
+
+
+def _load_folder(path: str, load_id: str, attempt: str) -> str:
+    return f"{path}/load={quote(load_id, safe='')}/attempt={attempt}"
+
+
 def append_load(df: DataFrame, path: str, loads_path: str, load_id: str, inserted_at: str) -> None:
-    """SRC6: append a raw load partitioned by load id, plus its row in the
-    load log (load_id, inserted_at)."""
+    """SRC6: append a raw load, exactly once: its files go into a folder of
+    this attempt, and the row in the load log that follows is the commit.
+    Readers (``read_loads``) follow the log, so a load that dies between the
+    two is not seen, and one that is landed again replaces its own rows."""
     spark = df.sparkSession
-    with_lineage(df, load_id).write.mode("append").partitionBy("_load_id").parquet(path)
-    log = spark.range(1).select(F.lit(load_id).alias("load_id"),
-                                F.lit(inserted_at).cast("timestamp").alias("inserted_at"))
+    attempt = uuid.uuid4().hex
+    with_lineage(df, load_id).write.parquet(_load_folder(path, load_id, attempt))
+    log = spark.range(1).select(F.lit(load_id).alias("load_id"), F.lit(inserted_at).cast("timestamp").alias("inserted_at"),
+                                F.lit(attempt).alias("attempt"), F.current_timestamp().alias("committed_at"))
     log.write.mode("append").parquet(loads_path)
 
 
+def load_log(spark: SparkSession, loads_path: str) -> DataFrame:
+    """The committed loads, one row each: load_id, inserted_at, attempt."""
+    log = spark.read.schema(LOADS).parquet(loads_path)
+    return dedupe_latest(log, ["load_id"], ["committed_at"], ["attempt"]).drop("committed_at")
+
+
+def read_loads(spark: SparkSession, path: str, loads_path: str, load_ids: Sequence[str] | None = None) -> DataFrame:
+    """The rows of all committed loads, or of those in ``load_ids``; columns
+    that a load lacks are NULL.  The log has one row per load and is the only
+    thing that reaches the driver."""
+    log = load_log(spark, loads_path)
+    if load_ids is not None:
+        log = log.filter(F.col("load_id").isin(list(load_ids)))
+    folders = [_load_folder(path, r["load_id"], r["attempt"]) for r in log.select("load_id", "attempt").collect()]
+    if not folders:
+        raise ValueError(f"no committed load in {loads_path}")
+    return spark.read.option("mergeSchema", True).parquet(*folders)
+
+
 def replace_table(df: DataFrame, path: str) -> None:
     """SRC13: full replace load."""
     df.write.mode("overwrite").parquet(path)

@@ -111,3 +111,24 @@ def test_read_since_and_upsert(spark):
     again = R.upsert(merged, batch, ["rate_date", "currency"])   # idempotent
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, merged.collect()))
     assert R.read_since(fresh, "rate_date", None, "2024-01-02").count() == 2
+
+
+def test_a_load_counts_once_it_is_in_the_log(spark, tmp_path):
+    """A crash between files and log, a load landed again, a new column."""
+    raw, log = f"{tmp_path}/raw", f"{tmp_path}/loads"
+    one = spark.createDataFrame([("1", "x"), ("2", "y")], "order_id string, note string")
+    R.append_load(one, raw, log, "2024/01", "2024-01-02 06:00:00")
+    # Files of an attempt that never reached the log.
+    R.with_lineage(one, "2024/02").write.parquet(R._load_folder(raw, "2024/02", "dead"))
+    R.with_lineage(one, "2024/01").write.parquet(R._load_folder(raw, "2024/01", "dead"))
+    assert sorted((r.order_id, r._load_id) for r in R.read_loads(spark, raw, log).collect()) == [
+        ("1", "2024/01"), ("2", "2024/01")]
+    # The same load again, corrected: its own rows are replaced.
+    R.append_load(one.filter("order_id = '2'"), raw, log, "2024/01", "2024-01-02 07:00:00")
+    R.append_load(one.withColumn("tax", R.F.lit("5%")).limit(1), raw, log, "2024/02", "2024-02-02 06:00:00")
+    got = R.read_loads(spark, raw, log)
+    assert sorted((r.order_id, r._load_id, r.tax) for r in got.collect()) == [
+        ("1", "2024/02", "5%"), ("2", "2024/01", None)]
+    assert R.read_loads(spark, raw, log, ["2024/01"]).count() == 1
+    assert sorted((r.load_id, str(r.inserted_at)) for r in R.load_log(spark, log).collect()) == [
+        ("2024/01", "2024-01-02 07:00:00"), ("2024/02", "2024-02-02 06:00:00")]
