@@ -373,6 +373,13 @@ def q_landed_loads(spark, sf_dir):
     return read_loads(spark, raw, log).drop("_load_id", "_row_id")
 
 
+def q_column_summary(spark, sf_dir):
+    """Types, nulls, distinct values and quartiles of the order lines, exact."""
+    lines = _t(spark, sf_dir)["lineitem"].select("l_quantity", "l_extendedprice", "l_discount", "l_partkey",
+                                                 "l_returnflag", "l_linenumber")
+    return PR.column_summary(lines, exact=True)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_sales": q_raw_sales,
     "conform_schema": q_conform_schema,
@@ -413,6 +420,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chk_unique_customer": q_chk_unique_customer,
     "chk_ordered_after_shipping": q_chk_ordered_after_shipping,
     "chk_undivided_price": q_chk_undivided_price,
+    "column_summary": q_column_summary,
     "landed_loads": q_landed_loads,
     "check_suite": q_check_suite,
     "check_suite_orders": q_check_suite_orders,

@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 
 def table_profile(df: DataFrame, key_col: str, ignore: Sequence[str] = ("_load_id", "_row_id")) -> DataFrame:
@@ -86,3 +87,40 @@ def first_last(df: DataFrame, order_cols: Sequence[str], n: int = 10) -> DataFra
     first = df.orderBy(*asc).limit(n).withColumn("position", F.lit("first"))
     last = df.orderBy(*desc).limit(n).withColumn("position", F.lit("last"))
     return first.unionByName(last)
+
+
+def column_summary(df: DataFrame, columns: Sequence[str] | None = None, error: float = 0.01,
+                   exact: bool = False) -> DataFrame:
+    """PRF1-3 in one pass: a row per column with its type, nulls, distinct
+    values, and for numbers mean, least, quartiles and greatest.
+
+    By default quartiles and distinct values come from sketches that tasks
+    merge: of n values a quartile is one whose rank is off by ``error * n`` at
+    most, a distinct count has a relative standard deviation of ``error``.
+    Their size depends on the error alone, nothing is exploded and one row per
+    task crosses the network.  ``exact`` counts and interpolates instead, which
+    shuffles every value; it is for tables that allow it.  An empty table has
+    0 distinct values and NULL figures."""
+    fields = [f for f in df.schema.fields if columns is None or f.name in columns]
+    parts = (0.25, 0.5, 0.75)
+    aggregates: list[Column] = [F.count(F.lit(1)).alias("n")]
+    rows = []
+    for i, f in enumerate(fields):
+        c = F.col("`" + f.name.replace("`", "``") + "`")
+        distinct = F.count_distinct(c) if exact else F.approx_count_distinct(c, error)
+        aggregates += [F.count(c).alias(f"k{i}"), distinct.alias(f"d{i}")]
+        names = ["mean", "least", "q25", "median", "q75", "greatest"]
+        figures = {x: F.lit(None).cast("double").alias(x) for x in names}
+        if isinstance(f.dataType, NumericType):
+            x = c.cast("double")
+            quartiles = (F.array(*[F.percentile(x, p) for p in parts]) if exact
+                         else F.percentile_approx(x, list(parts), max(1, round(1 / error))))
+            aggregates += [F.avg(x).alias(f"m{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
+                           quartiles.alias(f"q{i}")]
+            figures |= {"mean": F.round(f"m{i}", 4).alias("mean"), "least": F.col(f"lo{i}").alias("least"),
+                        "greatest": F.col(f"hi{i}").alias("greatest")}
+            figures |= {n: F.col(f"q{i}")[j].alias(n) for j, n in enumerate(names[2:5])}
+        rows.append(F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"),
+                             F.col("n").alias("n_rows"), (F.col("n") - F.col(f"k{i}")).alias("nulls"),
+                             F.col(f"d{i}").alias("n_distinct"), *[figures[n] for n in names]))
+    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
