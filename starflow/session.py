@@ -33,13 +33,18 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 def configure(spark: SparkSession) -> SparkSession:
     """Set those of the core settings that the session leaves unset; what the
     caller has set stays."""
-    given = {r["key"] for r in spark.sql("SET").collect()}
+    given = _given(spark)
     for k, v in CORE_CONF.items():
         if k not in given:
             spark.conf.set(k, v)
     return spark
 
 
+def _given(spark: SparkSession) -> set[str]:
+    """Names of the settings that somebody has set."""
+    return {r["key"] for r in spark.sql("SET").collect()}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate tables.
 
@@ -66,7 +71,7 @@ def share_code(spark: SparkSession) -> SparkSession:
     spark.sparkContext.environment.setdefault("PYTHONPATH", root)
     # Whole texts cross to the workers: batches of fewer rows than the default
     # 10,000 keep both sides' buffers small.
-    if spark.conf.get(_BATCH_ROWS, "10000") == "10000":
+    if _BATCH_ROWS not in _given(spark):
         spark.conf.set(_BATCH_ROWS, "2000")
     return spark
 
