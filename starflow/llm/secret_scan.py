@@ -4,9 +4,14 @@ Three exact kinds (assign, access, hex) are matched by pattern.  The method
 adds candidates: long unbroken strings over one character class.  A window of
 fixed width slides over a candidate; the counts of its characters change by
 one entering and one leaving character, and with them the sum of
-``c * log2(c)`` from which the Shannon entropy of the window follows.  The
-stretch covered by windows over the class's threshold is reported, unless an
-allow-list pattern holds for it or a base span covers it.
+``c * log2(c)`` from which the Shannon entropy of the window follows.  Each
+stretch that windows over the class's threshold cover is reported, unless a
+base span covers it.
+
+The allow-list takes away what it names and no more: filler is cut out of a
+candidate and the pieces around it are scanned on their own, so a key with a
+run of equal letters in it is still found; a placeholder's word clears a
+stretch of at most PLACEHOLDER_LENGTH characters.
 """
 
 from __future__ import annotations
@@ -24,35 +29,34 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 
 WINDOW = 20
-# Per class: candidate strings (whole runs of the class) and the entropy in
-# bits from which a window counts.
+# Per class: candidate strings (whole runs of the class), its characters, and
+# the entropy in bits from which a window counts.
 CLASSES = {
-    "hex_entropy": (r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{20,}", 3.0),
-    "base64_entropy": (r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}", 3.75),
+    "hex_entropy": (r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{20,}", "0123456789ABCDEFabcdef", 3.0),
+    "base64_entropy": (r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}",
+                       "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.75),
 }
-# Stretches that are not secrets however mixed they look: placeholders,
-# counting sequences, and strings without both a letter and a digit.
-ALLOW = [
-    r"(?i)example|sample|placeholder|changeme|dummy|your[_-]?(?:key|token|secret)",
-    r"(?i)0123456789|1234567890|abcdefghij|qwertyuiop",
-    r"(.)\1{5,}",
-    r"^[^0-9]*$",
-    r"^[^A-Za-z]*$",
-]
+# The allow-list: parts that are no secret however mixed they look, and words
+# of strings that stand for a secret.
+FILLER = r"(?i:0123456789|1234567890|abcdefghij|qwertyuiop)|([A-Za-z0-9+/_=-])\1{5,}"
+PLACEHOLDER = r"(?i)example|sample|placeholder|changeme|dummy|your[_-]?(?:key|token|secret)"
+PLACEHOLDER_LENGTH = 64
 
 
 def _xlogx(c: Column) -> Column:
     return F.when(c > 1, c * F.log2(c)).otherwise(F.lit(0.0))
 
 
-def hot_stretch(s: Column, threshold: float, width: int = WINDOW) -> Column:
-    """struct(start, end) within ``s`` of the stretch covered by windows of
-    entropy ``threshold`` or more; nulls if there is none."""
-    codes = F.transform(F.split(s, ""), lambda ch: F.ascii(ch) % 128)
+def hot_stretches(s: Column, alphabet: str, threshold: float, width: int = WINDOW) -> Column:
+    """array of struct(start, end) within ``s``: the stretches covered by
+    windows of entropy ``threshold`` or more; windows that overlap or touch
+    make one stretch."""
+    codes = F.transform(F.split(s, ""), lambda ch: F.instr(F.lit(alphabet), ch) - 1)
     steps = F.transform(codes, lambda c, i: F.struct(
         c.alias("enter"), F.when(i >= width, F.get(codes, i - width)).otherwise(F.lit(-1)).alias("leave"),
         i.alias("i")))
-    start = F.struct(F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("sum"),
+    start = F.struct(F.array_repeat(F.lit(0), len(alphabet)).alias("counts"), F.lit(0.0).alias("sum"),
+                     F.array().cast("array<struct<start:int,end:int>>").alias("done"),
                      F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end"))
 
     def step(acc, x):
@@ -68,30 +72,40 @@ def hot_stretch(s: Column, threshold: float, width: int = WINDOW) -> Column:
         entropy = F.lit(width).cast("double")
         entropy = F.log2(entropy) - total / entropy
         hot = (x["i"] >= width - 1) & (entropy >= threshold)
+        # A window that starts behind the stretch so far begins another one.
+        first = x["i"] - (width - 1)
+        apart = hot & (first > acc["end"])
         return F.struct(
             counts.alias("counts"), total.alias("sum"),
-            F.when(hot, F.coalesce(acc["start"], x["i"] - (width - 1))).otherwise(acc["start"]).alias("start"),
+            F.when(apart, F.concat(acc["done"], F.array(F.struct(acc["start"].alias("start"), acc["end"].alias("end")))))
+            .otherwise(acc["done"]).alias("done"),
+            F.when(hot & (apart | acc["start"].isNull()), first).otherwise(acc["start"]).alias("start"),
             F.when(hot, x["i"] + 1).otherwise(acc["end"]).alias("end"))
 
-    return F.aggregate(steps, start, step, lambda acc: F.struct(acc["start"].alias("start"), acc["end"].alias("end")))
+    def finish(acc):
+        last = F.struct(acc["start"].alias("start"), acc["end"].alias("end"))
+        return F.when(acc["start"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(last)))
 
+    return F.aggregate(steps, start, step, finish)
 
-def entropy_spans(text: Column, pattern: str, threshold: float) -> Column:
-    """Spans of high entropy in the candidate strings of one class."""
-    # Candidates without a digit and a letter can't pass the allow-list.
-    mixed = F.filter(S.matches(text, pattern), lambda x: x["s"].rlike("[0-9]") & x["s"].rlike("[A-Za-z]"))
-    cut = F.transform(mixed, lambda x: F.struct(x.alias("x"), hot_stretch(x["s"], threshold).alias("hot")))
-    spans = F.transform(F.filter(cut, lambda c: c["hot"]["start"].isNotNull()), lambda c: F.struct(
-        (c["x"]["start"] + c["hot"]["start"]).alias("start"), (c["x"]["start"] + c["hot"]["end"]).alias("end"),
-        F.substring(c["x"]["s"], c["hot"]["start"] + 1, c["hot"]["end"] - c["hot"]["start"]).alias("s")))
 
-    def suspicious(x):
-        ok = F.lit(True)
-        for p in ALLOW:
-            ok = ok & ~x["s"].rlike(p)
-        return ok
+def _mixed(s: Column) -> Column:
+    return s.rlike("[0-9]") & s.rlike("[A-Za-z]")
 
-    return F.filter(spans, suspicious)
+
+def entropy_spans(text: Column, pattern: str, alphabet: str, threshold: float) -> Column:
+    """Spans of high entropy in the candidate strings of one class, with both
+    a letter and a digit and outside the allow-list."""
+    candidates = F.filter(S.matches(text, pattern), lambda x: _mixed(x["s"]))
+    pieces = F.flatten(F.transform(candidates, lambda x: F.transform(S.between(x["s"], FILLER), lambda p: F.struct(
+        (x["start"] + p["start"]).alias("start"), p["s"].alias("s")))))
+    pieces = F.filter(pieces, lambda p: (F.length(p["s"]) >= WINDOW) & _mixed(p["s"]))
+    spans = F.flatten(F.transform(pieces, lambda p: F.transform(
+        hot_stretches(p["s"], alphabet, threshold), lambda h: F.struct(
+            (p["start"] + h["start"]).alias("start"), (p["start"] + h["end"]).alias("end"),
+            F.substring(p["s"], h["start"] + 1, h["end"] - h["start"]).alias("s")))))
+    return F.filter(spans, lambda x: _mixed(x["s"]) & ~(
+        (F.length(x["s"]) <= PLACEHOLDER_LENGTH) & x["s"].rlike(PLACEHOLDER)))
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -114,8 +128,8 @@ def scan(docs: DataFrame) -> DataFrame:
         S.labelled(long_enough, "assign", 0).alias("assign"),
         S.labelled(S.matches(t, ACCESS), "access", 1).alias("access"),
         S.labelled(S.matches(t, HEX), "hex", 2).alias("hex"),
-        F.concat(*[S.labelled(entropy_spans(t, p, h), k, 3 + i)
-                   for i, (k, (p, h)) in enumerate(CLASSES.items())]).alias("added"))
+        F.concat(*[S.labelled(entropy_spans(t, *c), k, 3 + i)
+                   for i, (k, c) in enumerate(CLASSES.items())]).alias("added"))
     base = found.withColumn("base", F.sort_array(F.concat("assign", "access", "hex")))
     both = base.withColumn("all", F.sort_array(F.concat("base", S.outside(F.col("added"), F.col("base")))))
     return both.select(

@@ -37,6 +37,20 @@ def matches(text: Column, pattern: str) -> Column:
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(SPAN))
 
 
+def between(text: Column, pattern: str) -> Column:
+    """The pieces of the text between the matches, as array of struct(start,
+    s); empty ones are among them."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pieces = F.transform(F.split(text, pattern, -1), lambda p, i: F.struct(
+        p.alias("s"), F.coalesce(F.length(F.get(found, i)), F.lit(0)).alias("gap")))
+    return F.aggregate(
+        pieces, F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,s:string>>").alias("out")),
+        lambda acc, p: F.struct(
+            (acc["at"] + F.length(p["s"]) + p["gap"]).alias("at"),
+            F.concat(acc["out"], F.array(F.struct(acc["at"].alias("start"), p["s"].alias("s")))).alias("out")),
+        lambda acc: acc["out"])
+
+
 def labelled(spans: Column, kind: str, rank: int) -> Column:
     """Spans as struct(start, rank, end, kind), which sort by start and then kind."""
     return F.transform(spans, lambda x: F.struct(

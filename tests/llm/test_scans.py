@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import random
 import re
+import string
 from collections import Counter
 
 import pytest
@@ -31,20 +33,35 @@ def brute_base(text):
     return sorted(s)
 
 
+def mixed(s):
+    return re.search("[0-9]", s) and re.search("[A-Za-z]", s)
+
+
 def brute_entropy(text):
-    """Spans by the entropy of every window, each counted afresh."""
+    """Spans by the entropy of every window, each counted afresh: the places
+    that hot windows of a piece cover, between its filler."""
     out = []
-    for kind, (pattern, threshold) in secret_scan.CLASSES.items():
+    w = secret_scan.WINDOW
+    for kind, (pattern, _, threshold) in secret_scan.CLASSES.items():
         for m in re.finditer(pattern, text or ""):
-            s, w = m[0], secret_scan.WINDOW
-            if not re.search("[0-9]", s) or not re.search("[A-Za-z]", s):
-                continue
-            hot = [i for i in range(len(s) - w + 1) if -sum(
-                c / w * math.log2(c / w) for c in Counter(s[i:i + w]).values()) >= threshold - 1e-9]
-            if hot:
-                a, b = hot[0], hot[-1] + w
-                if not any(re.search(p, s[a:b]) for p in secret_scan.ALLOW):
-                    out.append((m.start() + a, kind, m.start() + b))
+            cuts = [(f.start(), f.end()) for f in re.finditer(secret_scan.FILLER, m[0])]
+            ends = zip([0] + [e for _, e in cuts], [a for a, _ in cuts] + [len(m[0])], strict=True)
+            for a, b in ends:
+                s, covered = m[0][a:b], set()
+                for i in range(len(s) - w + 1):
+                    if -sum(c / w * math.log2(c / w) for c in Counter(s[i:i + w]).values()) >= threshold - 1e-9:
+                        covered.add((i, i + w))
+                merged = []
+                for x, y in sorted(covered):
+                    if merged and x <= merged[-1][1]:
+                        merged[-1][1] = y
+                    else:
+                        merged.append([x, y])
+                for x, y in merged:
+                    stands_for = y - x <= secret_scan.PLACEHOLDER_LENGTH and re.search(
+                        secret_scan.PLACEHOLDER, s[x:y])
+                    if mixed(s[x:y]) and not stands_for:
+                        out.append((m.start() + a + x, kind, m.start() + a + y))
     return out
 
 
@@ -74,6 +91,51 @@ def test_op3_cells(spark, no_docs):
     assert sorted(r.n_assign for r in secret_scan.scan(twice).collect()) == [0, 1, 1]
 
 
+KEY = "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQ" + "A" * 9 + "BAAAAMwAAAAtzc2gtZWQyNTUxOQ" + "kJ8s0Qm2Zx7Lp4Vt6Nw1Rb3Yc5" * 3
+
+
+@pytest.mark.parametrize("text,spans", [
+    # Filler in a key does not hide the rest of it.
+    (f"key {KEY} end", 2),
+    ("kJ8s0Qm2Zx7Lp4Vt6Nw1Rb3Yc5" + "a" * 200 + "Qz7Xw2Lk9Vb4Np6Rt1Ys8Dm", 2),
+    # Cold text between two hot stretches is in neither.
+    ("kJ8s0Qm2Zx7Lp4Vt6Nw1Rb3Yc5" + "abbaab" * 20 + "Qz7Xw2Lk9Vb4Np6Rt1Ys8Dm", 2),
+    # A placeholder is none, a long key with such a word in it is one.
+    ("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", 0),
+    ("kJ8s0Qm2Zx7Lp4Vt6Nw1Rb3Yc5" * 2 + "example" + "Qz7Xw2Lk9Vb4Np6Rt1Ys8Dm" * 2, 1),
+    ("0123456789abcdefghij", 0), ("", 0)])
+def test_op3_allow_list(spark, text, spans):
+    row = secret_scan.scan(make_docs(spark, [text])).first()
+    found = [x for x in row.spans.split(",") if x.startswith("base64_entropy")]
+    assert len(found) == spans
+    check_secrets([row], {0: text})
+
+
+def test_op3_planted_secrets(spark):
+    """Keys without a base kind's form, in the prose of documents without any
+    finding: how many are found, and what else is."""
+    rng = random.Random(5)
+    alphabet = string.ascii_letters + string.digits + "+/"
+    clean = [r.text for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()
+             if r.text and not brute_base(r.text) and not brute_entropy(r.text)]
+    texts, where = [], []
+    for i, t in enumerate(clean):
+        n = rng.choice([24, 32, 40, 64])
+        key = "".join(rng.choices("0123456789ABCDEF" if i % 2 else alphabet, k=n))
+        at = t.find(" ") + 1
+        texts += [t, f"{t[:at]}{key} {t[at:]}"]
+        where.append((at, at + n))
+    assert len(clean) > 100
+    rows = {r.doc_id: r.spans for r in secret_scan.scan(make_docs(spark, texts)).collect()}
+    assert not any(rows[i] for i in range(0, len(texts), 2))
+    found = wrong = 0
+    for i, (a, b) in enumerate(where):
+        spans = [tuple(map(int, x.split(":")[1:])) for x in rows[2 * i + 1].split(",") if x]
+        found += any(min(b, y) - max(a, x) >= 0.8 * (b - a) for x, y in spans)
+        wrong += sum(y <= a or b <= x for x, y in spans)
+    assert found >= 0.95 * len(where) and not wrong
+
+
 def test_op3_query(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()}
     check_secrets(queries.op3_secret_scan(spark, SF001).collect(), docs)
