@@ -5,7 +5,9 @@ the root to it.  Elements that are furniture by their tag, role or class
 (menus, headers, footers, sidebars, notices, adverts, forms, comments, code)
 are left out.  A class, an id or a form only suggests it: one that holds the
 page's article or most of its prose, or that is named like a menu or header
-and holds long prose, stays.  For every tag path the text length and the punctuation are
+and holds long prose, stays.  Of several articles the one with the most prose
+of its own is the page's; others that are named like furniture, hidden or, as
+comments are, nested in an article go.  For every tag path the text length and the punctuation are
 added up and divided by the number of its nodes; both ratios are fused,
 smoothed over neighbouring nodes in page order, averaged again per path, and
 paths from a share of the page's weighted mean on are content.
@@ -53,12 +55,13 @@ ROLES = set("navigation banner contentinfo complementary search form dialog aler
             "toolbar".split())
 NAMES = set("ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar "
             "nav navbar navigation menu breadcrumb breadcrumbs masthead header footer comment comments reply replies "
-            "disqus cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup "
+            "respond responses reactions discussion commentlist disqus cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup "
             "login share sharing social related recommended recommendations trending widget toolbar pagination pager "
             "copyright skip".split())
 # Names of parts that hold no prose by their nature.
 NO_PROSE = set("nav navbar navigation menu breadcrumb breadcrumbs masthead header login share sharing social widget "
                "toolbar pagination pager signup skip".split())
+ARTICLES = {"article", "named article"}
 HEADER_NAMES = {"header", "masthead"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 NEGATED = {"has", "no", "with", "without"}
@@ -86,19 +89,25 @@ def _names(value: str) -> set[str]:
 
 def _furniture(tag: str, attrs: str, in_article: bool) -> str:
     """"sure" for furniture, "" for what is none; what may be some is a
-    "form", "named" like it or named like a part that has "no prose"."""
+    "form", "named" like it or named like a part that has "no prose".  An
+    article is an "article", a "named article" or, as main too, "hidden"."""
     if tag in FURNITURE or tag == "header" and not in_article:
         return "sure"
     kind = "form" if tag == "form" else ""
-    if not attrs or tag in LANDMARK or tag in ("html", "body"):
+    if tag == "article":
+        kind = "article"
+    if not attrs or tag in ("html", "body"):
         return kind
     for name, a, b, c in _ATTR.findall(attrs):
         name, value = name.lower(), (a or b or c).lower()
-        if name == "hidden" or name == "role" and value in ROLES and not (value == "form" == tag):
+        if name == "hidden" or name == "style" and "display:none" in value.replace(" ", ""):
+            return "hidden" if tag in LANDMARK else "sure"
+        if name == "role" and value in ROLES and tag not in LANDMARK and not (value == "form" == tag):
             return "sure"
-        if name == "style" and "display:none" in value.replace(" ", ""):
-            return "sure"
-        if name in ("class", "id") and tag not in HEADINGS:
+        if tag == "article":
+            if name in ("class", "id") and _names(value) - HEADER_NAMES or name == "role" and value in ROLES:
+                kind = "named article"
+        elif name in ("class", "id") and tag not in HEADINGS and tag != "main":
             found = _names(value)
             if in_article:
                 found -= HEADER_NAMES
@@ -180,10 +189,12 @@ class _Page:
             if not dropped:
                 kind = _furniture(tag, m["attrs"] or "", in_article or tag in LANDMARK)
                 dropped = kind == "sure"
+                if kind == "article" and open_.get("article"):
+                    kind = "named article"
                 if kind and not dropped:
                     self.kinds.append((kind, doubtful, in_article))
                     doubtful = len(self.kinds) - 1
-                elif tag in LANDMARK:
+                if tag in LANDMARK and not dropped:
                     self.landmarks.append(doubtful)
             in_article = in_article or tag in LANDMARK
             path = paths.setdefault((path, tag), len(paths) + 1)
@@ -225,6 +236,14 @@ class _Page:
         for d in self.landmarks:
             articles[d] += 1
         own_articles, prose = list(articles), list(own)
+        # The page's article: the one with the most prose, that of articles in it aside.
+        alone = list(zip(own, length, strict=True))
+        for d in range(count - 1, 0, -1):
+            kind, up, _ = self.kinds[d]
+            if kind not in ARTICLES:
+                alone[up] = (alone[up][0] + alone[d][0], alone[up][1] + alone[d][1])
+        shown = [d for d in range(1, count) if self.kinds[d][0] in ARTICLES]
+        largest = max(shown, key=lambda d: (alone[d], -d), default=0)
         for d in range(count - 1, 0, -1):
             up = self.kinds[d][1]
             length[up] += length[d]
@@ -233,6 +252,9 @@ class _Page:
         stays = [True] * count
         for d in range(1, count):
             kind, _, in_article = self.kinds[d]
+            if kind in ARTICLES or kind == "hidden":
+                stays[d] = kind == "article" or d == largest
+                continue
             long = prose[d] >= (1 if in_article else LONG_PROSE) and 2 * prose[d] >= length[d]
             stays[d] = kind != "named" and (
                 articles[d] > 0 or 2 * prose[d] > prose[0] or kind == "no prose" and long)

@@ -194,6 +194,33 @@ def test_op6_names_and_forms(body, text):
     assert html_extract.main_text(PAGE.format(body=body)) == text
 
 
+OWN = "<p>" + "A long sentence of the article, with marks. " * 6 + "</p>"
+OWN_TEXT = ("A long sentence of the article, with marks. " * 6).strip()
+NOTE = "<p>I liked this one a lot, thanks for it.</p>"
+
+
+@pytest.mark.parametrize("body,text", [
+    # Comments, adverts and hidden parts that are articles themselves.
+    (f"<main><article>{OWN}</article><article class=comment>{NOTE}</article></main>", OWN_TEXT),
+    (f"<article>{OWN}<section id=reactions><article>{NOTE}</article></section></article>", OWN_TEXT),
+    (f"<article>{OWN}</article><section id=reactions><article>{NOTE}</article></section>", OWN_TEXT),
+    (f"<article>{OWN}<article>{NOTE}</article><article>{NOTE}</article></article>", OWN_TEXT),
+    (f"<main><article hidden>{NOTE}</article><article>{OWN}</article></main>", OWN_TEXT),
+    (f"<main><article class=ad>{NOTE}</article><article>{OWN}</article></main>", OWN_TEXT),
+    (f"<article>{OWN}</article><article style='display: none'>{NOTE}</article>", OWN_TEXT),
+    # The page's own article may have such a name, and comments more text in all.
+    (f"<main><article class='post sponsored'>{OWN}</article></main>", OWN_TEXT),
+    (f"<article class='post related'>{OWN}</article><article class=comment>{NOTE}</article>", OWN_TEXT),
+    (f"<article>{OWN}" + f"<article>{NOTE}</article>" * 30 + "</article>", OWN_TEXT),
+    # A wrapper's only article is the article; two plain ones are both kept.
+    (f"<article class=wrap><article>{OWN}</article></article>", OWN_TEXT),
+    (f"<main><article>{OWN}</article><article>{OWN}</article></main>", f"{OWN_TEXT}\n{OWN_TEXT}"),
+    # Without an article.
+    (f"<div id=content>{OWN}{OWN}<div id=respond>{NOTE}</div></div>", f"{OWN_TEXT}\n{OWN_TEXT}")])
+def test_op6_several_articles(body, text):
+    assert html_extract.main_text(PAGE.format(body=body)) == text
+
+
 def test_op6_landmark_overrides_ratios():
     """A box of low ratio in the article stays, one beside it does not."""
     box = "<div><span>Box</span></div>" * 3
