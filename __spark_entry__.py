@@ -24,6 +24,9 @@ from pyspark.sql import functions as F  # noqa: E402
 from starflow.functions import clean as C  # noqa: E402
 from starflow.functions.constants import ACCEPTED_SEGMENTS, FRESHNESS_SALES  # noqa: E402
 from starflow.operators import profile as PR  # noqa: E402
+from starflow.operators.splice import splice_events  # noqa: E402
+from starflow.sources import drift as DR  # noqa: E402
+from starflow.sources.nested import normalise_nested  # noqa: E402
 from starflow.operators.scd import latest_per_key, scd2_from_events, scd2_snapshot  # noqa: E402
 from starflow.sources import incremental as INC  # noqa: E402
 from starflow.sources.contracts import SALES_COLUMNS, SALES_RENAMES  # noqa: E402
@@ -380,6 +383,59 @@ def q_column_summary(spark, sf_dir):
     return PR.column_summary(lines, exact=True)
 
 
+def q_scd2_spliced(spark, sf_dir):
+    """What each user did last, two sevenths of the events coming late in two
+    batches: as if all had been there at once."""
+    events = _t(spark, sf_dir)["events"].select("user_id", "event_type", "ts", "event_id")
+    late = F.col("event_id") % 7
+    options = ("user_id", ["event_type"], "ts", "event_id", "version_id")
+    history = events.filter(~late.isin(3, 5))
+    dim = materialise(scd2_from_events(history, *options), "versions")
+    for k in (3, 5):
+        batch = events.filter(late == k)
+        dim = materialise(splice_events(dim, history, batch, *options), "versions")
+        history = history.unionByName(batch)
+    return dim.select("user_id", "event_type", "valid_from", "valid_to")
+
+
+def q_nested_charges(spark, sf_dir):
+    """Orders as nested JSON, three levels deep, read under their schema and
+    taken apart: the charges of the lines of each order."""
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax")
+    charges = F.array(*[F.struct(F.lit(k).alias("kind"), F.col("_l")[f"l_{k}"].alias("rate")) for k in ("discount", "tax")])
+    lines = _t(spark, sf_dir)["lineitem"].select("l_orderkey", line.alias("_l")).select(
+        "l_orderkey", "_l", F.struct(F.col("_l"), F.struct(F.col("_l.l_partkey").alias("id")).alias("part"),
+                                     charges.alias("charges")).alias("_line"))
+    records = lines.groupBy(F.col("l_orderkey").alias("order_id")).agg(F.sort_array(F.collect_list("_line")).alias("lines"))
+    records = records.withColumn("lines", F.transform("lines", lambda x: F.struct(x["part"].alias("part"),
+                                                                                 x["charges"].alias("charges"))))
+    path = work_dir(spark, "nested-orders")
+    records.write.json(path)
+    tables = normalise_nested(spark.read.schema(records.schema).json(path), "orders", ["order_id"])
+    return tables["orders__lines__charges"]
+
+
+def q_drift_landed(spark, sf_dir):
+    """Orders landed in loads of different schemas: a wider key and a nested
+    field pass the gate, a date as text does not."""
+    o = _t(spark, sf_dir)["orders"].select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    word = F.split("o_orderpriority", "-", 2)
+    narrow = o.filter(F.col("o_orderkey") % 2 == 0).withColumn("o_custkey", F.col("o_custkey").cast("int"))
+    wide = o.filter(F.col("o_orderkey") % 2 == 1).withColumn(
+        "priority", F.struct(word[0].cast("int").alias("level"), word[1].alias("name")))
+    raw, log, drift = (work_dir(spark, n) for n in ("drift-landed", "drift-loads", "drift-log"))
+    DR.land(narrow.drop("o_orderpriority"), raw, log, drift, "narrow", "2024-01-01 06:00:00")
+    DR.land(wide.drop("o_orderpriority"), raw, log, drift, "wide", "2024-01-02 06:00:00")
+    try:
+        DR.land(o.withColumn("o_orderdate", F.col("o_orderdate").cast("string")), raw, log, drift, "text",
+                "2024-01-03 06:00:00")
+    except DR.IncompatibleSchema:
+        pass
+    return DR.read_landed(spark, raw, log, drift).select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", F.col("priority.level").alias("level"),
+        F.col("priority.name").alias("name"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_sales": q_raw_sales,
     "conform_schema": q_conform_schema,
@@ -430,6 +486,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "asof_events": q_asof_events,
     "incremental_write": q_incremental_write,
     "incremental_moves": q_incremental_moves,
+    "scd2_spliced": q_scd2_spliced,
+    "nested_charges": q_nested_charges,
+    "drift_landed": q_drift_landed,
 }
 
 

@@ -159,9 +159,11 @@ def load_log(spark: SparkSession, loads_path: str) -> DataFrame:
     return dedupe_latest(log, ["load_id"], ["committed_at"], ["attempt"]).drop("committed_at")
 
 
-def read_loads(spark: SparkSession, path: str, loads_path: str, load_ids: Sequence[str] | None = None) -> DataFrame:
+def read_loads(spark: SparkSession, path: str, loads_path: str, load_ids: Sequence[str] | None = None,
+               schema: T.StructType | None = None) -> DataFrame:
     """The rows of all committed loads, or of those in ``load_ids``; columns
-    that a load lacks are NULL.  The log has one row per load and is the only
+    that a load lacks are NULL.  With a ``schema`` every load is read under it,
+    else under the columns of all.  The log has one row per load and is the only
     thing that reaches the driver."""
     log = load_log(spark, loads_path)
     if load_ids is not None:
@@ -169,7 +171,8 @@ def read_loads(spark: SparkSession, path: str, loads_path: str, load_ids: Sequen
     folders = [_load_folder(path, r["load_id"], r["attempt"]) for r in log.select("load_id", "attempt").collect()]
     if not folders:
         raise ValueError(f"no committed load in {loads_path}")
-    return spark.read.option("mergeSchema", True).parquet(*folders)
+    reader = spark.read.option("mergeSchema", True) if schema is None else spark.read.schema(schema)
+    return reader.parquet(*folders)
 
 
 def replace_table(df: DataFrame, path: str) -> None:
