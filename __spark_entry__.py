@@ -30,7 +30,8 @@ from starflow.sources.nested import normalise_nested  # noqa: E402
 from starflow.operators.scd import latest_per_key, scd2_from_events, scd2_snapshot  # noqa: E402
 from starflow.sources import incremental as INC  # noqa: E402
 from starflow.sources.contracts import SALES_COLUMNS, SALES_RENAMES  # noqa: E402
-from starflow.sources.readers import append_load, drop_exact, ingest_sales, read_loads, read_since, upsert  # noqa: E402
+from starflow.sources.readers import (append_load, drop_exact, ingest_sales, normalize_columns, read_loads,  # noqa: E402
+                                      read_since, read_text_table, upsert)
 from starflow.operators import quality as Q  # noqa: E402
 from starflow.operators import rollups as R  # noqa: E402
 from starflow.operators.facts import build_fact, calendar_dim  # noqa: E402
@@ -415,6 +416,20 @@ def q_nested_charges(spark, sf_dir):
     return tables["orders__lines__charges"]
 
 
+def q_multiline_exports(spark, sf_dir):
+    """Orders exported as quoted text whose notes hold line breaks, blank
+    lines and quotes, read back as text."""
+    o = _t(spark, sf_dir)["orders"]
+    key = F.col("o_orderkey")
+    note = (F.when(key % 3 == 0, F.concat("o_orderpriority", F.lit("\n\nsaid \"soon\", then\nleft ")))
+            .when(key % 3 == 1, F.concat(F.lit("a, b\n"), "o_orderstatus")).otherwise(F.col("o_orderpriority")))
+    path = work_dir(spark, "notes")
+    o.select(key.alias("Order ID"), note.alias("Note"), F.col("o_custkey").alias("Customer ID")).write.option(
+        "header", True).option("quoteAll", True).option("escape", '"').option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return normalize_columns(read_text_table(spark, path, quoted_breaks=True))
+
+
 def q_drift_landed(spark, sf_dir):
     """Orders landed in loads of different schemas: a wider key and a nested
     field pass the gate, a date as text does not."""
@@ -489,6 +504,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_spliced": q_scd2_spliced,
     "nested_charges": q_nested_charges,
     "drift_landed": q_drift_landed,
+    "multiline_exports": q_multiline_exports,
 }
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from ..functions.clean import fix_mojibake
 from ..operators.ordered import dedupe_latest
 from .contracts import COUNTRY_JSON, FX_LANDING
+from .quoted import whole_records
 
 
 # ------------------------------------------------------------- text exports
@@ -36,15 +37,16 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 
 
 def read_text_tables(spark: SparkSession, paths: str | Sequence[str], skip_rows: int = 0,
-                     sep: str = ",") -> list[DataFrame]:
+                     sep: str = ",", quoted_breaks: bool = False) -> list[DataFrame]:
     """SRC1: delimited exports read as all text, one table per distinct header
     line, skipping a banner of ``skip_rows`` lines above it in every file.
 
     Lines are numbered per file from the file's first split only (the split
     starting at byte 0 holds the banner): row ids are consecutive within a
     task, so line = id - first id of that file.  Each file's lines are read
-    under its own header; every value stays a string.  Quoted fields may not
-    contain line breaks.  Only the distinct header lines reach the driver, as
+    under its own header; every value stays a string.  With
+    ``quoted_breaks`` quoted fields may hold line breaks (read as line feeds)
+    and doubled quotes (see ``quoted.whole_records``).  Only the distinct header lines reach the driver, as
     many as there are versions of the export."""
     lines = (spark.read.text(paths)
              .select("value", F.col("_metadata.file_path").alias("_f"),
@@ -53,6 +55,12 @@ def read_text_tables(spark: SparkSession, paths: str | Sequence[str], skip_rows:
     first = (lines.filter(F.col("_b") == 0).groupBy("_f").agg(F.min("_id").alias("_id0")))
     numbered = (lines.join(first, "_f", "left")
                 .withColumn("_line", F.when(F.col("_b") == 0, F.col("_id") - F.col("_id0"))))
+    options = {"sep": sep}
+    if quoted_breaks:
+        options["escape"] = '"'
+        records = whole_records(numbered, F.col("_line").isNull() | (F.col("_line") >= skip_rows))
+        numbered = records.join(first, "_f", "left").withColumn(
+            "_line", F.when(F.col("_b") == 0, F.col("_id") - F.col("_id0")))
     headers = numbered.filter(F.col("_line") == skip_rows).select("_f", F.col("value").alias("_header"))
     versions = sorted(r[0] for r in headers.select("_header").distinct().collect())
     if not versions:
@@ -61,18 +69,18 @@ def read_text_tables(spark: SparkSession, paths: str | Sequence[str], skip_rows:
     body = body.filter(F.length(F.trim("value")) > 0).join(headers, "_f")
     out = []
     for header in versions:
-        names = next(iter(_csv_rows([header], sep)))
+        names = next(iter(_csv_rows(header.splitlines(keepends=True), sep)))
         schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
         parsed = body.filter(F.col("_header") == header).select(
-            F.from_csv("value", schema.simpleString(), {"sep": sep}).alias("_r"))
+            F.from_csv("value", schema.simpleString(), options).alias("_r"))
         out.append(parsed.select(*[F.col(f"_r._c{i}").alias(n.strip()) for i, n in enumerate(names)]))
     return out
 
 
 def read_text_table(spark: SparkSession, paths: str | Sequence[str], skip_rows: int = 0,
-                    sep: str = ",") -> DataFrame:
+                    sep: str = ",", quoted_breaks: bool = False) -> DataFrame:
     """SRC1 as one table: the union by column name of ``read_text_tables``."""
-    return union_exports(read_text_tables(spark, paths, skip_rows, sep))
+    return union_exports(read_text_tables(spark, paths, skip_rows, sep, quoted_breaks))
 
 
 def _csv_rows(lines: Iterable[str], sep: str):
