@@ -30,8 +30,8 @@ from starflow.sources.nested import normalise_nested  # noqa: E402
 from starflow.operators.scd import latest_per_key, scd2_from_events, scd2_snapshot  # noqa: E402
 from starflow.sources import incremental as INC  # noqa: E402
 from starflow.sources.contracts import SALES_COLUMNS, SALES_RENAMES  # noqa: E402
-from starflow.sources.readers import (append_load, drop_exact, ingest_sales, normalize_columns, read_loads,  # noqa: E402
-                                      read_since, read_text_table, upsert)
+from starflow.sources.readers import (append_load, drop_exact, ingest_sales, materialize, normalize_columns,  # noqa: E402
+                                      read_fx, read_loads, read_since, read_text_table, replace_table, scan, upsert)
 from starflow.operators import quality as Q  # noqa: E402
 from starflow.operators import rollups as R  # noqa: E402
 from starflow.operators.facts import build_fact, calendar_dim  # noqa: E402
@@ -430,6 +430,34 @@ def q_multiline_exports(spark, sf_dir):
     return normalize_columns(read_text_table(spark, path, quoted_breaks=True))
 
 
+def q_fx_landed(spark, sf_dir):
+    """Quotes of every day as landed responses, the half of them first and then
+    all in its place, read as a table by name."""
+    days = materialise(fill_calendar(T.fx_quotes(_t(spark, sf_dir))), "days")
+    path, raw = work_dir(spark, "fx-table"), work_dir(spark, "fx-responses")
+    days.select(F.col("actual_date").alias("date"), "base", F.col("currency").alias("quote"), "rate",
+                F.col("rate_date").alias("requested")).write.json(raw)
+    landed = read_fx(raw)
+    replace_table(landed.filter(F.day("rate_date") <= 15), path)
+    replace_table(landed, path)
+    name = f"fx_landed_{path.rsplit('-', 1)[-1]}"
+    materialize(scan(spark, path), name, "table", work_dir(spark, "fx-copy"))
+    return scan(spark, name)
+
+
+def q_ingest_damaged(spark, sf_dir):
+    """Exports in which names are read in the wrong code page and order ids
+    are missing: names are mended, lines without an id dropped."""
+    def damage(export, headers):
+        order, name, product = (F.col(f"`{headers[k]}`") for k in ("order_id", "customer_name", "product_name"))
+        mark = F.when(F.length(product) % 2 == 0, F.lit(" \u00c3\u00a9")).otherwise(F.lit(" \u00e9"))
+        return export.drop("_load_id", "_row_id").withColumns({
+            headers["customer_name"]: F.concat(name, mark), headers["order_id"]: F.when(F.length(order) % 3 != 0, order)})
+
+    v1, v2 = T.sales_exports(_t(spark, sf_dir))
+    return ingest_sales([damage(v1, T.V1_HEADERS), damage(v2, T.V2_HEADERS)], SALES_RENAMES, SALES_COLUMNS)
+
+
 def q_drift_landed(spark, sf_dir):
     """Orders landed in loads of different schemas: a wider key and a nested
     field pass the gate, a date as text does not."""
@@ -505,6 +533,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nested_charges": q_nested_charges,
     "drift_landed": q_drift_landed,
     "multiline_exports": q_multiline_exports,
+    "fx_landed": q_fx_landed,
+    "ingest_damaged": q_ingest_damaged,
 }
 
 

@@ -28,6 +28,7 @@ FX_LANDING = T.StructType([
     T.StructField("base", T.StringType(), True),
     T.StructField("quote", T.StringType(), True),
     T.StructField("rate", T.DoubleType(), True),
+    T.StructField("requested", T.StringType(), True),
 ])
 
 COUNTRY_JSON = T.StructType([

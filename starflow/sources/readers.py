@@ -191,10 +191,13 @@ def replace_table(df: DataFrame, path: str) -> None:
 # ----------------------------------------------------------------------- FX
 
 def read_fx(path: str | Sequence[str]) -> DataFrame:
-    """SRC7: landed FX quotes -> (actual_date, base, currency, rate)."""
+    """SRC7: landed FX quotes -> (rate_date, actual_date, base, currency, rate).
+    ``rate_date`` is the day that was asked for, ``actual_date`` that of the
+    quote that came; a record that doesn't say the former was asked for its own."""
     spark = SparkSession.getActiveSession()
     raw = spark.read.schema(FX_LANDING).json(path)
-    return raw.select(F.col("date").try_cast("date").alias("actual_date"), "base",
+    return raw.select(F.coalesce("requested", "date").try_cast("date").alias("rate_date"),
+                      F.col("date").try_cast("date").alias("actual_date"), "base",
                       F.col("quote").alias("currency"), "rate")
 
 
@@ -291,8 +294,9 @@ def schema_diff_df(spark: SparkSession, old: T.StructType, new: T.StructType) ->
 
 
 def scan(spark: SparkSession, name_or_path: str) -> DataFrame:
-    """SRC15: a registered table by name, else a Parquet path."""
-    if spark.catalog.tableExists(name_or_path):
+    """SRC15: a registered table by name, else a Parquet path (one with a
+    slash is a path without asking the catalog)."""
+    if "/" not in name_or_path and spark.catalog.tableExists(name_or_path):
         return spark.table(name_or_path)
     return spark.read.parquet(name_or_path)
 
