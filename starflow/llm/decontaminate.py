@@ -3,23 +3,25 @@
 A document leaks an item if some stretch of it is within ``rate`` word edits
 per word of the item.  Words are runs of letters and digits, in lower case.
 
-1. *Windows.*  For an item of m words, k = floor(rate * m) edits are allowed.
-   k edits cut the item into at most k + 1 runs, so a stretch within the bound
-   shares an unbroken run of ceil((m - k) / (k + 1)) words with it.  Windows
-   of m words are therefore only looked at around a shared run (every shift
-   of up to k words); all others cannot qualify.
+1. *Windows.*  Every word of a document starts a window for each item length.
+   For an item of m words, k = floor(rate * m) edits are allowed, so m - k of
+   the m words from a stretch's start on are words of the benchmark; other
+   starts are left out by that count, exactly.  An item of over ``LONGEST``
+   words is searched by its parts: if all were beyond the rate, so were the item.
 2. *Embedding.*  The CGK random walk reads a window word by word and repeats
    or advances by a random bit that depends on the step and the word.  Two
    windows at a small edit distance fall back into step, so their embeddings
    are at a small Hamming distance.
-3. *LSH.*  Each table compares a few sampled positions of an embedding with
-   the item's.  Tables are repeated, over several walks, until a window at the
-   design distance collides with probability ``recall``.
-4. *Verification.*  Windows that collide are aligned with the item by dynamic
-   programming, with free ends in the document; the minimum is the distance.
-
-The window that lines up with the shared run comes first.  Where it does not
-verify, every shift by up to k words is tried.
+3. *LSH.*  Each table is keyed by a few sampled positions of the embedding.
+   A walk does not depend on where its window ends, so lengths of one level
+   (within a fifth of each other) share their tables: positions are sampled
+   from the steps in which the shortest of them is still being read, and an
+   item that has run out by then is left out of that table.  Windows are
+   looked up in every table.  Tables are repeated, over several walks, until a
+   window at the design distance collides with probability ``recall``.
+4. *Verification.*  Items that a window meets are aligned with the text around
+   it by dynamic programming, with free ends in the document; the minimum is
+   the distance.
 
 Items are sent to the tasks in blocks of bounded size, whatever the size of
 the benchmark; documents are only read and never shuffled.
@@ -29,7 +31,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,13 +47,17 @@ RECALL = 0.995
 SAMPLED = 3
 # Share of embedded positions at which a window at the edit bound may differ
 # from its item: the design distance of the tables.
-DESIGN_HAMMING = 0.45
+DESIGN_HAMMING = 0.52
 WALKS = 8
 STRETCH = 3
-RUN_WORDS = 3
+# A level's positions are sampled from this many steps per word.
+STEPS_PER_WORD = 1.6
+LEVEL_RATIO = 1.2
+LONGEST = 64
 BLOCK_ITEMS = 20_000
 BLOCK_WINDOWS = 1 << 14
-SLICE = 1 << 20
+VERIFY_CELLS = 1 << 22
+SLICE = 1 << 22
 
 _GAP = np.ones(256, bool)
 _GAP[48:58] = _GAP[65:91] = _GAP[97:123] = False
@@ -79,19 +85,72 @@ def tables_needed(recall: float = RECALL, hamming: float = DESIGN_HAMMING, sampl
     return math.ceil(math.log(1 - recall) / math.log(1 - (1 - hamming) ** sampled))
 
 
-def walk(windows: np.ndarray, seed: int) -> np.ndarray:
-    """CGK embeddings of the rows of ``windows``, three times as long."""
+def walk(windows: np.ndarray, seed: int, steps: int | None = None) -> np.ndarray:
+    """CGK embeddings of the rows of ``windows``, three times as long or of
+    ``steps`` positions.  A position does not depend on the words behind it."""
     n, m = windows.shape
-    padded = np.concatenate([windows, np.full((n, 1), _PAD)], axis=1)
-    at, rows = np.zeros(n, np.int64), np.arange(n)
-    out = np.empty((n, STRETCH * m), np.uint64)
-    keys = words.mix(np.arange(STRETCH * m, dtype=np.uint64) + np.uint64(seed * 1_000_003 + 1))
-    for j in range(STRETCH * m):
-        out[:, j] = padded[rows, at]
-        at = np.minimum(at + ((out[:, j] ^ keys[j]) * _MULT >> np.uint64(63)).astype(np.int64), m)
+    steps = STRETCH * m if steps is None else steps
+    padded = np.concatenate([windows, np.full((n, 1), _PAD)], axis=1).ravel()
+    at = np.arange(n) * (m + 1)
+    last = at + m
+    out = np.empty((steps, n), np.uint64)
+    keys = words.mix(np.arange(steps, dtype=np.uint64) + np.uint64(seed * 1_000_003 + 1))
+    for j in range(steps):
+        out[j] = padded[at]
+        at = np.minimum(at + ((out[j] ^ keys[j]) * _MULT >> np.uint64(63)).astype(np.int64), last)
+    return out.T
+
+
+def levels() -> list[int]:
+    """Least lengths of the levels, up to ``LONGEST``."""
+    out = [1]
+    while (longer := max(out[-1] + 1, int(out[-1] * LEVEL_RATIO))) <= LONGEST:
+        out.append(longer)
     return out
 
 
+def span(level: int) -> int:
+    """Steps of a walk that the tables of a level sample."""
+    return max(level, int(STEPS_PER_WORD * level))
+
+
+@cache
+def tables(level: int, rate: float = RATE, recall: float = RECALL) -> list[np.ndarray]:
+    """Sampled positions by walk, a row per table.  The first table of a walk
+    samples positions that no item of the level has run out by; it alone is
+    needed where no edit is allowed."""
+    rng = np.random.default_rng(level)
+    n = min(SAMPLED, level)
+    first = [rng.choice(level, n, replace=False) for _ in range(WALKS)]
+    if int(rate * level * LEVEL_RATIO + 1e-9) == 0:
+        return [np.array(first[:1])]
+    more = -(-tables_needed(recall) // WALKS) - 1
+    return [np.array([f, *(rng.choice(span(level), n, replace=False) for _ in range(more))]) for f in first]
+
+
+def table_keys(embedded: np.ndarray, sampled: np.ndarray, seed: int, rows: np.ndarray | slice) -> np.ndarray:
+    """Keys of some rows of an embedding, one row of keys per table."""
+    t, n = sampled.shape
+    odd = words.mix(np.arange(t * n, dtype=np.uint64) + np.uint64(seed * 4096 + 1)).reshape(t, n) | np.uint64(1)
+    steps = embedded.T
+    out = np.stack([sum(steps[j][rows] * o for j, o in zip(at, by, strict=True))
+                    for at, by in zip(sampled.tolist(), odd, strict=True)])
+    return words.mix(out)
+
+
+class Marks:
+    """A bitmap over the leading bits of hashes: no false negatives."""
+
+    def __init__(self, hashes: np.ndarray):
+        bits = max(16, int(16 * len(hashes)).bit_length())
+        self.shift = np.uint64(64 - min(bits, 26))
+        self.bits = np.zeros(1 << min(bits, 26), bool)
+        self.bits[hashes >> self.shift] = True
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        return self.bits[hashes >> self.shift]
+
+
 def edit_distances(items: np.ndarray, regions: np.ndarray) -> np.ndarray:
     """Least word edit distance of row i of ``items`` to any stretch of row i
     of ``regions`` (padded with 0, which matches nothing)."""
@@ -108,74 +167,115 @@ def edit_distances(items: np.ndarray, regions: np.ndarray) -> np.ndarray:
 
 
 class ItemIndex:
-    """The runs of the items, for finding windows."""
+    """The items in hash tables of their sampled embeddings."""
 
     def __init__(self, item_ids: np.ndarray, hashes: np.ndarray, firsts: np.ndarray, rate: float = RATE):
-        self.item_ids, self.hashes, self.firsts = item_ids, hashes, firsts
+        self.item_ids, self.hashes, self.firsts, self.rate = item_ids, hashes, firsts, rate
         self.sizes = np.diff(firsts)
-        self.edits = np.floor(rate * self.sizes + 1e-9).astype(np.int64)
-        runs: dict[int, list] = {}
-        for i, (m, k) in enumerate(zip(self.sizes.tolist(), self.edits.tolist(), strict=True)):
-            if m:
-                runs.setdefault(min(RUN_WORDS, -(-(m - k) // (k + 1))), []).append(i)
-        self.runs = {}
-        for q, own in runs.items():
-            at = np.concatenate([np.arange(self.sizes[i] - q + 1) for i in own])
-            item = np.repeat(own, [self.sizes[i] - q + 1 for i in own])
-            keys = self._run_hashes(hashes, q)[firsts[item] + at]
-            order = np.argsort(keys, kind="stable")
-            self.runs[q] = keys[order], item[order], at[order]
+        self.edits = self._allowed(self.sizes)
         item = np.repeat(np.arange(len(self.sizes)), self.sizes)
         self.members = np.unique(words.mix(hashes) ^ words.mix(item))
-        self.embeddings: dict[tuple[int, int], np.ndarray] = {}
-
-    @staticmethod
-    def _run_hashes(hashes: np.ndarray, q: int) -> np.ndarray:
-        """Hash of the q words from each position on."""
-        out = np.zeros(max(len(hashes) - q + 1, 0), np.uint64)
-        for j in range(q):
-            out += hashes[j:len(hashes) - q + 1 + j] * (words.mix(np.array([j + 1], np.uint64))[0] | np.uint64(1))
-        return words.mix(out)
-
-    def hits(self, hashes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-        """Columns (text, item, start) of the windows that line up with a
-        shared run; a start is relative to its text and may lie before it."""
-        found = []
-        text_of = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
-        for q, (keys, item, at) in self.runs.items():
-            own = self._run_hashes(hashes, q)
-            lo = np.searchsorted(keys, own)
-            near = np.flatnonzero((keys[np.minimum(lo, len(keys) - 1)] == own) & (lo < len(keys)))
-            near = near[text_of[near] == text_of[near + q - 1]]
-            lo, hi = lo[near], np.searchsorted(keys, own[near], side="right")
-            pos, pick = np.repeat(near, hi - lo), bpe.ranges(lo, hi - lo)
-            text = text_of[pos]
-            found.append(np.stack([text, item[pick], pos - firsts[text] - at[pick]]))
-        return np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((3, 0), np.int64)
-
-    def _embedded(self, m: int, w: int) -> np.ndarray:
-        """Embeddings of the items of m words."""
-        if (m, w) not in self.embeddings:
-            own = np.flatnonzero(self.sizes == m)
-            self.embeddings[m, w] = walk(self.hashes[self.firsts[own][:, None] + np.arange(m)], w)
-        return self.embeddings[m, w]
-
-    def collides(self, windows: np.ndarray, item: np.ndarray, recall: float = RECALL) -> np.ndarray:
-        """Whether row i of ``windows`` meets ``item[i]`` in some table; all
-        items are of the windows' length."""
-        m = windows.shape[1]
-        row = np.searchsorted(np.flatnonzero(self.sizes == m), item)
-        tables = tables_needed(recall)
-        hit = np.zeros(len(windows), bool)
-        for w in range(WALKS):
-            todo = np.flatnonzero(~hit)
-            if not len(todo):
-                break
-            same = walk(windows[todo], w) == self._embedded(m, w)[row[todo]]
-            rng = np.random.default_rng(w)
-            for _ in range(-(-tables // WALKS)):
-                hit[todo] |= same[:, rng.integers(0, STRETCH * m, SAMPLED)].all(axis=1)
-        return hit
+        # Parts of items: all of an item of up to LONGEST words.
+        n_parts = -(-self.sizes // LONGEST)
+        self.part_item = np.repeat(np.arange(len(self.sizes)), n_parts)
+        nth = bpe.ranges(np.zeros(len(n_parts), np.int64), n_parts)
+        m, n = self.sizes[self.part_item], n_parts[self.part_item]
+        self.part_at = nth * m // n
+        self.part_size = (nth + 1) * m // n - self.part_at
+        self.tables = {level: self._fill(own, level) for level, own in self._by_level()}
+
+    def _allowed(self, sizes: np.ndarray) -> np.ndarray:
+        return np.floor(self.rate * sizes + 1e-9).astype(np.int64)
+
+    def _by_level(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Levels that hold parts, with those parts."""
+        steps = np.array(levels())
+        of = steps[np.searchsorted(steps, self.part_size, side="right") - 1]
+        for level in np.unique(of).tolist():
+            yield level, np.flatnonzero(of == level)
+
+    def _fill(self, own: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys over all tables of a level, and their parts."""
+        at = np.arange(span(level))
+        inside = at < self.part_size[own][:, None]
+        start = self.firsts[self.part_item[own]] + self.part_at[own]
+        windows = np.where(inside, self.hashes[np.minimum(start[:, None] + at, len(self.hashes) - 1)], _PAD)
+        keys, parts = [], []
+        for w, sampled in enumerate(tables(level, self.rate)):
+            embedded = walk(windows, w, span(level))
+            own_keys = table_keys(embedded, sampled, w, slice(None))
+            for s, key in zip(sampled, own_keys, strict=True):
+                read = (embedded[:, s] != _PAD).all(axis=1)
+                keys.append(key[read])
+                parts.append(own[read])
+        keys, parts = np.concatenate(keys), np.concatenate(parts)
+        order = np.argsort(keys, kind="stable")
+        return keys[order], parts[order]
+
+    @cached_property
+    def _marks(self) -> dict[int, Marks]:
+        return {level: Marks(keys) for level, (keys, _) in self.tables.items()}
+
+    @cached_property
+    def _known(self) -> Marks:
+        return Marks(np.unique(self.hashes))
+
+    def _starts(self, hashes: np.ndarray) -> dict[int, np.ndarray]:
+        """Per level, whether each word may start a window: enough of the
+        words from it on are words of some item."""
+        n = len(hashes)
+        count = np.zeros(n + 1 + LONGEST, np.int32)
+        np.cumsum(self._known(hashes), out=count[1:n + 1])
+        count[n + 1:] = count[n]
+        out = {}
+        for level, own in self._by_level():
+            may = np.zeros(n, bool)
+            sizes = np.unique(self.part_size[own])
+            for m, k in zip(sizes.tolist(), self._allowed(sizes).tolist(), strict=True):
+                may |= count[m:m + n] - count[:n] >= m - k
+            out[level] = may
+        return out
+
+    def hits(self, hashes: np.ndarray, firsts: np.ndarray) -> Iterator[np.ndarray]:
+        """Columns (text, item, start) of items whose windows collide with a
+        window of a text, by blocks of windows; a start is relative to its
+        text and may lie before it."""
+        may = self._starts(hashes)
+        # Windows of one block have about the same longest level to read.
+        longest = np.zeros(len(hashes), np.uint8)
+        for level, ok in may.items():
+            longest[ok] = level
+        starts = np.flatnonzero(longest)
+        starts = starts[np.argsort(longest[starts], kind="stable")]
+        padded = np.append(hashes, _PAD)
+        for b in range(0, len(starts), BLOCK_WINDOWS):
+            at = starts[b:b + BLOCK_WINDOWS]
+            text = np.searchsorted(firsts, at, side="right") - 1
+            rows = {level: np.flatnonzero(ok[at]) for level, ok in may.items()}
+            rows = {level: r if len(r) < len(at) else slice(None) for level, r in rows.items() if len(r)}
+            steps = span(int(longest[at[-1]]))
+            reach = at[:, None] + np.arange(steps)
+            windows = padded[np.where(reach < firsts[text + 1][:, None], reach, len(hashes))]
+            found = []
+            for w in range(WALKS):
+                if any(w < len(tables(level, self.rate)) for level in rows):
+                    embedded = walk(windows, w, steps)
+                    for level, r in rows.items():
+                        if w < len(tables(level, self.rate)):
+                            row, part = self._look_up(level, table_keys(embedded, tables(level, self.rate)[w], w, r))
+                            row = row if isinstance(r, slice) else r[row]
+                            found.append(np.stack([text[row], self.part_item[part],
+                                                   at[row] - firsts[text[row]] - self.part_at[part]]))
+            yield np.unique(np.concatenate(found, axis=1), axis=1)
+
+    def _look_up(self, level: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, part) of equal keys; ``keys`` has a row per table."""
+        known, parts = self.tables[level]
+        table, near = np.nonzero(self._marks[level](keys))
+        keys = keys[table, near]
+        lo = np.searchsorted(known, keys)
+        n = np.searchsorted(known, keys, side="right") - lo
+        return np.repeat(near, n), parts[bpe.ranges(lo, n)]
 
     def leaks(self, hashes: np.ndarray, firsts: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         """(text, item, start, edits) of windows within the bound."""
@@ -187,40 +287,25 @@ class ItemIndex:
             inside = (at >= 0) & (at < n_words[text][:, None])
             return padded[np.where(inside, at + firsts[text][:, None], len(hashes))]
 
-        hits = self.hits(hashes, firsts)
-        for m in np.unique(self.sizes[hits[1]]).tolist():
-            own = hits[:, self.sizes[hits[1]] == m]
-            k = int(self.edits[own[1, 0]])
-            done = [np.zeros(0, np.int64)]
-            for shifted in (False, True):
-                if shifted:
-                    # The (text, item) pairs still open, at every shift.
-                    pair = own[0] * len(self.sizes) + own[1]
-                    own = own[:, ~np.isin(pair, np.concatenate(done))]
-                    own = np.repeat(own, 2 * k + 1, axis=1)
-                    own[2] += np.tile(np.arange(-k, k + 1), own.shape[1] // (2 * k + 1))
-                    own = np.unique(own, axis=1)
-                kept = []
-                for b in range(0, own.shape[1], BLOCK_WINDOWS):
-                    t, i, s = part = own[:, b:b + BLOCK_WINDOWS]
-                    if not shifted:
-                        # Words of the item must be near in number.
-                        near = words.mix(cut(t, s - k, m + 2 * k)) ^ words.mix(i)[:, None]
-                        at = np.minimum(np.searchsorted(self.members, near), len(self.members) - 1)
-                        part = part[:, (self.members[at] == near).sum(axis=1) >= m - k]
-                        kept.append(part)
-                        t, i, s = part
-                    near = np.flatnonzero(self.collides(cut(t, s, m), i)) if len(t) else t
-                    if not len(near):
+        for hits in self.hits(hashes, firsts):
+            for m in np.unique(self.sizes[hits[1]]).tolist():
+                own = hits[:, self.sizes[hits[1]] == m]
+                k = int(self.edits[own[1, 0]])
+                block = max(1, VERIFY_CELLS // (m + 4 * k))
+                for b in range(0, own.shape[1], block):
+                    t, i, s = own[:, b:b + block]
+                    region = cut(t, s - 2 * k, m + 4 * k)
+                    # Words of the item must be near in number.
+                    near = words.mix(region) ^ words.mix(i)[:, None]
+                    at = np.minimum(np.searchsorted(self.members, near), len(self.members) - 1)
+                    ok = (self.members[at] == near).sum(axis=1) >= m - k
+                    t, i, s, region = t[ok], i[ok], s[ok], region[ok]
+                    if not len(t):
                         continue
-                    t, i, s = t[near], i[near], s[near]
                     exact = self.hashes[self.firsts[i][:, None] + np.arange(m)]
-                    d = edit_distances(exact, cut(t, s - k, m + 2 * k))
+                    d = edit_distances(exact, region)
                     ok = d <= k
-                    done.append(t[ok] * len(self.sizes) + i[ok])
                     yield t[ok], i[ok], np.maximum(s[ok], 0), d[ok]
-                if not shifted:
-                    own = np.concatenate(kept, axis=1)
 
 
 def _blocks(benchmark: DataFrame, size: int) -> Iterator[ItemIndex]:
