@@ -92,13 +92,25 @@ def walk(windows: np.ndarray, seed: int, steps: int | None = None) -> np.ndarray
     steps = STRETCH * m if steps is None else steps
     padded = np.concatenate([windows, np.full((n, 1), _PAD)], axis=1).ravel()
     at = np.arange(n) * (m + 1)
-    last = at + m
-    out = np.empty((steps, n), np.uint64)
-    keys = words.mix(np.arange(steps, dtype=np.uint64) + np.uint64(seed * 1_000_003 + 1))
-    for j in range(steps):
-        out[j] = padded[at]
-        at = np.minimum(at + ((out[j] ^ keys[j]) * _MULT >> np.uint64(63)).astype(np.int64), last)
-    return out.T
+    return _walk_from(padded, at, seed, steps, at + m).T
+
+
+def _walk_from(hashes: np.ndarray, starts: np.ndarray, seed: int, steps: int, last: np.ndarray | None = None):
+    """Walks from ``starts``, a row per step.  Each stays at its ``last`` word;
+    without, there are at least ``steps`` words from each start on."""
+    at = starts.copy()
+    out = np.empty((steps, len(at)), np.uint64)
+    bit = np.empty(len(at), np.uint64)
+    signed = bit.view(np.int64)
+    for j, key in enumerate(words.mix(np.arange(steps, dtype=np.uint64) + np.uint64(seed * 1_000_003 + 1))):
+        np.take(hashes, at, out=out[j], mode="clip")
+        np.bitwise_xor(out[j], key, out=bit)
+        np.multiply(bit, _MULT, out=bit)
+        np.right_shift(signed, 63, out=signed)
+        at -= signed
+        if last is not None:
+            np.minimum(at, last, out=at)
+    return out
 
 
 def levels() -> list[int]:
@@ -129,13 +141,13 @@ def tables(level: int, rate: float = RATE, recall: float = RECALL) -> list[np.nd
 
 
 def table_keys(embedded: np.ndarray, sampled: np.ndarray, seed: int, rows: np.ndarray | slice) -> np.ndarray:
-    """Keys of some rows of an embedding, one row of keys per table."""
+    """Keys of some of the walks (a row per step), one row of keys per table."""
     t, n = sampled.shape
     odd = words.mix(np.arange(t * n, dtype=np.uint64) + np.uint64(seed * 4096 + 1)).reshape(t, n) | np.uint64(1)
-    steps = embedded.T
-    out = np.stack([sum(steps[j][rows] * o for j, o in zip(at, by, strict=True))
+    out = np.stack([sum(embedded[j][rows] * o for j, o in zip(at, by, strict=True))
                     for at, by in zip(sampled.tolist(), odd, strict=True)])
-    return words.mix(out)
+    # A multiple's upper bits depend on all bits of the sum.
+    return (out ^ out >> np.uint64(32)) * _MULT
 
 
 class Marks:
@@ -203,7 +215,7 @@ class ItemIndex:
         keys, parts = [], []
         for w, sampled in enumerate(tables(level, self.rate)):
             embedded = walk(windows, w, span(level))
-            own_keys = table_keys(embedded, sampled, w, slice(None))
+            own_keys = table_keys(embedded.T, sampled, w, slice(None))
             for s, key in zip(sampled, own_keys, strict=True):
                 read = (embedded[:, s] != _PAD).all(axis=1)
                 keys.append(key[read])
@@ -247,19 +259,18 @@ class ItemIndex:
             longest[ok] = level
         starts = np.flatnonzero(longest)
         starts = starts[np.argsort(longest[starts], kind="stable")]
-        padded = np.append(hashes, _PAD)
+        # A window may read on into the next text: it is verified in its own.
+        padded = np.append(hashes, np.full(span(LONGEST), _PAD))
         for b in range(0, len(starts), BLOCK_WINDOWS):
             at = starts[b:b + BLOCK_WINDOWS]
             text = np.searchsorted(firsts, at, side="right") - 1
             rows = {level: np.flatnonzero(ok[at]) for level, ok in may.items()}
             rows = {level: r if len(r) < len(at) else slice(None) for level, r in rows.items() if len(r)}
             steps = span(int(longest[at[-1]]))
-            reach = at[:, None] + np.arange(steps)
-            windows = padded[np.where(reach < firsts[text + 1][:, None], reach, len(hashes))]
             found = []
             for w in range(WALKS):
                 if any(w < len(tables(level, self.rate)) for level in rows):
-                    embedded = walk(windows, w, steps)
+                    embedded = _walk_from(padded, at, w, steps)
                     for level, r in rows.items():
                         if w < len(tables(level, self.rate)):
                             row, part = self._look_up(level, table_keys(embedded, tables(level, self.rate)[w], w, r))
