@@ -3,7 +3,8 @@
 A document leaks an item if some stretch of it is within ``rate`` word edits
 per word of the item.  Words are runs of letters and digits, in lower case.
 
-1. *Windows.*  Every word of a document starts a window for each item length.
+1. *Windows.*  Every word of a document, and some places ahead of the first,
+   start a window for each item length.
    For an item of m words, k = floor(rate * m) edits are allowed, so m - k of
    the m words from a stretch's start on are words of the benchmark; other
    starts are left out by that count, exactly.  An item of over ``LONGEST``
@@ -252,18 +253,24 @@ class ItemIndex:
         """Columns (text, item, start) of items whose windows collide with a
         window of a text, by blocks of windows; a start is relative to its
         text and may lie before it."""
-        may = self._starts(hashes)
+        # Each text has room before it for windows that start ahead of it; a
+        # window may read on into the next text: it is verified in its own.
+        room = int(self._allowed(np.array([LONGEST]))[0])
+        blocks = firsts[:-1] + np.arange(len(firsts) - 1) * room
+        spaced = np.full(len(hashes) + (len(firsts) - 1) * room, _PAD)
+        n_words = np.diff(firsts)
+        spaced[bpe.ranges(blocks + room, n_words)] = hashes
+        may = self._starts(spaced)
         # Windows of one block have about the same longest level to read.
-        longest = np.zeros(len(hashes), np.uint8)
+        longest = np.zeros(len(spaced), np.uint8)
         for level, ok in may.items():
             longest[ok] = level
         starts = np.flatnonzero(longest)
         starts = starts[np.argsort(longest[starts], kind="stable")]
-        # A window may read on into the next text: it is verified in its own.
-        padded = np.append(hashes, np.full(span(LONGEST), _PAD))
+        padded = np.append(spaced, np.full(span(LONGEST), _PAD))
         for b in range(0, len(starts), BLOCK_WINDOWS):
             at = starts[b:b + BLOCK_WINDOWS]
-            text = np.searchsorted(firsts, at, side="right") - 1
+            text = np.searchsorted(blocks, at, side="right") - 1
             rows = {level: np.flatnonzero(ok[at]) for level, ok in may.items()}
             rows = {level: r if len(r) < len(at) else slice(None) for level, r in rows.items() if len(r)}
             steps = span(int(longest[at[-1]]))
@@ -276,7 +283,7 @@ class ItemIndex:
                             row, part = self._look_up(level, table_keys(embedded, tables(level, self.rate)[w], w, r))
                             row = row if isinstance(r, slice) else r[row]
                             found.append(np.stack([text[row], self.part_item[part],
-                                                   at[row] - firsts[text[row]] - self.part_at[part]]))
+                                                   at[row] - blocks[text[row]] - room - self.part_at[part]]))
             yield np.unique(np.concatenate(found, axis=1), axis=1)
 
     def _look_up(self, level: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -142,6 +142,48 @@ def test_op10_edges(spark, edge_docs, no_docs):
     assert decontaminate.drop_leaking(edge_docs, bench.limit(0)).count() == edge_docs.count()
 
 
+def edited(rng, item, places):
+    """``item`` with one edit at each place, last place first."""
+    w = list(item)
+    for at in sorted(places, reverse=True):
+        w[at:at + 1] = [[], [f"z{rng.randrange(10**9)}"], [w[at], f"z{rng.randrange(10**9)}"]][rng.randrange(3)]
+    return w
+
+
+@pytest.mark.parametrize("m", [3, 5, 9, 15, 24, 40, 64, 65, 130, 200])
+@pytest.mark.parametrize("front", [False, True])
+def test_op10_recall_at_the_edit_bound(m, front):
+    """Every item at its bound, edits anywhere or crowded in its first half."""
+    rng = random.Random(m)
+    items = [[f"v{rng.randrange(5000)}" for _ in range(m)] for _ in range(60)]
+    k = int(decontaminate.RATE * m + 1e-9)
+    texts = []
+    for item in items:
+        around = [f"v{rng.randrange(5000)}" for _ in range(60)]
+        places = rng.sample(range(m // 2 + 1 if front else m), k)
+        texts.append(" ".join(around[:30] + edited(rng, item, places) + around[30:]))
+    index = decontaminate.ItemIndex(
+        np.arange(60), *decontaminate.folded_words(pa.array([" ".join(i) for i in items])))
+    found = {}
+    for t, i, _, d in index.leaks(*decontaminate.folded_words(pa.array(texts))):
+        for row in zip(t.tolist(), i.tolist(), d.tolist(), strict=True):
+            found[row[:2]] = min(row[2], found.get(row[:2], m))
+    want = {(n, n): distance(item, words_of(t)) for n, (item, t) in enumerate(zip(items, texts, strict=True))}
+    assert all(e <= k for e in want.values())
+    assert len(found.keys() & want.keys()) >= 59
+    assert all(found[p] == want[p] for p in found.keys() & want.keys())
+
+
+def test_op10_passages_at_the_ends_of_texts():
+    """A text that is the item, its first or last words lost, or less."""
+    item = [f"v{i}" for i in range(30)]
+    index = decontaminate.ItemIndex(np.array([7]), *decontaminate.folded_words(pa.array([" ".join(item)])))
+    texts = [item, item[3:], item[:-3], item[6:], item[:24], item[7:], item[:23], [], item[::-1]]
+    hashes, firsts = decontaminate.folded_words(pa.array([" ".join(t) for t in texts]))
+    found = {n for t, *_ in index.leaks(hashes, firsts) for n in t.tolist()}
+    assert found == {0, 1, 2, 3, 4}
+
+
 def test_walk_keeps_small_edits_near():
     rng = np.random.default_rng(1)
     a = rng.integers(1, 2**63, (200, 40)).astype(np.uint64)
