@@ -3,11 +3,14 @@
 1. *Candidates* are spans of broad patterns; those of the four base kinds
    (email, ip, card, phone) are always reported.
 2. *Labelers* vote on every candidate: +1 personal, -1 not, 0 no opinion.
-   They test the pattern's strict form, check digits and ranges (regex),
-   known domains, prefixes and titles (gazetteer), and words and characters
-   around the span (context).
+   They test the strict form, check digits and ranges of the span (regex),
+   known domains, prefixes, lengths and names (gazetteer), and words and
+   characters around it (context).  A candidate that lies inside a base span
+   could not be added and has no vote.
 3. *EM* over the counts of vote patterns of the whole table estimates how
-   reliable each labeler is on each side, and the posterior of each pattern.
+   reliable each labeler is for each kind and side, and the posterior of each
+   pattern.  A kind with few candidates leans on the estimate over all kinds,
+   by ``KIND_PRIOR`` candidates' weight.
 4. A *span classifier* (logistic, on the votes and the shape of the span) is
    trained on those posteriors and decides which further candidates to add.
 
@@ -56,9 +59,36 @@ CUES = (r"(?i)\b(?:tel|phone|call|mobile|fax|contact|e-?mail|mail|write|reach|ad
         r"|ssn|social|name|signed|dear|born|server|host|login)\b[^\n]{0,12}$")
 COUNTER_CUES = r"(?i)\b(?:version|section|chapter|isbn|issn|order|invoice|page|figure|table|part|fig|no)\b[^\n]{0,6}$"
 CONTEXT = 24
+# Strict forms, by kind: +1 where the span has it, -1 where not.
+STRICT = {
+    "email": r"^[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@[A-Za-z0-9](?:[A-Za-z0-9.-]*[A-Za-z0-9])?\.[A-Za-z]{2,}$",
+    "ip": r"^(?:0|[1-9][0-9]{0,2})(?:\.(?:0|[1-9][0-9]{0,2})){3}$",
+    "card": r"^(?:[0-9]{16,19}|[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{4})$",
+    "phone": r"^\+[1-9][0-9]{0,2}[\x20.-]?(?:\([0-9]{1,4}\)[\x20.-]?)?[0-9]+(?:[\x20.-][0-9]+)*$",
+    "local_phone": r"^\(?[2-9][0-9]{2}[^0-9]+[2-9]",
+    "masked_email": r"(?i)^[^\x20(\[]*[a-z][^\x20(\[]*\x20?(?:\(at\)|\[at\]).*(?:\(dot\)|\[dot\]|\.)",
+    "id_number": r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$",
+    "person": r"^[^\x20]+\x20[^\x20]+\x20[^\x20]+",
+}
+# Lengths of account numbers by country (ISO 13616).
+ACCOUNT_LENGTHS = {
+    "AD": 24, "AE": 23, "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20,
+    "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IS": 26, "IT": 27,
+    "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24,
+    "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TR": 26}
+# Common given names of the four languages.
+GIVEN_NAMES = (
+    "Alexander Alice Ana Andrea Andreas Anna Anne Antonio Barbara Bernd Carlos Carmen Catherine Charles Charlotte "
+    "Christian Christine Claire Claudia Daniel David Diego Elena Elizabeth Emily Emma Eric Eva Fernando Francisco "
+    "Frank Gabriel George Hans Helen Henri Isabel Jack James Jan Jane Javier Jean Jennifer Jessica Joan John Jorge "
+    "Jose Juan Julia Julie Karin Karl Kevin Klaus Laura Linda Louis Lucas Lucia Luis Manuel Marc Marco Maria Marie "
+    "Mark Martin Mary Matthew Michael Miguel Monika Nathalie Nicolas Olivia Pablo Patricia Paul Pedro Peter Petra "
+    "Philippe Pierre Rafael Richard Robert Rosa Sabine Sarah Sebastian Sofia Sophie Stefan Stephen Susan Thomas "
+    "Ursula Victor William Wolfgang").split()
 LABELERS = ["strict", "check", "gazetteer", "cue", "counter_cue", "edge"]
 SHAPES = ["digits", "length", "parts"]
 SMOOTH = 1.0
+KIND_PRIOR = 20.0
 ROUNDS = 30
 ADD_FROM = 0.9
 
@@ -77,6 +107,14 @@ def luhn(digits: Column) -> Column:
     return (n > 0) & (total % 10 == 0)
 
 
+def account_check(account: Column) -> Column:
+    """Whether an account number leaves 1 when divided by 97 (ISO 7064)."""
+    plain = F.regexp_replace(account, r"\x20", "")
+    marks = F.split(F.concat(F.substring(plain, 5, 64), F.substring(plain, 1, 4)), "")
+    return F.aggregate(marks, F.lit(0), lambda a, ch: F.when(ch == "", a).when(
+        F.ascii(ch) < 65, (a * 10 + F.ascii(ch) - 48) % 97).otherwise((a * 100 + F.ascii(ch) - 55) % 97)) == 1
+
+
 def base_spans(text: Column) -> dict[str, Column]:
     """The base kinds; failing matches are dropped and not retried."""
     def card(x):
@@ -104,20 +142,27 @@ def _with_votes(text: Column, spans: Column, kind: str) -> Column:
                              F.least(x["start"], F.lit(CONTEXT)))
         after = F.substring(text, x["end"] + 1, F.lit(1))
         n = F.length(digits)
+        strict = (account_check(s) if kind == "account" else s.rlike(STRICT[kind]))
         check = {
             "card": _vote(luhn(digits), ~luhn(digits)), "ip": _vote(s.rlike(IP_VALID), ~s.rlike(IP_VALID)),
-            "phone": _vote(n.between(10, 13), n < 8), "local_phone": _vote(~s.rlike(r"^\(?[01]"), s.rlike(r"^\(?[01]")),
-            "id_number": _vote(~s.rlike(r"^(?:000|666|9)"), s.rlike(r"^(?:000|666|9)|-00-|-0000$")),
+            "phone": _vote(n.between(10, 13), n < 8),
+            # The same separator throughout, or the area code in brackets.
+            "local_phone": _vote(s.rlike(r"^(?:\(.*-|[^()]{3}([\x20.-])[^()]{3}\1)"),
+                                 s.rlike(r"^[0-9]{3}([\x20.-])[0-9]{3}(?!\1)")),
+            # Numbers that were printed in advertisements.
+            "id_number": _vote(F.lit(False), s.rlike("^(?:078-05-1120|219-09-9999)$")),
             "account": _vote(n >= 8, n < 6), "email": _vote(F.length(s) <= 254, F.length(s) > 254),
         }.get(kind, F.lit(0))
+        lengths = "|".join(f"{c}.{{{m - 2}}}" for c, m in ACCOUNT_LENGTHS.items())
+        registered = F.regexp_replace(s, r"\x20", "").rlike(f"^(?:{lengths})$")
         gazetteer = {
-            "email": _vote(s.rlike(DOMAINS)), "masked_email": _vote(s.rlike(r"(?i)\(at\)|\[at\]")),
+            "email": _vote(s.rlike(DOMAINS)), "masked_email": _vote(s.rlike(DOMAINS)),
             "phone": _vote(s.rlike(r"^\+(?:1|33|34|44|49)[^0-9]")), "card": _vote(digits.rlike("^(?:4|5[1-5]|3[47]|6)")),
-            "ip": _vote(F.lit(False), s.rlike(RESERVED)), "person": F.lit(1),
-            "account": _vote(s.rlike("^(?:DE|FR|ES|GB|IT|NL|BE|AT|CH|PT)")),
+            "ip": _vote(F.lit(False), s.rlike(RESERVED)), "account": _vote(registered, ~registered),
+            "person": _vote(s.rlike(rf"\x20(?:{'|'.join(GIVEN_NAMES)})(?:\x20|$)")),
         }.get(kind, F.lit(0))
         votes = {
-            "strict": F.lit(1 if kind in BASE else 0), "check": check, "gazetteer": gazetteer,
+            "strict": _vote(strict, ~strict) if kind != "person" else _vote(strict), "check": check, "gazetteer": gazetteer,
             "cue": _vote(before.rlike(CUES)), "counter_cue": _vote(F.lit(False), before.rlike(COUNTER_CUES)),
             "edge": F.when(after.rlike(r"[\p{L}0-9_/=]"), -1).otherwise(
                 _vote((x["start"] == 0) | before.rlike(r"[\s(<\"':,;]$"))),
@@ -137,32 +182,50 @@ def candidates(docs: DataFrame) -> DataFrame:
     found = docs.select("doc_id", S.text_column().alias("t"))
     base = base_spans(t)
     spans = [_with_votes(t, base[k], k) for k in BASE]
-    spans += [_with_votes(t, S.matches(t, p), k) for k, p in EXTRA.items()]
+    known = F.concat(*base.values())
+    spans += [_with_votes(t, S.outside(S.matches(t, p), known), k) for k, p in EXTRA.items()]
     return found.select("doc_id", F.concat(*spans).alias("spans"))
 
 
 def fit_reliabilities(patterns: list[dict], rounds: int = ROUNDS) -> tuple[list[float], dict]:
     """EM for a two-class model with independent labelers given the class.
 
-    ``patterns``: dicts of votes with their count ``n``.  Returns the
-    posterior of each pattern and, per labeler, the vote distributions of
-    both classes.  Starts from the majority of votes.
+    ``patterns``: dicts of votes with their count ``n`` and, possibly, their
+    ``kind``.  Returns the posterior of each pattern and the vote
+    distributions of both classes by (labeler, vote) over all kinds and by
+    (kind, labeler, vote).  Starts from the majority of votes.
     """
     post = [1 / (1 + math.exp(-sum(p[v] for v in LABELERS))) for p in patterns]
+    kinds = sorted({p["kind"] for p in patterns if "kind" in p})
     table: dict = {}
+
+    def sums(rows):
+        """Candidates of each class, and by labeler and vote."""
+        by = {(v, vote): [0.0, 0.0] for v in LABELERS for vote in (-1, 0, 1)}
+        mass = [0.0, 0.0]
+        for p, q in rows:
+            for side, n in enumerate((p["n"] * q, p["n"] * (1 - q))):
+                mass[side] += n
+                for v in LABELERS:
+                    by[v, p[v]][side] += n
+        return mass, by
+
     for _ in range(rounds):
-        total = sum(p["n"] for p in patterns)
-        mass = sum(p["n"] * q for p, q in zip(patterns, post, strict=True))
-        prior = (mass + SMOOTH) / (total + 2 * SMOOTH)
-        for v in LABELERS:
-            for vote in (-1, 0, 1):
-                yes = sum(p["n"] * q for p, q in zip(patterns, post, strict=True) if p[v] == vote)
-                no = sum(p["n"] * (1 - q) for p, q in zip(patterns, post, strict=True) if p[v] == vote)
-                table[v, vote] = ((yes + SMOOTH) / (mass + 3 * SMOOTH), (no + SMOOTH) / (total - mass + 3 * SMOOTH))
+        rows = list(zip(patterns, post, strict=True))
+        mass, by = sums(rows)
+        prior = {None: (mass[0] + SMOOTH) / (sum(mass) + 2 * SMOOTH)}
+        for key, n in by.items():
+            table[key] = tuple((n[c] + SMOOTH) / (mass[c] + 3 * SMOOTH) for c in (0, 1))
+        for kind in kinds:
+            mass, by = sums([(p, q) for p, q in rows if p.get("kind") == kind])
+            prior[kind] = (mass[0] + KIND_PRIOR * prior[None]) / (sum(mass) + KIND_PRIOR)
+            for key, n in by.items():
+                table[kind, *key] = tuple((n[c] + KIND_PRIOR * table[key][c]) / (mass[c] + KIND_PRIOR) for c in (0, 1))
         post = []
         for p in patterns:
-            z = math.log(prior / (1 - prior)) + sum(
-                math.log(table[v, p[v]][0] / table[v, p[v]][1]) for v in LABELERS if p[v])
+            kind = p.get("kind")
+            odds = [table[(kind, v, p[v]) if kind else (v, p[v])] for v in LABELERS if p[v]]
+            z = math.log(prior[kind] / (1 - prior[kind])) + sum(math.log(yes / no) for yes, no in odds)
             post.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
     return post, table
 

@@ -214,6 +214,59 @@ def test_em_finds_reliable_labelers():
     assert table[strict, 1][0] > 0.9 and abs(table[noisy, 1][0] - 0.5) < 0.1
 
 
+def iban(rng):
+    body = "".join(rng.choices(string.digits, k=18))
+    return f"DE{98 - int(body + '131400') % 97:02d}{body}"
+
+
+def planted(rng, kind, real):
+    """A span outside the base kinds with its surroundings: personal, or of
+    the same shape and not."""
+    n = rng.randrange(1000, 9999)
+    where, what = {
+        ("local_phone", True): ("phone ", f"({rng.randrange(200, 999)}) {rng.randrange(200, 999)}-{n}"),
+        ("local_phone", False): ("order ", f"{rng.randrange(100, 199)}-{rng.randrange(100, 199)} {n}"),
+        ("masked_email", True): ("write to ", f"user{n} (at) mail{n} (dot) com"),
+        ("masked_email", False): ("figure ", f"{n} at house dot com"),
+        ("id_number", True): ("ssn ", f"{rng.randrange(100, 600)}-{rng.randrange(10, 99)}-{n}"),
+        ("id_number", False): ("part ", f"9{rng.randrange(10, 99)}-00-{n}"),
+        ("account", True): ("account ", iban(rng)),
+        ("account", False): ("invoice ", f"ZZ{rng.randrange(10, 99)}{n}{n}ABCD"),
+        ("person", True): ("signed ", f"Dr. {rng.choice(pii.GIVEN_NAMES)} Miller"),
+    }[kind, real]
+    return (where if rng.random() < 0.7 else "on "), what
+
+
+def test_op7_planted_spans(spark):
+    """Recall and precision of added spans over texts with planted ones."""
+    rng = random.Random(3)
+    docs = [r.text for r in spark.read.parquet(f"{SF001}/documents.parquet").collect() if r.text]
+    texts, truth = [], {}
+    kinds = [("local_phone", True), ("local_phone", False), ("masked_email", True), ("masked_email", False),
+             ("id_number", True), ("id_number", False), ("account", True), ("account", False), ("person", True)]
+    for n in range(900):
+        kind, real = kinds[n % len(kinds)]
+        before, what = planted(rng, kind, real)
+        own = docs[n % len(docs)][:200].rpartition(" ")[0]
+        texts.append(f"{own} {before}{what}, {own}")
+        at = len(own) + 1 + len(before)
+        truth[n] = f"{kind}:{at}:{at + len(what)}" if real else None
+    rows = {r.doc_id: r.spans.split(",") for r in pii.find(make_docs(spark, texts)).collect()}
+    added = {n: [x for x in s if x.split(":")[0] in pii.EXTRA] for n, s in rows.items()}
+    wanted = [n for n, t in truth.items() if t]
+    found = sum(truth[n] in added[n] for n in wanted)
+    false = sum(x != truth[n] for n, s in added.items() for x in s)
+    missed = Counter(truth[n].split(":")[0] for n in wanted if truth[n] not in added[n])
+    assert found >= 0.95 * len(wanted), missed
+    assert false <= 0.05 * found, [(texts[n], s) for n, s in added.items() if s and s != [truth[n]]][:5]
+
+
+@pytest.mark.parametrize("account,ok", [("DE89 3704 0044 0532 0130 00", True), ("DE89370400440532013001", False),
+                                        ("GB82 WEST 1234 5698 7654 32", True), ("GB82 WEST 1234 5698 7654 33", False)])
+def test_account_check(spark, account, ok):
+    assert spark.range(1).select(pii.account_check(F.lit(account)).alias("ok")).first().ok == ok
+
+
 def test_classifier_adds_what_the_labelers_support(spark):
     """Supported local numbers are added; the same shape after a counter cue is not."""
     texts = [f"call me at +1 (555) 010-{1000 + i}, mail x{i}@mail.com." for i in range(40)]
