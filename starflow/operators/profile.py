@@ -99,28 +99,85 @@ def column_summary(df: DataFrame, columns: Sequence[str] | None = None, error: f
     most, a distinct count has a relative standard deviation of ``error``.
     Their size depends on the error alone, nothing is exploded and one row per
     task crosses the network.  ``exact`` counts and interpolates instead, which
-    shuffles every value; it is for tables that allow it.  An empty table has
-    0 distinct values and NULL figures."""
+    shuffles the distinct values of a column with their counts, so no task
+    holds a column; it is for tables that allow it.  An empty table has 0
+    distinct values and NULL figures."""
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     parts = (0.25, 0.5, 0.75)
     aggregates: list[Column] = [F.count(F.lit(1)).alias("n")]
     rows = []
     for i, f in enumerate(fields):
-        c = F.col("`" + f.name.replace("`", "``") + "`")
-        distinct = F.count_distinct(c) if exact else F.approx_count_distinct(c, error)
-        aggregates += [F.count(c).alias(f"k{i}"), distinct.alias(f"d{i}")]
+        c = _quoted(f.name)
+        aggregates.append(F.count(c).alias(f"k{i}"))
+        if not exact:
+            aggregates.append(F.approx_count_distinct(c, error).alias(f"d{i}"))
         names = ["mean", "least", "q25", "median", "q75", "greatest"]
         figures = {x: F.lit(None).cast("double").alias(x) for x in names}
         if isinstance(f.dataType, NumericType):
             x = c.cast("double")
-            quartiles = (F.array(*[F.percentile(x, p) for p in parts]) if exact
-                         else F.percentile_approx(x, list(parts), max(1, round(1 / error))))
-            aggregates += [F.avg(x).alias(f"m{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-                           quartiles.alias(f"q{i}")]
+            aggregates += [F.avg(x).alias(f"m{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+            if not exact:
+                aggregates.append(F.percentile_approx(x, list(parts), max(1, round(1 / error))).alias(f"q{i}"))
             figures |= {"mean": F.round(f"m{i}", 4).alias("mean"), "least": F.col(f"lo{i}").alias("least"),
                         "greatest": F.col(f"hi{i}").alias("greatest")}
             figures |= {n: F.col(f"q{i}")[j].alias(n) for j, n in enumerate(names[2:5])}
         rows.append(F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"),
                              F.col("n").alias("n_rows"), (F.col("n") - F.col(f"k{i}")).alias("nulls"),
                              F.col(f"d{i}").alias("n_distinct"), *[figures[n] for n in names]))
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    out = df.agg(*aggregates)
+    if exact:
+        for i, f in enumerate(fields):
+            own = _exact(df, f.name, isinstance(f.dataType, NumericType), parts)
+            out = out.crossJoin(own.select(*[F.col(x).alias(f"{x}{i}") for x in own.columns]))
+    return out.select(F.inline(F.array(*rows)))
+
+
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _exact(df: DataFrame, column: str, numeric: bool, parts: Sequence[float], ranges: int = 256) -> DataFrame:
+    """One row: the distinct values ``d`` of a column and, of numbers, the
+    percentiles ``q``, interpolated as ``percentile`` does.
+
+    The distinct values are counted by a shuffle.  Bounds from a sketch deal
+    them out to ranges, which only balance: the rows of each range are summed,
+    so it is known in which range a rank lies, and only the values of these
+    few ranges are put in order."""
+    counts = df.filter(_quoted(column).isNotNull()).groupBy(_quoted(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    if not numeric:
+        return counts.agg(F.count(F.lit(1)).alias("d"))
+    bounds = df.agg(F.percentile_approx(_quoted(column).cast("double"), [k / ranges for k in range(1, ranges)],
+                                        4 * ranges)).first()[0] or []
+    x = F.col("v").cast("double")
+    at = F.lit(0)
+    if bounds:
+        below = F.array(*[F.lit(float(b)) for b in sorted(set(bounds))])
+        at = F.size(F.filter(below, lambda b: b < x))
+    counts = counts.select(x.alias("x"), "n", at.alias("r"))
+    # One row per range: the window over all of them is small.
+    w = Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    sums = counts.groupBy("r").agg(F.count(F.lit(1)).alias("d"), F.sum("n").alias("n"))
+    sums = sums.select("r", "d", "n", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("before"),
+                       F.sum("n").over(Window.partitionBy()).alias("all"))
+    rank = [(F.col("all") - 1) * F.lit(p) for p in parts]
+    ends = [e(p).cast("long") for p in rank for e in (F.floor, F.ceil)]
+    asked = F.array(*ends)
+    within = sums.select("r", "before", F.filter(asked, lambda a: (a >= F.col("before")) &
+                                                 (a < F.col("before") + F.col("n"))).alias("asked"))
+    found = counts.join(F.broadcast(within.filter(F.size("asked") > 0)), "r")
+    order = Window.partitionBy("r").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = found.withColumn("upto", F.col("before") + F.sum("n").over(order))
+    found = found.select("x", F.explode(F.filter("asked", lambda a: (a < F.col("upto")) &
+                                                 (a >= F.col("upto") - F.col("n")))).alias("a"))
+    # At most six ranks.
+    value = F.map_from_entries(F.collect_set(F.struct("a", "x")))
+    total = sums.agg(F.coalesce(F.sum("d"), F.lit(0)).alias("d"), F.max("all").alias("all"))
+    out = total.crossJoin(found.agg(value.alias("value")))
+
+    def interpolated(position: Column) -> Column:
+        low, high = F.floor(position).cast("long"), F.ceil(position).cast("long")
+        a, b = F.try_element_at("value", low), F.try_element_at("value", high)
+        return F.when((low == high) | (a == b), a).otherwise((high - position) * a + (position - low) * b)
+
+    return out.select("d", F.array(*[interpolated(p) for p in rank]).alias("q"))
