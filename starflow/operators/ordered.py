@@ -43,24 +43,31 @@ def forward_fill(df: DataFrame, value_col: str, keys: Sequence[str], order_col:
     window: it is one aggregate over the narrow input."""
     out_col = out_col or value_col
     bucket_col = bucket_col or order_col
-    df, kcols = null_safe_keys(df, list(keys), "_ffk")
-    df, day = _with_day(df, bucket_col, "_ff")
+    # Rows that have a value keep it: they lend it to the rows without, as
+    # narrow rows, and are themselves neither shuffled nor sorted.
+    empty = F.col(value_col).isNull()
+    whole = df.withColumn("_ff_row", F.when(empty, F.struct(*df.columns)))
+    rows, kcols = null_safe_keys(whole, list(keys), "_ffk")
+    rows, day = _with_day(rows, bucket_col, "_ff")
     part = kcols + day
+    rows = rows.select(*part, *dict.fromkeys([order_col, tiebreak, value_col]), "_ff_row")
 
     w_in = (Window.partitionBy(*part).orderBy(_asc(order_col), F.col(tiebreak).asc())
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    filled_in = df.withColumn("_ff_in", F.last(value_col, ignorenulls=True).over(w_in))
+    filled_in = (rows.withColumn("_ff_in", F.last(value_col, ignorenulls=True).over(w_in))
+                 .filter(F.col("_ff_row").isNotNull()).select(*part, "_ff_row", "_ff_in"))
     # Last value of each (key, day): one row per day, map-side combined.  Rows
     # without a value have a NULL order, which max_by passes over.
     at = F.when(F.col(value_col).isNotNull(), F.struct(F.col(order_col), F.col(tiebreak)))
-    tails = df.groupBy(*part).agg(F.max_by(F.col(value_col), at).alias("_ff_tail"))
+    tails = rows.groupBy(*part).agg(F.max_by(F.col(value_col), at).alias("_ff_tail"))
     w_carry = (Window.partitionBy(*kcols).orderBy(*day)
                .rowsBetween(Window.unboundedPreceding, -1))
     carried = (tails.withColumn("_ff_carry", F.last("_ff_tail", ignorenulls=True).over(w_carry))
                .select(*part, "_ff_carry"))
-    out = (filled_in.join(carried, part, "left")
-           .withColumn(out_col, F.coalesce(F.col("_ff_in"), F.col("_ff_carry"))))
-    return out.drop(*part, "_ff_in", "_ff_carry")
+    filled = (filled_in.join(carried, part, "left")
+              .select("_ff_row.*", F.coalesce("_ff_in", "_ff_carry").alias("_ff_out"))
+              .withColumn(out_col, F.col("_ff_out")).drop("_ff_out"))
+    return df.filter(~empty).withColumn(out_col, F.col(value_col)).unionByName(filled)
 
 
 def dedupe_latest(df: DataFrame, keys: Sequence[str | Column], order_desc: Sequence[str],

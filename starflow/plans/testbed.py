@@ -44,6 +44,8 @@ CATEGORIES = {"STANDARD": "Furniture", "MEDIUM": "Office Supplies", "LARGE": "TE
               "PROMO": "technology ", "SMALL": "Office-Supplies"}
 CHANNELS = {"1-URGENT": "Online", "2-HIGH": " ONLINE", "3-MEDIUM": "Partner", "5-LOW": "Retail"}
 
+LINES_PER_TASK = 500_000
+
 V1_HEADERS = {
     "order_id": "Order ID", "order_date": "Order Date", "ship_date": "Ship Date",
     "customer_id": "Customer ID", "customer_name": "Customer Name", "country": "Country",
@@ -139,9 +141,11 @@ def sales_lines(t: dict[str, DataFrame]) -> DataFrame:
     is computed once and the generated code stays small."""
     li, o, c, p, s, n = (t[x] for x in ("lineitem", "orders", "customer", "part", "supplier", "nation"))
     # Rendering and parsing are the costly part: deal the narrow lines out to
-    # all cores first, however few row groups their file has.
-    parts = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
-    li = li.repartition(parts, "l_orderkey", "l_linenumber")
+    # all cores first, however few row groups their file has, and to more
+    # tasks the more lines there are.  By order, so that a join to the orders
+    # by shuffle finds them in place.
+    parts = max(int(t.spark.conf.get("spark.sql.shuffle.partitions")), li.count() // LINES_PER_TASK)
+    li = li.repartition(parts, "l_orderkey")
     j = (li.join(o, li["l_orderkey"] == o["o_orderkey"], "left")
            .join(c, o["o_custkey"] == c["c_custkey"], "left")
            .join(p, li["l_partkey"] == p["p_partkey"], "left")

@@ -23,6 +23,10 @@ CORE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    # HotSpot never compiles a method of more than 8,000 bytes.  A projection
+    # that renders or parses a whole sales line fuses into one of 30,000, which
+    # is interpreted for every row; above this limit Spark splits it instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

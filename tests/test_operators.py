@@ -151,3 +151,25 @@ def test_point_in_time_join_on_a_hot_key(spark):
     for r in facts.collect():
         want = [v for k, a, b, v in versions if k == r.key and a <= r.d and (b is None or r.d < b)]
         assert got[r.id] == (want[0] if want else None)
+
+
+def test_forward_fill_leaves_rows_with_a_value_in_place(spark):
+    rows = [("a", d(1), "r1", "10", "w"), ("a", d(1), "r1", "10", "w"), ("a", d(1), "r2", None, "x"),
+            ("a", d(2), "r3", None, None), ("a", d(2), "r3", None, None), (None, None, "r4", None, "y")]
+    df = spark.createDataFrame(rows, "k string, od date, rid string, v string, wide string")
+    out = forward_fill(df, "v", ["k"], "od", "rid", out_col="f")
+    assert out.columns == ["k", "od", "rid", "v", "wide", "f"]
+    assert sorted((r.rid, r.wide or "", r.f or "") for r in out.collect()) == [
+        ("r1", "w", "10"), ("r1", "w", "10"), ("r2", "x", "10"), ("r3", "", "10"), ("r3", "", "10"), ("r4", "y", "")]
+    assert "Union" in out._jdf.queryExecution().optimizedPlan().toString()
+    same = forward_fill(df, "v", ["k"], "od", "rid")
+    assert same.columns == df.columns and same.count() == len(rows)
+
+
+def test_more_lines_are_rendered_by_more_tasks(spark, monkeypatch):
+    from starflow.plans import testbed as T
+    monkeypatch.setattr(T, "LINES_PER_TASK", 3)
+    t = T.Tables(spark, "/root/testdata/sf0.001")
+    t["lineitem"] = t["lineitem"].limit(60)
+    plan = T.sales_lines(t)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [l_orderkey" in plan and ", 20" in plan.split("RepartitionByExpression")[1].split("\n")[0]
