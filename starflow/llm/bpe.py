@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 SLICE_BYTES = 6 << 20
+LEARNT_AT_ONCE = 1 << 13
 CACHED_WORDS = 1_000_000
 _TAIL = re.compile(r"[.,;:!?]+\Z")
 
@@ -121,7 +122,10 @@ class BatchEncoder:
         return pieces[ranges(starts[pair].ravel(), sizes[pair].ravel())], lengths
 
     def _learn(self, words: pa.Array):
-        ids, lengths = self._word_ids(words.to_numpy(zero_copy_only=False).tolist())
+        # In groups: the library's answer takes far more room than the ids.
+        new = [self._word_ids(words.slice(a, LEARNT_AT_ONCE).to_numpy(zero_copy_only=False).tolist())
+               for a in range(0, len(words), LEARNT_AT_ONCE)]
+        ids, lengths = (np.concatenate(x) for x in zip(*new, strict=True))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.ids = np.concatenate([self.ids, ids])

@@ -26,6 +26,7 @@ from starflow.llm import bpe
 
 CAPACITY = 4096
 BLOCK_IDS = 2 << 20
+SLICE = 2 << 20
 END_ID = 2
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
@@ -162,6 +163,8 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAP
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        # What earlier stages freed in this worker goes back first.
+        pa.default_memory_pool().release_unused()
         enc = bpe.encoder(path)
         packer = _Packer(TaskContext.get().partitionId(), capacity)
         kinds = [pa.int64()] * 7
@@ -174,7 +177,7 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAP
 
         for batch in batches:
             texts, doc_ids = batch.column("text"), batch.column("doc_id").to_pylist()
-            for a, b in bpe.text_slices(texts):
+            for a, b in bpe.text_slices(texts, SLICE):
                 ids, counts = enc.encode(texts.slice(a, b - a))
                 ids = np.insert(ids, np.cumsum(counts), end_id)
                 ends = np.cumsum(counts + 1)

@@ -199,3 +199,17 @@ def test_op4_edges(spark, edge_docs, no_docs):
     words = ["ab", "abc", "b", "ab", "中文", "a\x00b"]
     assert counter.count(pa.array(words))[1].tolist() == reference_count(words)
     assert sum(counter.count(pa.array([" ".join(words)]))[1]) == sum(reference_count(words))
+
+
+def test_words_learnt_in_groups_give_the_same_ids(library, monkeypatch):
+    import pyarrow as pa
+    texts = pa.array(["one two, three; 4 five's É 中文 <|x|> " * 3, None, "", "six seven eight nine ten\televen"])
+    asked = []
+    whole = bpe.BatchEncoder(bpe.default_tokenizer_path()).encode(texts)
+    monkeypatch.setattr(bpe, "LEARNT_AT_ONCE", 3)
+    enc = bpe.BatchEncoder(bpe.default_tokenizer_path())
+    word_ids = enc._word_ids
+    enc._word_ids = lambda words: asked.append(len(words)) or word_ids(words)
+    ids, counts = enc.encode(texts)
+    assert ids.tolist() == whole[0].tolist() and counts.tolist() == whole[1].tolist()
+    assert len(asked) > 1 and max(asked) <= 3
