@@ -26,7 +26,7 @@ def clean_text(col) -> Column:
 
     An empty string stays empty (only NULL is defaulted)."""
     c = _c(col)
-    return F.coalesce(F.lower(F.trim(F.regexp_replace(c, r"[^a-zA-Z ]", ""))),
+    return F.coalesce(F.lower(F.trim(F.regexp_replace(c, r"[^a-zA-Z ]+", ""))),
                       F.lit("unknown"))
 
 
@@ -48,14 +48,15 @@ def trim_chars(col, chars: str = "unknown") -> Column:
 
 def clean_id_text(col) -> Column:
     """Drop every character that is not a letter or a digit."""
-    return F.regexp_replace(_c(col), r"[^A-Za-z0-9]", "")
+    return F.regexp_replace(_c(col), r"[^A-Za-z0-9]+", "")
 
 
 # Shape guards.  try_* casts report failure through exceptions inside the
 # JVM, which costs microseconds per row; a regex test first keeps the common
 # "does not apply" case on the fast path.  Each guard accepts a superset of
 # the strings the cast can parse, so results are unchanged.
-_DECIMAL_SHAPE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# No part of it can give back what another needs: possessive, without groups.
+_DECIMAL_SHAPE = r"^\s*+[+-]?+(?:\d++\.?+\d*+|\.\d++)(?:[eE][+-]?+\d++)?+\s*$"
 
 
 def guarded_cast(col, to: str) -> Column:
@@ -88,7 +89,7 @@ def map_segment(col) -> Column:
 # ------------------------------------------------------------- numbers (NUM*)
 
 def _number_chars(c: Column) -> Column:
-    return F.regexp_replace(c, r"[^0-9.,]", "")
+    return F.regexp_replace(c, r"[^0-9.,]+", "")
 
 
 def normalize_decimal(col) -> Column:
@@ -106,7 +107,7 @@ def normalize_decimal(col) -> Column:
     pd = F.locate(".", s)
     return (
         F.when((pc > pd) & (pc > 0) & (pd > 0),
-               F.translate(F.regexp_replace(c, r"[^0-9.,!]", ""), ",.!", ".,."))
+               F.translate(F.regexp_replace(c, r"[^0-9.,!]+", ""), ",.!", ".,."))
         .when((pc > 0) & (pd == 0) & (F.length(s) - pc <= 2), F.replace(s, F.lit(","), F.lit(".")))
         .when((pd > 0) & (pc == 0) & (F.length(s) - pd > 2), F.replace(s, F.lit("."), F.lit(",")))
         .otherwise(s)
@@ -171,10 +172,17 @@ def sign_int(col) -> Column:
 # --------------------------------------------------------------- dates (DAT*)
 
 _ISO_PREFIX = r"^\d{4}-\d{1,2}-\d{1,2}"
-_SLASH_ISO = r"^\d{4}/\d{1,2}/\d{1,2}$"
+_SLASH_ISO = r"^\d{4}/\d{1,2}/\d{1,2}\z"
 _SERIAL = r"^-?\d+(\.\d+)?$"
-_US_DATE = r"^\d{1,2}/\d{1,2}/\d{4}$"
-_DAY_MON_YEAR = r"^\d{1,2} [A-Za-z]{3,9} \d{4}$"
+_US_DATE = r"^\d{1,2}/\d{1,2}/\d{4}\z"
+_DAY_MON_YEAR = r"^\d{1,2} [A-Za-z]{3} \d{4}\z"
+_MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec"
+
+
+def _date_of(year: Column, month: Column, day: Column) -> Column:
+    """Digits of a year of four, a month and a day -> date.  The cast reads ISO
+    text directly, where a pattern is walked by a formatter."""
+    return F.concat_ws("-", year, month, day).try_cast("date")
 
 
 def parse_date(col) -> Column:
@@ -182,16 +190,23 @@ def parse_date(col) -> Column:
 
     Forms: ISO date (with an optional time part), yyyy/mm/dd, mm/dd/yyyy,
     dd Mon yyyy, and spreadsheet serial days counted from 1899-12-30.
-    Each branch is guarded so a serial number is never read as a year."""
+    A form is told from the place of its first separator, and only the pattern
+    of that form is then tested, so a serial number is never read as a year."""
     s = F.trim(_c(col))
-    serial_days = F.round(F.when(s.rlike(_SERIAL), s.try_cast("decimal(20,6)")), 0)
-    return F.coalesce(
-        F.when(s.rlike(_ISO_PREFIX), s.try_cast("date")),
-        F.when(s.rlike(_SLASH_ISO), F.try_to_date(s, "yyyy/M/d")),
-        F.when(s.rlike(_US_DATE), F.try_to_date(s, "M/d/yyyy")),
-        F.when(s.rlike(_DAY_MON_YEAR), F.try_to_date(s, "d MMM yyyy")),
-        F.when(s.rlike(_SERIAL) & serial_days.between(-693593, 2958465),
-               F.date_add(F.lit(EXCEL_EPOCH).cast("date"), serial_days.try_cast("int"))),
+    slash, space = F.locate("/", s), F.locate(" ", s)
+    first, last = F.substring_index(s, "/", 1), F.substring_index(s, "/", -1)
+    middle = F.substring_index(F.substring_index(s, "/", 2), "/", -1)
+    name = F.lower(F.substring_index(F.substring_index(s, " ", 2), " ", -1))
+    month = F.floor((F.nullif(F.position(name, F.lit(_MONTHS)), F.lit(0)) + 3) / 4).cast("string")
+    serial_days = F.round(s.try_cast("decimal(20,6)"), 0)
+    return (
+        F.when(F.substring(s, 5, 1) == "-", F.when(s.rlike(_ISO_PREFIX), s.try_cast("date")))
+        .when(slash == 5, F.when(s.rlike(_SLASH_ISO), _date_of(first, middle, last)))
+        .when(slash.between(2, 3), F.when(s.rlike(_US_DATE), _date_of(last, first, middle)))
+        .when(space.between(2, 3), F.when(s.rlike(_DAY_MON_YEAR) & month.isNotNull(),
+                                          _date_of(F.substring_index(s, " ", -1), month, F.substring_index(s, " ", 1))))
+        .when(s.rlike(_SERIAL), F.when(serial_days.between(-693593, 2958465),
+                                       F.date_add(F.lit(EXCEL_EPOCH).cast("date"), serial_days.try_cast("int"))))
     )
 
 
@@ -227,7 +242,11 @@ _PY_WS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000
 
 
 def py_strip(col) -> Column:
-    return F.regexp_replace(_c(col), rf"^{_PY_WS}+|{_PY_WS}+$", "")
+    """Strip what Python's ``str.strip`` does.  A text between two visible ASCII
+    characters has nothing to strip and meets no pattern."""
+    c = _c(col)
+    ends = F.ascii(F.left(c, F.lit(1))).between(33, 126) & F.ascii(F.right(c, F.lit(1))).between(33, 126)
+    return F.when(ends, c).otherwise(F.regexp_replace(c, rf"^{_PY_WS}+|{_PY_WS}+$", ""))
 
 
 def fix_mojibake(col) -> Column:
@@ -236,11 +255,13 @@ def fix_mojibake(col) -> Column:
     Equivalent to ``s.encode('cp1252').decode('utf-8').strip()`` with a
     fallback to ``s.strip()`` when either step fails, built from native
     expressions: the 27 cp1252-only characters are mapped back to their byte
-    values, the string must then be Latin-1, and the bytes must be UTF-8."""
+    values, the string must then be Latin-1, and the bytes must be UTF-8.  ASCII
+    text is what it was, so it is only stripped."""
     c = _c(col)
+    ascii_only = F.octet_length(c) == F.char_length(c)
     mapped = F.translate(c, _CP_SRC, _CP_DST)
     encodable = ~c.rlike(r"[\u0080-\u009f]") & mapped.rlike(r"^[\x00-\xff]*$")
     as_bytes = F.encode(mapped, "ISO-8859-1")
     repaired = F.try_validate_utf8(as_bytes.cast("string"))
-    fixed = F.when(encodable, repaired)
+    fixed = F.when(ascii_only, c).when(encodable, repaired)
     return F.when(c.isNotNull(), py_strip(F.coalesce(fixed, c)))

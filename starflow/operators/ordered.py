@@ -9,6 +9,9 @@ small table of one row per (entity, day), built from the input with a partial
 distinct days, not by the number of rows, so a key holding a third of all rows
 is spread over as many tasks as it has days.  The input is read by both
 branches: materialise it first if it is costly to compute.
+
+The forward fill, which runs over all rows, does so for hot keys only: a sketch
+tells which they are, and the rows of any other key stay together in one window.
 """
 
 from __future__ import annotations
@@ -21,6 +24,10 @@ from pyspark.sql import functions as F
 from .joins import null_safe_keys
 
 
+# A key of more rows than this is hot.
+HOT_ROWS = 500_000
+
+
 def _asc(c: str) -> Column:
     return F.col(c).asc_nulls_last()
 
@@ -33,12 +40,23 @@ def _with_day(df: DataFrame, col: str, prefix: str) -> tuple[DataFrame, list[str
                            day: F.coalesce(F.col(col).cast("date"), F.lit("1970-01-01").cast("date"))}), [undated, day]
 
 
+def _is_hot(rows: DataFrame, kcols: Sequence[str]) -> Column:
+    """Whether the row's key holds more than ``HOT_ROWS`` rows.  Of a sketch
+    that sends one row per task; it misses no key of more than 1/4,000 of all
+    rows besides.  Only the balance depends on it: a key that is taken for hot,
+    or not, has the same result."""
+    key = F.xxhash64(*kcols)
+    top = F.call_function("approx_top_k", key, F.lit(1000), F.lit(10_000))
+    hot = F.transform(F.filter(top, lambda x: x["count"] > HOT_ROWS), lambda x: x["item"])
+    return F.coalesce(F.array_contains(rows.agg(hot.alias("hot")).scalar(), key), F.lit(False))
+
+
 def forward_fill(df: DataFrame, value_col: str, keys: Sequence[str], order_col: str,
                  tiebreak: str, out_col: str | None = None, bucket_col: str | None = None) -> DataFrame:
     """Last non-NULL ``value_col`` per ``keys`` ordered by (order_col, tiebreak),
     rows from the start up to the current row (NULLs of order_col sort last).
 
-    ``bucket_col`` (default: ``order_col``) is the split unit for skew; it
+    ``bucket_col`` (default: ``order_col``) is the split unit of hot keys; it
     must be monotone in ``order_col``.  The last value of each day needs no
     window: it is one aggregate over the narrow input."""
     out_col = out_col or value_col
@@ -48,18 +66,23 @@ def forward_fill(df: DataFrame, value_col: str, keys: Sequence[str], order_col:
     empty = F.col(value_col).isNull()
     whole = df.withColumn("_ff_row", F.when(empty, F.struct(*df.columns)))
     rows, kcols = null_safe_keys(whole, list(keys), "_ffk")
+    hot = _is_hot(rows, kcols)
     rows, day = _with_day(rows, bucket_col, "_ff")
     part = kcols + day
-    rows = rows.select(*part, *dict.fromkeys([order_col, tiebreak, value_col]), "_ff_row")
+    # All rows of a key that is not hot are of one unit.
+    none = {day[0]: F.lit(False), day[1]: F.lit("1970-01-01").cast("date")}
+    rows = rows.withColumn("_ff_hot", hot).select(
+        *kcols, *[F.when(F.col("_ff_hot"), F.col(d)).otherwise(none[d]).alias(d) for d in day], "_ff_hot",
+        *dict.fromkeys([order_col, tiebreak, value_col]), "_ff_row")
 
     w_in = (Window.partitionBy(*part).orderBy(_asc(order_col), F.col(tiebreak).asc())
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     filled_in = (rows.withColumn("_ff_in", F.last(value_col, ignorenulls=True).over(w_in))
                  .filter(F.col("_ff_row").isNotNull()).select(*part, "_ff_row", "_ff_in"))
-    # Last value of each (key, day): one row per day, map-side combined.  Rows
-    # without a value have a NULL order, which max_by passes over.
+    # Last value of each (hot key, day): one row per day, map-side combined.
+    # Rows without a value have a NULL order, which max_by passes over.
     at = F.when(F.col(value_col).isNotNull(), F.struct(F.col(order_col), F.col(tiebreak)))
-    tails = rows.groupBy(*part).agg(F.max_by(F.col(value_col), at).alias("_ff_tail"))
+    tails = rows.filter("_ff_hot").groupBy(*part).agg(F.max_by(F.col(value_col), at).alias("_ff_tail"))
     w_carry = (Window.partitionBy(*kcols).orderBy(*day)
                .rowsBetween(Window.unboundedPreceding, -1))
     carried = (tails.withColumn("_ff_carry", F.last("_ff_tail", ignorenulls=True).over(w_carry))

@@ -9,6 +9,7 @@ recomputing from raw.  With persistence 'none' nothing runs until an action.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,14 +44,22 @@ def persist(df: DataFrame, mode: str) -> DataFrame:
     return df
 
 
+# Staged columns that neither the fill nor the rules read.
+CARRIED_COLUMNS = ("customer_name", "product_name", "category", "segment", "order_channel", "discount", "tax", "_load_id")
+
+
 def stage_sales(raw: DataFrame, money: str = "reference", allow_returns: bool = False,
-                product_name: str = "reference", persist_mode: str = "none") -> DataFrame:
+                product_name: str = "reference", persist_mode: str = "none",
+                carried: Sequence[str] = CARRIED_COLUMNS) -> DataFrame:
     """stg_sales: clean, type, forward-fill unit price per product, flag.
 
     ``money``: 'reference' (normalize_decimal then cast; thousands
     separators give NULL) or 'corrected' (parse_money).
     ``product_name``: 'reference' (trim of the character set 'unknown') or
-    'clean' (clean_name)."""
+    'clean' (clean_name).
+    ``carried``: those of ``CARRIED_COLUMNS`` that are asked for.  A table that
+    is written keeps all its columns, whoever reads it, so Spark cannot leave
+    out what is not: filling and flagging take whole rows of all others."""
     price_txt = C.normalize_decimal("unit_price") if money == "reference" else C.parse_money("unit_price")
     amount = (C.to_decimal(C.normalize_decimal("amount")) if money == "reference"
               else C.parse_money("amount"))
@@ -73,7 +82,7 @@ def stage_sales(raw: DataFrame, money: str = "reference", allow_returns: bool =
         C.parse_percent("discount").alias("discount"),
         C.parse_percent("tax").alias("tax"),
         "_load_id", "_row_id",
-    )
+    ).drop(*[c for c in CARRIED_COLUMNS if c not in carried])
     # WIN1: carry the last known price text forward per product by date.
     # The fill reads its input in two branches (rows and per-day tails) that
     # Spark prunes differently, so the exchange is not reused; materialising
@@ -84,13 +93,13 @@ def stage_sales(raw: DataFrame, money: str = "reference", allow_returns: bool =
     typed = priced.select(
         F.col("order_id_t").try_cast("bigint").alias("order_id"),
         F.col("customer_id_t").try_cast("bigint").alias("customer_id"),
-        "customer_name",
         F.col("product_id_t").try_cast("bigint").alias("product_id"),
-        "product_name", "country", "order_date", "ship_date", "quantity",
+        "country", "order_date", "ship_date", "quantity",
         (C.to_decimal("unit_price_f") if money == "reference" else F.col("unit_price_f")).alias("unit_price"),
-        "amount", "category", "segment", "order_channel", "discount", "tax", "_load_id", "_row_id",
+        "amount", "_row_id", *carried,
     )
-    return flag(typed, sales_rules(allow_returns)).select(*STAGED_COLUMNS)
+    staged = flag(typed, sales_rules(allow_returns))
+    return staged.select(*[c for c in STAGED_COLUMNS if c in staged.columns])
 
 
 def dedupe_sales(staged: DataFrame, loads: DataFrame) -> DataFrame:

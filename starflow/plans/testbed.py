@@ -134,67 +134,110 @@ def country_text(nk: Column, name: Column, variant: Column) -> Column:
             .when(variant == 2, F.lower(code)).otherwise(code))
 
 
+def _whole(x: Column) -> Column:
+    """A double to the nearest whole number, halves away from zero.  Spark's
+    ``round`` goes through a decimal of the number's digits, which costs more
+    than the rest of a line's arithmetic; it is asked only where the number is
+    not plainly next to a whole one."""
+    near = F.floor(x + 0.5)
+    return F.when(F.abs(x - near) < 0.25, near).otherwise(F.round(x).cast("bigint"))
+
+
+def _digits(d: Column) -> Column:
+    """'yyyyMMdd' of a date of the years 1000 to 9999, else NULL.  A few string
+    operations on integers, where a formatter walks a pattern."""
+    y = F.year(d)
+    return F.when(y.between(1000, 9999), _s(y * 10000 + F.month(d) * 100 + F.dayofmonth(d)))
+
+
+def _date_text(d: Column, digits: Column, pattern: str) -> Column:
+    """``date_format`` of a date for the patterns of digits used here."""
+    y, m, day = F.substring(digits, 1, 4), F.substring(digits, 5, 2), F.substring(digits, 7, 2)
+    parts = {"yyyy-MM-dd": (y, F.lit("-"), m, F.lit("-"), day), "MM/dd/yyyy": (m, F.lit("/"), day, F.lit("/"), y),
+             "yyyy/MM/dd": (y, F.lit("/"), m, F.lit("/"), day), "yyyyMM": (y, m),
+             "M/d/yyyy": (F.ltrim(m, F.lit("0")), F.lit("/"), F.ltrim(day, F.lit("0")), F.lit("/"), y)}
+    return F.when(digits.isNotNull(), F.concat(*parts[pattern])).otherwise(F.date_format(d, pattern))
+
+
+def _order_texts(t: dict[str, DataFrame]) -> DataFrame:
+    """The columns of an order that its lines repeat, rendered once per
+    customer or order."""
+    o, c, n = t["orders"], t["customer"], t["nation"]
+    nk, key, name = F.col("c_nationkey"), F.col("c_custkey"), F.col("c_name")
+    c = c.join(n.select("n_nationkey", "n_name"), nk == F.col("n_nationkey"), "left").select(
+        "c_custkey",
+        F.when(key % 3 == 0, name).when(key % 3 == 1, F.concat(F.lit(" "), F.upper(name), F.lit("  ")))
+        .otherwise(F.replace(name, F.lit("#"), F.lit("  #  "))).alias("customer_name"),
+        country_text(nk, F.col("n_name"), key % 4).alias("country"),
+        _case(F.col("c_mktsegment"), SEGMENTS).alias("segment"),
+        local_currency(nk).alias("currency"))
+    o = o.withColumn("od", F.col("o_orderdate").cast("date")).withColumn("o_digits", _digits(F.col("od")))
+    k, ck, od, digits = F.col("o_orderkey"), F.col("o_custkey"), F.col("od"), F.col("o_digits")
+    cks = _s(ck)
+    return o.join(c, ck == F.col("c_custkey"), "left").select(
+        "o_orderkey",
+        F.when(k % 4 == 0, _date_text(od, digits, "yyyy-MM-dd")).when(k % 4 == 1, _date_text(od, digits, "MM/dd/yyyy"))
+        .when(k % 4 == 2, F.date_format(od, "dd MMM yyyy")).otherwise(_s(_serial(od))).alias("order_date"),
+        F.when(ck % 3 == 0, cks).when(ck % 3 == 1, F.concat(F.lit("#"), cks))
+        .otherwise(F.concat(cks, F.lit(" "))).alias("customer_id"),
+        "customer_name", "country",
+        F.when((F.year(od) >= 1999) & (ck % 5 == 0), F.lit("Corp.")).otherwise(F.col("segment")).alias("segment"),
+        "currency", _case(F.col("o_orderpriority"), CHANNELS).alias("order_channel"))
+
+
 def sales_lines(t: dict[str, DataFrame]) -> DataFrame:
     """All sales lines with every export column rendered as text.
 
-    Two projections: integers and dates first, text second, so each value
-    is computed once and the generated code stays small."""
-    li, o, c, p, s, n = (t[x] for x in ("lineitem", "orders", "customer", "part", "supplier", "nation"))
-    # Rendering and parsing are the costly part: deal the narrow lines out to
-    # all cores first, however few row groups their file has, and to more
-    # tasks the more lines there are.  By order, so that a join to the orders
-    # by shuffle finds them in place.
+    What a customer, a part or an order says is rendered there, once, and not
+    for each of its lines.  Of the lines' own columns, integers and dates come
+    first and text second, so each value is computed once and the generated
+    code stays small."""
+    li, p, s = t["lineitem"], t["part"], t["supplier"]
+    pk = F.col("p_partkey")
+    p = p.select("p_partkey", F.when(pk % 13 == 0, F.lit(None).cast("string"))
+                 .when(pk % 3 == 0, F.col("p_name")).when(pk % 3 == 1, F.upper("p_name"))
+                 .otherwise(F.concat(F.lit(" "), F.col("p_name"))).alias("product_name"),
+                 _case(F.col("p_type"), CATEGORIES).alias("category"))
+    # Rendering and parsing are the costly part: the narrow lines are dealt out
+    # to all cores before it, however few row groups their file has, and to
+    # more tasks the more lines there are.  By order and last of all joins, so
+    # that the join to the orders by shuffle finds them in place and the tasks
+    # that render are these, not ones sized by the bytes of narrow lines.
     parts = max(int(t.spark.conf.get("spark.sql.shuffle.partitions")), li.count() // LINES_PER_TASK)
-    li = li.repartition(parts, "l_orderkey")
-    j = (li.join(o, li["l_orderkey"] == o["o_orderkey"], "left")
-           .join(c, o["o_custkey"] == c["c_custkey"], "left")
-           .join(p, li["l_partkey"] == p["p_partkey"], "left")
-           .join(s, li["l_suppkey"] == s["s_suppkey"], "left")
-           .join(n.select("n_nationkey", "n_name"), c["c_nationkey"] == F.col("n_nationkey"), "left"))
+    lines = (li.join(p, li["l_partkey"] == p["p_partkey"], "left")
+             .join(s.select("s_suppkey", F.col("s_name").alias("sales_rep")), li["l_suppkey"] == F.col("s_suppkey"), "left")
+             .drop("p_partkey", "s_suppkey").repartition(parts, "l_orderkey"))
+    j = lines.join(_order_texts(t), F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    carried = ["order_date", "customer_id", "customer_name", "country", "segment", "product_name", "category",
+               "currency", "sales_rep", "order_channel"]
     base = j.select(
-        F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("ln"),
-        F.col("l_partkey").alias("pk"), F.col("o_custkey").alias("ck"),
-        F.col("o_orderdate").cast("date").alias("od"), F.col("l_shipdate").cast("date").alias("sd"),
-        "l_shipdate", "l_suppkey", "l_returnflag", "l_linestatus", "c_name", "c_nationkey", "n_name",
-        "c_mktsegment", "p_name", "p_type", "s_name", "o_orderpriority",
-        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
+        F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("ln"), F.col("l_partkey").alias("pk"),
+        F.col("l_shipdate").cast("date").alias("sd"), "l_shipdate", "l_suppkey", "l_returnflag", "l_linestatus",
+        _digits(F.col("l_shipdate").cast("date")).alias("digits"),
+        _whole(F.col("l_extendedprice") * 100).alias("cents"),
         F.col("l_quantity").cast("bigint").alias("qty"),
-        F.round(F.col("l_quantity") * 100).cast("bigint").alias("qty100"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("disc"),
-        F.round(F.col("l_tax") * 100).cast("int").alias("tax"),
+        _whole(F.col("l_quantity") * 100).alias("qty100"),
+        _whole(F.col("l_discount") * 100).cast("int").alias("disc"),
+        _whole(F.col("l_tax") * 100).cast("int").alias("tax_pct"), *carried,
     ).withColumn("unit_cents", F.floor(F.col("cents") / F.col("qty")).cast("bigint"))
-    k, ln, pk, ck = F.col("k"), F.col("ln"), F.col("pk"), F.col("ck")
-    od, sd = F.col("od"), F.col("sd")
-    ks, pks, cks = _s(k), _s(pk), _s(ck)
-    qty, disc, tax = F.col("qty"), F.col("disc"), F.col("tax")
+    k, ln, pk = F.col("k"), F.col("ln"), F.col("pk")
+    sd, digits = F.col("sd"), F.col("digits")
+    ks, pks = _s(k), _s(pk)
+    qty, disc, tax = F.col("qty"), F.col("disc"), F.col("tax_pct")
     neg = F.when(F.col("l_returnflag") == "R", F.lit("-")).otherwise(F.lit(""))
     cols = {
         "order_id": (F.when(k % 4 == 0, ks).when(k % 4 == 1, F.concat(F.lit("#"), ks))
                      .when(k % 4 == 2, F.concat(F.lit(" "), ks, F.lit(" ")))
                      .when(k % 20 == 3, F.concat(F.lit("ORD-"), ks)).otherwise(F.concat(ks, F.lit(".")))),
-        "order_date": (F.when(k % 97 == 0, F.lit("n/a"))
-                       .when(k % 4 == 0, F.date_format(od, "yyyy-MM-dd"))
-                       .when(k % 4 == 1, F.date_format(od, "MM/dd/yyyy"))
-                       .when(k % 4 == 2, F.date_format(od, "dd MMM yyyy"))
-                       .otherwise(_s(_serial(od)))),
+        "order_date": F.when(k % 97 == 0, F.lit("n/a")).otherwise(F.col("order_date")),
         "ship_date": (F.when(ln % 4 == 0, F.date_format(F.col("l_shipdate"), "yyyy-MM-dd HH:mm:ss"))
-                      .when(ln % 4 == 1, F.date_format(sd, "M/d/yyyy"))
-                      .when(ln % 4 == 2, F.date_format(sd, "yyyy/MM/dd"))
+                      .when(ln % 4 == 1, _date_text(sd, digits, "M/d/yyyy"))
+                      .when(ln % 4 == 2, _date_text(sd, digits, "yyyy/MM/dd"))
                       .otherwise(F.concat(_s(_serial(sd)), F.lit(".0")))),
-        "customer_id": (F.when(ck % 3 == 0, cks).when(ck % 3 == 1, F.concat(F.lit("#"), cks))
-                        .otherwise(F.concat(cks, F.lit(" ")))),
-        "customer_name": (F.when(ck % 3 == 0, F.col("c_name"))
-                          .when(ck % 3 == 1, F.concat(F.lit(" "), F.upper("c_name"), F.lit("  ")))
-                          .otherwise(F.replace(F.col("c_name"), F.lit("#"), F.lit("  #  ")))),
-        "country": country_text(F.col("c_nationkey"), F.col("n_name"), ck % 4),
-        "segment": F.when((F.year(od) >= 1999) & (ck % 5 == 0), F.lit("Corp."))
-                    .otherwise(_case(F.col("c_mktsegment"), SEGMENTS)),
+        **{c: F.col(c) for c in ("customer_id", "customer_name", "country", "segment")},
         "product_id": (F.when(pk % 3 == 0, pks).when(pk % 3 == 1, F.concat(F.lit("#"), pks))
                        .otherwise(F.concat(pks, F.lit(" ")))),
-        "product_name": (F.when(pk % 13 == 0, F.lit(None).cast("string"))
-                         .when(pk % 3 == 0, F.col("p_name")).when(pk % 3 == 1, F.upper("p_name"))
-                         .otherwise(F.concat(F.lit(" "), F.col("p_name")))),
-        "category": _case(F.col("p_type"), CATEGORIES),
+        **{c: F.col(c) for c in ("product_name", "category")},
         "quantity": (F.when(ln % 3 == 0, F.concat(neg, _s(qty)))
                      .when(ln % 3 == 1, F.concat(neg, _s(qty), F.lit(".0")))
                      .otherwise(F.concat(F.lit(" "), neg, _s(qty)))),
@@ -202,15 +245,13 @@ def sales_lines(t: dict[str, DataFrame]) -> DataFrame:
         "discount": (F.when(ln % 3 == 0, F.concat(_s(disc), F.lit("%")))
                      .when(ln % 3 == 1, F.concat(F.lit("0."), F.lpad(_s(disc), 2, "0")))),
         "amount": money_text(F.col("cents"), k % 4),
-        "currency": local_currency(F.col("c_nationkey")),
-        "sales_rep": F.col("s_name"),
-        "order_channel": _case(F.col("o_orderpriority"), CHANNELS),
+        **{c: F.col(c) for c in ("currency", "sales_rep", "order_channel")},
         "tax": (F.when(ln % 3 == 1, F.concat(_s(tax), F.lit("%")))
                 .when(ln % 3 == 2, F.concat(F.lit("0."), F.lpad(_s(tax), 2, "0")))),
-        "_load_id": F.date_format(sd, "yyyyMM"),
+        "_load_id": _date_text(sd, digits, "yyyyMM"),
         "_row_id": F.md5(F.concat_ws("|", ks, _s(ln), pks, _s(F.col("l_suppkey")), _s(F.col("qty100")),
                                      _s(F.col("cents")), _s(disc), _s(tax), F.col("l_returnflag"),
-                                     F.col("l_linestatus"), F.date_format(sd, "yyyy-MM-dd"))),
+                                     F.col("l_linestatus"), _date_text(sd, digits, "yyyy-MM-dd"))),
         "_v": ln % 2,
     }
     return base.select(*[v.alias(name) for name, v in cols.items()])

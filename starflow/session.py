@@ -97,14 +97,15 @@ def work_dir(spark: SparkSession, name: str) -> str:
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: a lineage
-    cut that survives lost executors and keeps column pruning and pushdown."""
+    cut that survives lost executors and keeps column pruning and pushdown.
+    Row ids hardly repeat: a dictionary of them is built and thrown away."""
     spark = df.sparkSession
     path = work_dir(spark, name)
     # Nothing reads the shuffle files of this job once its table is written.
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").option("parquet.enable.dictionary#_row_id", "false").parquet(path)
     finally:
         if before is None:
             spark.conf.unset(_CLEANUP)
