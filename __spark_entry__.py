@@ -57,14 +57,20 @@ def _t(spark: SparkSession, sf_dir: str):
 PERSIST = os.environ.get("STARFLOW_PERSIST", "table")
 
 
-def _staged(spark, sf_dir, persist=False):
+def _staged(spark, sf_dir, persist=False, carried=P.CARRIED_COLUMNS):
     t = _t(spark, sf_dir)
-    st = P.stage_sales(T.raw_sales(t), persist_mode=PERSIST)
+    st = P.stage_sales(T.raw_sales(t), persist_mode=PERSIST, carried=carried)
     return t, (P.persist(st, PERSIST) if persist else st)
 
 
-def _conformed(spark, sf_dir, persist=False):
-    t, st = _staged(spark, sf_dir, persist)
+def _staged_clean(spark, sf_dir, carried=P.CARRIED_COLUMNS):
+    """For queries that read the clean rows several times, and only these."""
+    t, st = _staged(spark, sf_dir, carried=carried)
+    return t, P.persist(Q.split(st)[0], PERSIST)
+
+
+def _conformed(spark, sf_dir, persist=False, persist_staged=False):
+    t, st = _staged(spark, sf_dir, persist_staged)
     dd = P.dedupe_sales(st, T.loads(t))
     countries, fx = P.staged_countries(t), P.staged_fx(t)
     conf = P.conform_sales(dd, countries, fx)
@@ -91,7 +97,7 @@ def q_stage_sales(spark, sf_dir):
 
 
 def q_quarantine_summary(spark, sf_dir):
-    return R.quarantine_summary(_staged(spark, sf_dir)[1])
+    return R.quarantine_summary(_staged(spark, sf_dir, carried=())[1])
 
 
 def q_dedupe_latest(spark, sf_dir):
@@ -129,7 +135,7 @@ def q_point_in_time_fact(spark, sf_dir):
 
 def q_calendar(spark, sf_dir):
     # Conforming keeps every deduped row, so its first order date is theirs.
-    t, st = _staged(spark, sf_dir, persist=True)
+    t, st = _staged(spark, sf_dir, persist=True, carried=["_load_id"])
     return calendar_dim(P.dedupe_sales(st, T.loads(t)), st)
 
 
@@ -143,16 +149,16 @@ def q_unknown_revenue(spark, sf_dir):
 
 
 def q_chk_accepted_segment(spark, sf_dir):
-    return Q.accepted_values(_staged(spark, sf_dir)[1], "segment", ACCEPTED_SEGMENTS).select("_row_id", "segment")
+    return Q.accepted_values(_staged(spark, sf_dir, carried=["segment"])[1], "segment", ACCEPTED_SEGMENTS).select("_row_id", "segment")
 
 
 def q_chk_unmapped_country(spark, sf_dir):
-    t, st = _staged(spark, sf_dir)
+    t, st = _staged(spark, sf_dir, carried=())
     return Q.unmapped_country(st, P.staged_countries(t)).select("_row_id", "country")
 
 
 def q_chk_ship_before_order(spark, sf_dir):
-    return Q.ship_before_order(_staged(spark, sf_dir)[1]).select("_row_id")
+    return Q.ship_before_order(_staged(spark, sf_dir, carried=())[1]).select("_row_id")
 
 
 def q_chk_converted_null(spark, sf_dir):
@@ -189,11 +195,11 @@ def q_column_profile(spark, sf_dir):
 
 
 def q_numeric_describe(spark, sf_dir):
-    return PR.numeric_describe(_staged(spark, sf_dir)[1], ["quantity", "unit_price", "amount", "discount", "tax"])
+    return PR.numeric_describe(_staged(spark, sf_dir, carried=["discount", "tax"])[1], ["quantity", "unit_price", "amount", "discount", "tax"])
 
 
 def q_distinct_values(spark, sf_dir):
-    return PR.distinct_values(_staged(spark, sf_dir)[1], "country")
+    return PR.distinct_values(_staged(spark, sf_dir, carried=())[1], "country")
 
 
 def q_first_last(spark, sf_dir):
@@ -207,7 +213,7 @@ def _cutoff(loads):
 
 
 def q_incremental_upsert(spark, sf_dir):
-    t, st = _staged(spark, sf_dir, persist=True)
+    t, st = _staged_clean(spark, sf_dir)
     loads = T.loads(t)
     countries, fx = P.staged_countries(t), P.staged_fx(t)
     early = loads.filter(F.col("inserted_at") < _cutoff(loads))
@@ -218,9 +224,9 @@ def q_incremental_upsert(spark, sf_dir):
 
 
 def q_scd2_snapshot(spark, sf_dir):
-    t, st = _staged(spark, sf_dir, persist=True)
+    t, st = _staged_clean(spark, sf_dir, ["customer_name", "segment", "_load_id"])
     loads = T.loads(t)
-    clean = (st.filter(~F.col("is_quarantined"))
+    clean = (st
              .join(loads.select(F.col("load_id").alias("_load_id"), "inserted_at"), "_load_id"))
     cut = _cutoff(loads)
     checks = ["customer_name", "segment", "country"]
@@ -267,7 +273,7 @@ def q_chk_undivided_price(spark, sf_dir):
 
 
 def q_split_clean(spark, sf_dir):
-    return Q.split(_staged(spark, sf_dir)[1])[0].select("_row_id", "order_id", "product_id")
+    return Q.split(_staged(spark, sf_dir, carried=())[1])[0].select("_row_id", "order_id", "product_id")
 
 
 def q_drop_exact(spark, sf_dir):
@@ -289,7 +295,7 @@ def q_fx_merge(spark, sf_dir):
 def q_incremental_write(spark, sf_dir):
     """The conformed table on disk: the first loads, then the loads of the
     last year merged by line, twice as after a restart."""
-    t, st = _staged(spark, sf_dir, persist=True)
+    t, st = _staged_clean(spark, sf_dir)
     loads = T.loads(t)
     countries, fx = P.staged_countries(t), P.staged_fx(t)
     early = loads.filter(F.col("inserted_at") < _cutoff(loads))
@@ -320,10 +326,10 @@ def q_incremental_moves(spark, sf_dir):
 def q_asof_fx(spark, sf_dir):
     """Clean sales at the latest quote of their currency; quotes come in
     bursts with weeks between them, and half a year old ones don't count."""
-    t, st = _staged(spark, sf_dir, persist=True)
+    t, st = _staged_clean(spark, sf_dir, ())
     quotes = T.fx_quotes(t).filter(F.day("actual_date") <= 6).filter(
         ~(F.col("currency").isin("EUR", "GBP") & (F.month("actual_date") > 4)))
-    rows = convert_asof(st.filter(~F.col("is_quarantined")), P.staged_countries(t), quotes, within="180 days")
+    rows = convert_asof(st, P.staged_countries(t), quotes, within="180 days")
     return rows.select("_row_id", "country", "currency", "order_date", "actual_date", "rate", "amount_usd")
 
 
@@ -350,7 +356,7 @@ def q_scd2_price_band(spark, sf_dir):
 
 def q_check_suite(spark, sf_dir):
     """Every declared check of every table, 30 hours after the last load."""
-    t, st, countries, fx, conf = _conformed(spark, sf_dir, persist=True)
+    t, st, countries, fx, conf = _conformed(spark, sf_dir, persist=True, persist_staged=True)
     ld = T.loads(t)
     as_of = ld.agg(F.max("inserted_at") + F.expr("INTERVAL 8 HOURS")).scalar()
     return D.all_tables(st, fx, countries, ld, conf, as_of)
