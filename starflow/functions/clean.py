@@ -21,19 +21,32 @@ def _c(col) -> Column:
 
 # ---------------------------------------------------------------- text (CLN*)
 
+def _without(c: Column, marks: str) -> Column:
+    """Drop each of a few characters: a search of bytes, no pattern."""
+    for mark in marks:
+        c = F.replace(c, F.lit(mark), F.lit(""))
+    return c
+
+
+def _only(c: Column, kept: str) -> Column:
+    """Drop every character outside the class ``kept``.  A search for what is
+    outside costs several times the test that nothing is, so it is made only
+    for texts that fail the test."""
+    return F.when(c.rlike(rf"^[{kept}]*+\z"), c).otherwise(F.regexp_replace(c, rf"[^{kept}]+", ""))
+
+
 def clean_text(col) -> Column:
     """Letters and spaces only, trimmed, lower case; NULL -> 'unknown'.
 
     An empty string stays empty (only NULL is defaulted)."""
-    c = _c(col)
-    return F.coalesce(F.lower(F.trim(F.regexp_replace(c, r"[^a-zA-Z ]+", ""))),
-                      F.lit("unknown"))
+    return F.coalesce(F.lower(F.trim(_only(_without(_c(col), "-."), "a-zA-Z "))), F.lit("unknown"))
 
 
 def clean_name(col) -> Column:
     """Collapse runs of whitespace, trim, lower case; NULL -> 'unknown'."""
-    c = _c(col)
-    return F.coalesce(F.lower(F.trim(F.regexp_replace(c, r"\s+", " "))),
+    c = F.replace(F.trim(_c(col)), F.lit("  "), F.lit(" "))
+    even = c.rlike(r"^\S++(?: \S++)*+\z")
+    return F.coalesce(F.lower(F.when(even, c).otherwise(F.trim(F.regexp_replace(c, r"\s+", " ")))),
                       F.lit("unknown"))
 
 
@@ -48,7 +61,7 @@ def trim_chars(col, chars: str = "unknown") -> Column:
 
 def clean_id_text(col) -> Column:
     """Drop every character that is not a letter or a digit."""
-    return F.regexp_replace(_c(col), r"[^A-Za-z0-9]+", "")
+    return _only(_without(_c(col), "# .-"), "A-Za-z0-9")
 
 
 # Shape guards.  try_* casts report failure through exceptions inside the
@@ -88,8 +101,13 @@ def map_segment(col) -> Column:
 
 # ------------------------------------------------------------- numbers (NUM*)
 
-def _number_chars(c: Column) -> Column:
-    return F.regexp_replace(c, r"[^0-9.,]+", "")
+_CURRENCY_CHARS = "$ EURABCDFGHIJKLMNOPQSTVWXYZ"
+
+
+def _number_chars(c: Column, also: str = "") -> Column:
+    """Digits, separators and the characters ``also``.  What stands before the
+    first of them is mostly a currency, which a trim takes off."""
+    return _only(F.ltrim(c, F.lit(_CURRENCY_CHARS)), f"0-9.,{also}")
 
 
 def normalize_decimal(col) -> Column:
@@ -107,7 +125,7 @@ def normalize_decimal(col) -> Column:
     pd = F.locate(".", s)
     return (
         F.when((pc > pd) & (pc > 0) & (pd > 0),
-               F.translate(F.regexp_replace(c, r"[^0-9.,!]+", ""), ",.!", ".,."))
+               F.translate(_number_chars(c, "!"), ",.!", ".,."))
         .when((pc > 0) & (pd == 0) & (F.length(s) - pc <= 2), F.replace(s, F.lit(","), F.lit(".")))
         .when((pd > 0) & (pc == 0) & (F.length(s) - pd > 2), F.replace(s, F.lit("."), F.lit(",")))
         .otherwise(s)
@@ -161,7 +179,14 @@ def parse_percent(col) -> Column:
 def parse_int(col) -> Column:
     """Integer text, rounding '12.6' -> 13 and '45322.0' -> 45322; junk -> NULL."""
     d = F.round(guarded_cast(col, "decimal(20,6)"), 0)
-    return F.when(d.between(-2147483648, 2147483647), d).try_cast("int")
+    plain, number = _plain_int(F.trim(_c(col)))
+    return F.when(plain, number).otherwise(F.when(d.between(-2147483648, 2147483647), d).try_cast("int"))
+
+
+def _plain_int(c: Column) -> tuple[Column, Column]:
+    """Whether a text is a whole number of up to six digits, also as '12.0',
+    and that number: most are, and need no decimal."""
+    return c.rlike(r"^-?[0-9]{1,6}(?:\.0)?\z"), F.substring_index(c, ".", 1).try_cast("int")
 
 
 def sign_int(col) -> Column:
@@ -199,14 +224,17 @@ def parse_date(col) -> Column:
     name = F.lower(F.substring_index(F.substring_index(s, " ", 2), " ", -1))
     month = F.floor((F.nullif(F.position(name, F.lit(_MONTHS)), F.lit(0)) + 3) / 4).cast("string")
     serial_days = F.round(s.try_cast("decimal(20,6)"), 0)
+    plain, number = _plain_int(s)
+    epoch = F.lit(EXCEL_EPOCH).cast("date")
     return (
         F.when(F.substring(s, 5, 1) == "-", F.when(s.rlike(_ISO_PREFIX), s.try_cast("date")))
         .when(slash == 5, F.when(s.rlike(_SLASH_ISO), _date_of(first, middle, last)))
         .when(slash.between(2, 3), F.when(s.rlike(_US_DATE), _date_of(last, first, middle)))
         .when(space.between(2, 3), F.when(s.rlike(_DAY_MON_YEAR) & month.isNotNull(),
                                           _date_of(F.substring_index(s, " ", -1), month, F.substring_index(s, " ", 1))))
+        .when(plain & (number >= -693593), F.date_add(epoch, number))
         .when(s.rlike(_SERIAL), F.when(serial_days.between(-693593, 2958465),
-                                       F.date_add(F.lit(EXCEL_EPOCH).cast("date"), serial_days.try_cast("int"))))
+                                       F.date_add(epoch, serial_days.try_cast("int"))))
     )
 
 

@@ -64,8 +64,8 @@ def stage_sales(raw: DataFrame, money: str = "reference", allow_returns: bool =
     amount = (C.to_decimal(C.normalize_decimal("amount")) if money == "reference"
               else C.parse_money("amount"))
     parsed = raw.select(
-        C.clean_id_text("order_id").alias("order_id_t"),
-        C.clean_id_text("customer_id").alias("customer_id_t"),
+        C.clean_id_text("order_id").try_cast("bigint").alias("order_id"),
+        C.clean_id_text("customer_id").try_cast("bigint").alias("customer_id"),
         C.clean_name("customer_name").alias("customer_name"),
         C.clean_id_text("product_id").alias("product_id_t"),
         (C.trim_chars("product_name") if product_name == "reference"
@@ -91,8 +91,7 @@ def stage_sales(raw: DataFrame, money: str = "reference", allow_returns: bool =
     priced = forward_fill(parsed, "unit_price_n", ["product_id_t"], "order_date", "_row_id",
                           out_col="unit_price_f")
     typed = priced.select(
-        F.col("order_id_t").try_cast("bigint").alias("order_id"),
-        F.col("customer_id_t").try_cast("bigint").alias("customer_id"),
+        "order_id", "customer_id",
         F.col("product_id_t").try_cast("bigint").alias("product_id"),
         "country", "order_date", "ship_date", "quantity",
         (C.to_decimal("unit_price_f") if money == "reference" else F.col("unit_price_f")).alias("unit_price"),

@@ -109,3 +109,51 @@ def test_written_tables_have_no_dictionary_of_row_ids(spark):
     encodings = {group.column(i).path_in_schema: group.column(i).encodings for i in range(2)}
     assert not any("DICTIONARY" in e for e in encodings["_row_id"])
     assert any("DICTIONARY" in e for e in encodings["k"])
+
+
+_ODD = ["17", "#17", " 17 ", "17.", "ORD-17", "", " ", "-", "é-7", "a\U0001f600b", "a\nb", " x  ", "�", "A  b", "  a   b  ",
+        "\ta \t b", " \ta", "a\x0bb", "Corp.", "Home-Office", "x \n", "x\n", "$1,234.50", "1.234,50", "EUR 1234.50", "€ 1.234,5", "!1.234,5!0",
+        "eur 12,5", "-12.50", "(12)", "USD", "1e3", "1.", ".5", "12.0", " -12.0 ", "-0.0", "12.6", "12.5", "-12.5", "007", "+7", "1234567",
+        "-999999", "999999.0", "12.00", "12 .0", "45322.0", "-5", "4.5e4", "2147483648", "\t7", "7\n", "٣", None]
+
+
+def test_patterns_are_searched_only_where_a_text_needs_it(spark):
+    df = spark.createDataFrame([(x,) for x in _ODD], "c string")
+    c = F.col("c")
+    number = F.regexp_replace(c, r"[^0-9.,]+", "")
+    pc, pd = F.locate(",", number), F.locate(".", number)
+    decimal = (F.when((pc > pd) & (pc > 0) & (pd > 0), F.translate(F.regexp_replace(c, r"[^0-9.,!]+", ""), ",.!", ".,."))
+               .when((pc > 0) & (pd == 0) & (F.length(number) - pc <= 2), F.replace(number, F.lit(","), F.lit(".")))
+               .when((pd > 0) & (pc == 0) & (F.length(number) - pd > 2), F.replace(number, F.lit("."), F.lit(",")))
+               .otherwise(number))
+    whole = F.round(C.guarded_cast(c, "decimal(20,6)"), 0)
+    s = F.trim(c)
+    days = F.round(F.when(s.rlike(r"^-?\d+(\.\d+)?$"), s.try_cast("decimal(20,6)")), 0)
+    serial = F.when(days.between(-693593, 2958465), F.date_add(F.lit("1899-12-30").cast("date"), days.try_cast("int")))
+    pairs = {
+        "id": (C.clean_id_text(c), F.regexp_replace(c, r"[^A-Za-z0-9]+", "")),
+        "text": (C.clean_text(c), F.coalesce(F.lower(F.trim(F.regexp_replace(c, r"[^a-zA-Z ]+", ""))), F.lit("unknown"))),
+        "name": (C.clean_name(c), F.coalesce(F.lower(F.trim(F.regexp_replace(c, r"\s+", " "))), F.lit("unknown"))),
+        "decimal": (C.normalize_decimal(c), decimal),
+        "int": (C.parse_int(c), F.when(whole.between(-2147483648, 2147483647), whole).try_cast("int")),
+        "date": (C.parse_date(c).cast("string"), serial.cast("string")),
+    }
+    for name, (got, expected) in pairs.items():
+        rows = df.select("c", got.alias("got"), expected.alias("expected")).collect()
+        assert [(r["c"], r["got"]) for r in rows] == [(r["c"], r["expected"]) for r in rows], name
+    for fn in (C.clean_id_text, C.clean_text, C.clean_name):
+        plan = df.select(fn("c"))._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert 0 < plan.find("rlike") < plan.find("regexp_replace")
+
+
+def test_parsed_ids_are_written_as_numbers(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(P, "persist", lambda df, mode: written.append(df) or df)
+    raw = spark.createDataFrame([{**{c: None for c in T.SALES_COLUMNS}, "order_id": "#1", "customer_id": "C 7", "product_id": "A7",
+                                  "_load_id": "202401", "_row_id": "x"}],
+                                ", ".join(f"{c} string" for c in [*T.SALES_COLUMNS, "_load_id", "_row_id"]))
+    row = P.stage_sales(raw).collect()[0]
+    types = dict(written[0].dtypes)
+    # The fill is by the text of a product: two that are no numbers are two.
+    assert (types["order_id"], types["customer_id"], types["product_id_t"]) == ("bigint", "bigint", "string")
+    assert (row["order_id"], row["customer_id"], row["product_id"]) == (1, None, None)
