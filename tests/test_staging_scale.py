@@ -157,3 +157,46 @@ def test_parsed_ids_are_written_as_numbers(spark, monkeypatch):
     # The fill is by the text of a product: two that are no numbers are two.
     assert (types["order_id"], types["customer_id"], types["product_id_t"]) == ("bigint", "bigint", "string")
     assert (row["order_id"], row["customer_id"], row["product_id"]) == (1, None, None)
+
+
+@pytest.fixture()
+def small_tables(spark, tmp_path):
+    when = datetime.datetime
+    frames = {
+        "lineitem": spark.createDataFrame(
+            [(k, p, 3, ln, q, 10.5, 0.1, 0.05, "N", "F", when(2020, 2, 3 + ln))
+             for k, p, ln, q in [(1, 7, 1, 2.0), (2, 7, 1, 2.0), (4, 9, 2, 3.0), (7, 7, 1, 2.0), (97, 9, 2, 1.0)]],
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double,"
+            "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"),
+        "orders": spark.createDataFrame(
+            [(1, 4, when(2020, 1, 2), "2-HIGH"), (2, 4, when(2020, 1, 5), "2-HIGH"), (4, 4, when(2020, 1, 9), "5-LOW"),
+             (7, 4, when(2020, 1, 11), "5-LOW"), (97, 4, when(2019, 1, 1), "5-LOW"), (99, 4, when(2020, 12, 1), "5-LOW")],
+            "o_orderkey long, o_custkey long, o_orderdate timestamp, o_orderpriority string"),
+        "customer": spark.createDataFrame([(4, "Cu#4", 1, "BUILDING")],
+                                          "c_custkey long, c_name string, c_nationkey int, c_mktsegment string"),
+        "part": spark.createDataFrame([(7, "red ring", "LARGE"), (9, "cap", "PROMO")], "p_partkey long, p_name string, p_type string"),
+        "supplier": spark.createDataFrame([(3, "S3")], "s_suppkey long, s_name string"),
+        "nation": spark.createDataFrame([(1, "GERMANY", 3)], "n_nationkey int, n_name string, n_regionkey int"),
+        "region": spark.createDataFrame([(3, "EUROPE")], "r_regionkey int, r_name string"),
+    }
+    for name, df in frames.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+@pytest.fixture()
+def written(monkeypatch):
+    """The columns of each table that a query writes on its way."""
+    out, write = [], P.persist
+    monkeypatch.setattr(P, "persist", lambda df, mode: (out.append(df.columns), write(df, mode))[1])
+    return out
+
+
+def test_calendar_writes_the_parsed_rows_only(spark, small_tables, written):
+    import __spark_entry__ as E
+
+    days = [r["date_key"] for r in E.q_calendar(spark, small_tables).orderBy("date_key").collect()]
+    assert days[0] == datetime.date(2020, 1, 2)
+    # The last order date is that of all staged rows, and of no order without lines.
+    assert days[-1] == datetime.date(2020 + P.calendar_dim.__defaults__[0], 1, 11)
+    assert len(written) == 1
