@@ -69,8 +69,13 @@ def _staged_clean(spark, sf_dir, carried=P.CARRIED_COLUMNS):
     return t, P.persist(Q.split(st)[0], PERSIST)
 
 
-def _conformed(spark, sf_dir, persist=False, persist_staged=False):
-    t, st = _staged(spark, sf_dir, persist_staged)
+# What dimensions read of the carried columns; the load id finds the load time.
+CUSTOMER = ("customer_name", "segment", "_load_id")
+PRODUCT = ("product_name", "category", "_load_id")
+
+
+def _conformed(spark, sf_dir, persist=False, persist_staged=False, carried=P.CARRIED_COLUMNS):
+    t, st = _staged(spark, sf_dir, persist_staged, carried)
     dd = P.dedupe_sales(st, T.loads(t))
     countries, fx = P.staged_countries(t), P.staged_fx(t)
     conf = P.conform_sales(dd, countries, fx)
@@ -122,11 +127,11 @@ def q_convert_usd(spark, sf_dir):
 
 
 def q_scd2_customer(spark, sf_dir):
-    return P.dim_customer(_conformed(spark, sf_dir)[4])
+    return P.dim_customer(_conformed(spark, sf_dir, carried=CUSTOMER)[4])
 
 
 def q_scd2_product(spark, sf_dir):
-    return P.dim_product(_conformed(spark, sf_dir)[4])
+    return P.dim_product(_conformed(spark, sf_dir, carried=PRODUCT)[4])
 
 
 def q_point_in_time_fact(spark, sf_dir):
@@ -164,7 +169,7 @@ def q_chk_ship_before_order(spark, sf_dir):
 
 
 def q_chk_converted_null(spark, sf_dir):
-    return Q.converted_but_null(_conformed(spark, sf_dir)[4]).select("_row_id")
+    return Q.converted_but_null(_conformed(spark, sf_dir, carried=["_load_id"])[4]).select("_row_id")
 
 
 def q_chk_not_null_rate(spark, sf_dir):
@@ -348,12 +353,12 @@ def q_asof_events(spark, sf_dir):
 def q_scd2_daily(spark, sf_dir):
     """Products by the last row of a day; one without a name has one version
     as long as nothing changes."""
-    return P.dim_product(_conformed(spark, sf_dir)[4], first_by="row_number", one_per_day=True)
+    return P.dim_product(_conformed(spark, sf_dir, carried=PRODUCT)[4], first_by="row_number", one_per_day=True)
 
 
 def q_scd2_price_band(spark, sf_dir):
     """Products whose price must leave a band of a fifth to make history."""
-    return P.dim_product(_conformed(spark, sf_dir)[4], one_per_day=True, tolerance={"unit_price_usd": 0.2})
+    return P.dim_product(_conformed(spark, sf_dir, carried=PRODUCT)[4], one_per_day=True, tolerance={"unit_price_usd": 0.2})
 
 
 def q_check_suite(spark, sf_dir):

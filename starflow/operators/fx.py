@@ -135,7 +135,8 @@ def convert_to_base(sales: DataFrame, countries: DataFrame, fx: DataFrame) -> Da
     """FX1: country name, the order-day rate and amount_usd = amount / rate.
 
     Rates are base->local (base USD), so dividing converts to USD.  Rows
-    without a country or a rate are kept and flagged."""
+    without a country or a rate are kept and flagged.  Columns that the sales
+    were staged without are left out here too."""
     keyed = (countries.select(country_key().alias("_ck"), "common_name")
              .filter(F.col("_ck").isNotNull())
              .groupBy("_ck").agg(F.min("common_name").alias("country_name")))
@@ -148,7 +149,7 @@ def convert_to_base(sales: DataFrame, countries: DataFrame, fx: DataFrame) -> Da
     s = (s.withColumn("amount_usd", F.try_divide(F.col("amount").cast("double"), F.col("rate")))
           .withColumn("order_line_id", order_line_id()))
     s = flag(s.drop("quarantine_reason", "is_quarantined"), conformed_rules())
-    return s.select(*CONFORMED_COLUMNS)
+    return s.select(*[c for c in CONFORMED_COLUMNS if c in s.columns])
 
 
 def convert_asof(sales: DataFrame, countries: DataFrame, quotes: DataFrame, within: str | None = None) -> DataFrame:

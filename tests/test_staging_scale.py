@@ -200,3 +200,14 @@ def test_calendar_writes_the_parsed_rows_only(spark, small_tables, written):
     # The last order date is that of all staged rows, and of no order without lines.
     assert days[-1] == datetime.date(2020 + P.calendar_dim.__defaults__[0], 1, 11)
     assert len(written) == 1
+
+
+def test_product_history_writes_what_it_reads(spark, small_tables, written):
+    import __spark_entry__ as E
+
+    others = {"customer_name", "segment", "order_channel", "discount", "tax"}
+    for query in (E.q_scd2_product, E.q_scd2_daily):
+        written.clear()
+        rows = query(spark, small_tables).collect()
+        assert {(r["product_id"], r["product_name"]) for r in rows} == {(-1, "unknown"), (7, "red ring"), (9, "cap")}
+        assert len(written) == 1 and not others & set(written[0])
