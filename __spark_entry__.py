@@ -363,7 +363,8 @@ def q_scd2_price_band(spark, sf_dir):
 
 def q_check_suite(spark, sf_dir):
     """Every declared check of every table, 30 hours after the last load."""
-    t, st, countries, fx, conf = _conformed(spark, sf_dir, persist=True, persist_staged=True)
+    t, st, countries, fx, conf = _conformed(spark, sf_dir, persist=True, persist_staged=True,
+                                            carried=["category", "segment", "order_channel", "_load_id"])
     ld = T.loads(t)
     as_of = ld.agg(F.max("inserted_at") + F.expr("INTERVAL 8 HOURS")).scalar()
     return D.all_tables(st, fx, countries, ld, conf, as_of)

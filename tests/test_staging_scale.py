@@ -211,3 +211,11 @@ def test_product_history_writes_what_it_reads(spark, small_tables, written):
         rows = query(spark, small_tables).collect()
         assert {(r["product_id"], r["product_name"]) for r in rows} == {(-1, "unknown"), (7, "red ring"), (9, "cap")}
         assert len(written) == 1 and not others & set(written[0])
+
+
+def test_check_suite_writes_what_it_reads(spark, small_tables, written):
+    import __spark_entry__ as E
+
+    suite = {r["check_name"]: r for r in E.q_check_suite(spark, small_tables).collect()}
+    assert {"accepted_segment", "accepted_category", "accepted_order_channel", "converted_but_null"} <= set(suite)
+    assert not any({"customer_name", "product_name", "discount", "tax"} & set(columns) for columns in written)
