@@ -9,8 +9,13 @@ the five smallest distinct values as text (a deterministic stand-in for
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import itertools
+import zlib
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -31,36 +36,128 @@ def table_profile(df: DataFrame, key_col: str, ignore: Sequence[str] = ("_load_i
     return out.select("n_rows", "n_duplicate_rows", f"n_distinct_{key_col}", *[f"nulls_{c}" for c in own.columns])
 
 
-def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    types = dict(df.dtypes)
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("type"),
-                               F.col(c).cast("string").alias("value")) for c in cols])
-    return df.select(F.explode(pairs).alias("_p")).select("_p.*")
-
-
-def column_profile(df: DataFrame, columns: Sequence[str] | None = None, n_samples: int = 5) -> DataFrame:
+def column_profile(df: DataFrame, columns: Sequence[str] | None = None, n_samples: int = 5,
+                   buckets: int = 1024) -> DataFrame:
     """PRF3: per column — type, nulls, null % (1 decimal), duplicates,
     unique (non-NULL distinct) and up to ``n_samples`` sample values.
 
-    duplicates = rows - (distinct non-NULL values + 1 if any NULL)."""
+    duplicates = rows - (distinct non-NULL values + 1 if any NULL).
+
+    The rows are read once.  Tasks drop the values that they have seen before
+    and send the others compressed, dealt out by a hash of the value to
+    ``buckets``.  All copies of a value meet in its bucket, where values are
+    compared whole, so the counts of buckets are exact and add up.  A task
+    holds the distinct values of one bucket at a time."""
     cols = list(columns or df.columns)
-    counts = _long(df, cols).groupBy("column", "type", "value").agg(F.count(F.lit(1)).alias("_n"))
-    per_col = counts.groupBy("column", "type").agg(
-        F.sum("_n").alias("n_rows"),
-        F.sum(F.when(F.col("value").isNull(), F.col("_n")).otherwise(0)).alias("nulls"),
-        F.count("value").alias("unique"))
-    # Top-n per column: row_number <= n plans as a partial WindowGroupLimit,
-    # so a column with many distinct values ships n rows per task, not all.
-    w = Window.partitionBy("column").orderBy("value")
-    samples = (counts.filter(F.col("value").isNotNull())
-               .withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n_samples)
-               .groupBy("column").agg(F.array_join(F.array_sort(F.collect_list("value")), " | ").alias("samples")))
+    types = dict(df.dtypes)
+    values = df.select(*[_quoted(c).cast("string").cast("binary").alias(f"c{i}") for i, c in enumerate(cols)])
+    dealt = values.mapInArrow(_deal_values(len(cols), buckets), _DEALT)
+    counts = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        _count_values(len(cols), n_samples), "i int, n_rows long, nulls long, unique long, samples array<binary>")
+    least = F.slice(F.array_sort(F.flatten(F.collect_list("samples"))), 1, n_samples).cast("array<string>")
+    per_col = counts.groupBy("i").agg(F.sum("n_rows").alias("n_rows"), F.sum("nulls").alias("nulls"),
+                                      F.sum("unique").alias("unique"), least.alias("samples"))
+    column = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("type")) for c in cols])[F.col("i")]
     n, nulls = F.col("n_rows"), F.col("nulls")
-    return (per_col.join(samples, "column", "left").select(
-        "column", "type", "nulls",
+    return per_col.select(
+        column["column"].alias("column"), column["type"].alias("type"), "nulls",
         (F.floor((nulls * 2000 + n) / (n * 2)) / F.lit(10.0)).alias("null_pct"),
         (n - F.col("unique") - F.when(nulls > 0, 1).otherwise(0)).alias("duplicates"),
-        "unique", "samples"))
+        "unique", F.when(F.size("samples") > 0, F.array_join("samples", " | ")).alias("samples"))
+
+
+_DEALT = "bucket int, n_rows long, nulls array<long>, packed binary"
+# Bytes of values that a task keeps before it drops those it has twice, or
+# sends what is left.
+_HELD = 32 << 20
+
+
+def _deal_values(n_cols: int, buckets: int):
+    """Rows -> the distinct values of all columns, a packed table per bucket,
+    and a row with the number of rows and the NULLs of each column."""
+    def distinct(chunks: list[pa.Array]) -> pa.Array:
+        return pc.drop_null(pc.unique(pa.chunked_array(chunks)))
+
+    def dealt(seen: list[list[pa.Array]], n_rows: int, nulls: list[int]) -> pa.RecordBatch:
+        columns = [distinct(chunks).cast(pa.large_binary()) for chunks in seen]
+        column = np.repeat(np.arange(n_cols, dtype=np.int32), [len(v) for v in columns])
+        hashes = [np.fromiter(map(zlib.crc32, v.to_numpy(zero_copy_only=False)), np.uint32, len(v)) for v in columns]
+        bucket = (np.concatenate(hashes) % buckets).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        table = pa.record_batch({"i": column[order], "v": pa.concat_arrays(columns).take(pa.array(order))})
+        sent, begin = np.unique(bucket[order], return_index=True)
+        packed = [_packed(table.slice(b, e - b)) for b, e in zip(begin, [*begin[1:], len(order)])]
+        return pa.record_batch({
+            "bucket": pa.array([*sent, 0], pa.int32()), "n_rows": pa.array([0] * len(sent) + [n_rows], pa.int64()),
+            "nulls": pa.array([None] * len(sent) + [nulls], pa.list_(pa.int64())),
+            "packed": pa.array([*packed, None], pa.binary())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, new, n_rows, nulls = [[] for _ in range(n_cols)], 0, 0, [0] * n_cols
+        for batch in batches:
+            n_rows, new = n_rows + batch.num_rows, new + batch.nbytes
+            for i, c in enumerate(batch.columns):
+                nulls[i] += c.null_count
+                seen[i].append(c)
+            if new > _HELD:
+                seen, new = [[distinct(chunks)] for chunks in seen], 0
+                if sum(chunks[0].nbytes for chunks in seen) > _HELD:
+                    yield dealt(seen, n_rows, nulls)
+                    seen, n_rows, nulls = [[] for _ in range(n_cols)], 0, [0] * n_cols
+        if n_rows:
+            yield dealt(seen, n_rows, nulls)
+
+    return run
+
+
+def _packed(table: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _count_values(n_cols: int, n_samples: int):
+    """Packed tables in the order of their buckets -> a row per column: rows,
+    NULLs, distinct values and the least of these."""
+    def distinct(tables: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(tables).group_by(["i", "v"], use_threads=False).aggregate([])
+
+    def least(values: pa.Array) -> pa.Array:
+        return values.take(pc.select_k_unstable(values, n_samples, [("", "ascending")]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*batch.columns))
+        n_rows, nulls, unique = 0, np.zeros(n_cols, np.int64), np.zeros(n_cols, np.int64)
+        samples = [pa.array([], pa.large_binary())] * n_cols
+        for _, bucket in itertools.groupby(rows, lambda row: row[0].as_py()):
+            tables, new, most = [], 0, 2 * _HELD
+            for _, n, k, packed in bucket:
+                n_rows += n.as_py()
+                if not packed.is_valid:
+                    nulls += k.as_py()
+                    continue
+                tables.append(pa.ipc.open_stream(packed.as_buffer()).read_all())
+                new += tables[-1].nbytes
+                if new > most:
+                    tables, new = [distinct(tables)], 0
+                    most = max(most, tables[0].nbytes)
+            if tables:
+                table = distinct(tables)
+                column = table["i"].to_numpy()
+                values = table["v"].combine_chunks().take(pa.array(np.argsort(column, kind="stable")))
+                counts = np.bincount(column, minlength=n_cols)
+                unique += counts
+                for i, end in enumerate(np.cumsum(counts)):
+                    if counts[i]:
+                        samples[i] = least(pa.concat_arrays([samples[i], values[end - counts[i]:end]]))
+        if n_rows or unique.any():
+            yield pa.record_batch({
+                "i": pa.array(range(n_cols), pa.int32()), "n_rows": pa.array([n_rows] * n_cols, pa.int64()),
+                "nulls": pa.array(nulls), "unique": pa.array(unique),
+                "samples": pa.array([v.to_pylist() for v in samples], pa.list_(pa.binary()))})
+
+    return run
 
 
 def numeric_describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
